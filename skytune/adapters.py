@@ -101,9 +101,8 @@ def plays(events: DataFrame, part: DataFrame, parts: Column | int | None = None)
         .otherwise(F.concat(name, F.lit(" (live)")))
     )
     keyed = events.withColumn("p_partkey", e % parts)
-    return keyed.join(
-        part.select("p_partkey", "p_name", "p_brand", "p_type"), "p_partkey"
-    ).select(
+    joined = keyed.join(part.select("p_partkey", "p_name", "p_brand", "p_type"), "p_partkey")
+    play = F.struct(
         "event_id",
         "user_id",
         title.alias("track_name"),
@@ -113,6 +112,9 @@ def plays(events: DataFrame, part: DataFrame, parts: Column | int | None = None)
         F.when(e % 40 != 3, F.date_format("ts", TRACK_TIME)).alias("played_at"),
         F.unix_timestamp("ts").cast("string").alias("played_at_uts"),
     )
+    # Unpacking a struct makes these real columns, as in a staged table. Otherwise filters
+    # and parsers further up would each be rewritten to repeat the formulas above.
+    return joined.select(F.inline(F.array(play)))
 
 
 def order_times(orders: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from skytune.functions.bands import (
     Bands,
+    Lookup,
     above,
     any_of,
     around_midnight,
@@ -15,7 +16,7 @@ from skytune.functions.bands import (
     at_most,
     below,
     between,
-    one_of,
+    exactly,
 )
 
 MOOD_FLOOR, MOOD_CEILING = -10, 10
@@ -50,16 +51,16 @@ MUSIC_SCORES = {
         ),
         0,
     ),
-    "genre_score": Bands(
+    "genre_score": Lookup(
         "track_genre",
         (
-            (one_of("pop", "dance", "disco", "funk"), 3),
-            (one_of("rock", "alternative", "indie"), 1),
-            (one_of("hip-hop", "rap", "r-n-b"), 2),
-            (one_of("jazz", "blues"), 0),
-            (one_of("classical"), -1),
-            (one_of("metal", "hard-rock"), -2),
-            (one_of("sad", "emo"), -3),
+            (("pop", "dance", "disco", "funk"), 3),
+            (("rock", "alternative", "indie"), 1),
+            (("hip-hop", "rap", "r-n-b"), 2),
+            (("jazz", "blues"), 0),
+            (("classical",), -1),
+            (("metal", "hard-rock"), -2),
+            (("sad", "emo"), -3),
         ),
         0,
         fold_case=True,
@@ -108,38 +109,40 @@ TIME_OF_DAY = Bands(
 
 # --- weather ---------------------------------------------------------------------
 
-WEATHER_CONDITION = Bands(
+WEATHER_CONDITION = Lookup(
     "weathercode",
     (
-        (one_of(0), "clear"),
-        (one_of(1), "mainly_clear"),
-        (one_of(2), "partly_cloudy"),
-        (one_of(3), "overcast"),
-        (one_of(45, 48), "foggy"),
-        (one_of(51, 53, 55), "drizzle"),
-        (one_of(61, 63, 65), "rainy"),
-        (one_of(71, 73, 75), "snowy"),
-        (one_of(77), "snow_grains"),
-        (one_of(80, 81, 82), "rain_showers"),
-        (one_of(85, 86), "snow_showers"),
-        (one_of(95), "thunderstorm"),
-        (one_of(96, 99), "thunderstorm_hail"),
+        ((0,), "clear"),
+        ((1,), "mainly_clear"),
+        ((2,), "partly_cloudy"),
+        ((3,), "overcast"),
+        ((45, 48), "foggy"),
+        ((51, 53, 55), "drizzle"),
+        ((61, 63, 65), "rainy"),
+        ((71, 73, 75), "snowy"),
+        ((77,), "snow_grains"),
+        ((80, 81, 82), "rain_showers"),
+        ((85, 86), "snow_showers"),
+        ((95,), "thunderstorm"),
+        ((96, 99), "thunderstorm_hail"),
     ),
     "unknown",
+    key_type="bigint",
 )
 
-SIMPLE_CONDITION = Bands(
+SIMPLE_CONDITION = Lookup(
     "weathercode",
     (
-        (one_of(0), "sunny"),
-        (one_of(1, 2), "partly_cloudy"),
-        (one_of(3), "cloudy"),
-        (one_of(45, 48), "foggy"),
-        (one_of(51, 53, 55, 61, 63, 65, 80, 81, 82), "rainy"),
-        (one_of(71, 73, 75, 77, 85, 86), "snowy"),
-        (one_of(95, 96, 99), "stormy"),
+        ((0,), "sunny"),
+        ((1, 2), "partly_cloudy"),
+        ((3,), "cloudy"),
+        ((45, 48), "foggy"),
+        ((51, 53, 55, 61, 63, 65, 80, 81, 82), "rainy"),
+        ((71, 73, 75, 77, 85, 86), "snowy"),
+        ((95, 96, 99), "stormy"),
     ),
     "other",
+    key_type="bigint",
 )
 
 TEMPERATURE_CATEGORY = Bands(
@@ -169,38 +172,38 @@ CLOUD_CATEGORY = Bands(
 )
 
 WEATHER_SCORES = {
-    "temperature_score": Bands(
+    "temperature_score": Lookup(
         "temperature_category",
         (
-            (one_of("warm"), 5),
-            (one_of("hot"), 3),
-            (one_of("cool"), 1),
-            (one_of("cold"), -2),
-            (one_of("very_cold"), -4),
-            (one_of("freezing"), -5),
-            (one_of("very_hot"), 2),
+            (("warm",), 5),
+            (("hot",), 3),
+            (("cool",), 1),
+            (("cold",), -2),
+            (("very_cold",), -4),
+            (("freezing",), -5),
+            (("very_hot",), 2),
         ),
         0,
     ),
-    "weather_score": Bands(
+    "weather_score": Lookup(
         "simplified_condition",
         (
-            (one_of("sunny"), 5),
-            (one_of("partly_cloudy"), 2),
-            (one_of("cloudy"), -2),
-            (one_of("rainy", "snowy"), -4),
-            (one_of("stormy"), -5),
-            (one_of("foggy"), -3),
+            (("sunny",), 5),
+            (("partly_cloudy",), 2),
+            (("cloudy",), -2),
+            (("rainy", "snowy"), -4),
+            (("stormy",), -5),
+            (("foggy",), -3),
         ),
         -1,
     ),
-    "cloud_score": Bands(
+    "cloud_score": Lookup(
         "cloud_category",
         (
-            (one_of("clear"), 3),
-            (one_of("partly_cloudy"), 1),
-            (one_of("mostly_cloudy"), -1),
-            (one_of("overcast"), -3),
+            (("clear",), 3),
+            (("partly_cloudy",), 1),
+            (("mostly_cloudy",), -1),
+            (("overcast",), -3),
         ),
         0,
     ),
@@ -216,7 +219,7 @@ WEATHER_SCORES = {
     ),
     "precipitation_penalty": Bands(
         "precipitation",
-        ((one_of(0.0), 0), (below(1.0), -1), (below(5.0), -2)),
+        ((exactly(0.0), 0), (below(1.0), -1), (below(5.0), -2)),
         -3,
     ),
     "humidity_score": Bands(

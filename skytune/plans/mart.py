@@ -107,10 +107,10 @@ def combined_mood(
             "Event_Received_Timestamp": stamp,
             "Event_End_Timestamp": stamp,
             "music_minute": F.minute(stamp),
-            "event_hour": F.hour(stamp),
-            "event_day_of_week": F.dayofweek(stamp),
-            "event_month": F.month(stamp),
-            "event_day": F.dayofmonth(stamp),
+            "event_hour": F.col("music_hour"),
+            "event_day_of_week": F.col("play_day_of_week"),
+            "event_month": F.col("play_month"),
+            "event_day": F.dayofmonth("music_date"),
             "has_weather_data": F.col("_found").isNotNull(),
         }
         | {name: F.lit(value) for name, value in PLACEHOLDERS.items()}

@@ -74,6 +74,13 @@ class Trained:
         self.model.write().overwrite().save(path)
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """At least one partition per core: trees train in parallel over partitions only.
+    Round robin, so that no key can make one of them large."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def train_mood(
     df: DataFrame,
     target: str,
@@ -106,7 +113,7 @@ def train_mood(
             seed=seed,
         ),
     ]
-    used = train.select(*features, target)
+    used = _spread(train.select(*features, target))
     return Trained(Pipeline(stages=steps).fit(used), features, target, test)
 
 

@@ -35,7 +35,7 @@ from skytune.plans.weather import (
     with_daily_context,
     with_trend_and_context,
 )
-from skytune.session import pin_utc, shared_folder, written
+from skytune.session import prepare, shared_folder, written
 from skytune.sources import measures, scans, sinks
 from skytune.streaming import hourly
 
@@ -61,7 +61,7 @@ def zone_free(df: DataFrame) -> DataFrame:
 def query(fn: Query) -> Query:
     @wraps(fn)
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return zone_free(fn(pin_utc(spark), folder))
+        return zone_free(fn(prepare(spark), folder))
 
     QUERIES[fn.__name__] = run
     return run

@@ -8,9 +8,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def pin_utc(spark: SparkSession) -> SparkSession:
-    """Every calendar part in the models is a UTC part, whatever the host's zone is."""
+def prepare(spark: SparkSession) -> SparkSession:
+    """Session settings the models rely on.
+
+    Calendar parts are UTC parts, whatever the host's zone is. The mart is wide enough
+    for one fused method to pass 8000 bytes of bytecode, which the JVM then never
+    compiles; with this limit Spark runs such a stage as separate, compiled projections.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 
@@ -20,7 +26,6 @@ def local_session(cores: str = "*", partitions: int = 8, **conf: str) -> SparkSe
         SparkSession.builder.master(f"local[{cores}]")
         .appName("skytune")
         .config("spark.sql.shuffle.partitions", str(partitions))
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -29,7 +34,7 @@ def local_session(cores: str = "*", partitions: int = 8, **conf: str) -> SparkSe
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return prepare(spark)
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
