@@ -538,11 +538,15 @@ SELECT date, hours, avg_weather_mood, min_weather_mood, max_weather_mood,
   dominant_weather_mood_category, avg_temperature_2m, plays, avg_music_mood, min_music_mood,
   max_music_mood, dominant_music_mood_category
 FROM (w JOIN wl USING (date)) FULL JOIN (m JOIN ml USING (date)) USING (date)""",
-    "stream_hourly": f"""WITH {_mart()}
+    # The stream keeps one copy per event, and emits hours the watermark has passed.
+    "stream_hourly": f"""WITH {_mart()},
+once AS (
+  SELECT * FROM mart
+  QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY Event_Start_Timestamp) = 1)
 SELECT date_trunc('hour', Event_Start_Timestamp) AS window_start, count(*) AS plays,
   sum(song_mood)::BIGINT AS mood_sum, sum(duration_ms)::BIGINT AS played_ms,
   max(weather_mood) AS weather_mood
-FROM mart GROUP BY 1
+FROM once GROUP BY 1
 HAVING date_trunc('hour', Event_Start_Timestamp) + INTERVAL 1 HOUR
   <= (SELECT max(Event_Start_Timestamp) - INTERVAL 1 HOUR FROM mart)""",
     "csv_roundtrip": f"""WITH {_mart()}

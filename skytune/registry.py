@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import wraps
+from functools import cached_property, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,8 +39,7 @@ from skytune.session import prepare, shared_folder, written
 from skytune.sources import measures, scans, sinks
 from skytune.streaming import hourly
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 ZONE = "Europe/Berlin"
 RUN_DATE = "2024-01-10"
@@ -58,50 +57,65 @@ def zone_free(df: DataFrame) -> DataFrame:
     )
 
 
-def query(fn: Query) -> Query:
+def query(fn: Callable[[Frames], DataFrame]) -> Callable[[Frames], DataFrame]:
     @wraps(fn)
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return zone_free(fn(prepare(spark), folder))
+        return zone_free(fn(Frames(prepare(spark), folder)))
 
     QUERIES[fn.__name__] = run
-    return run
+    return fn
 
 
 # --- frames the queries start from ---------------------------------------------------
 
 
-def _readings(spark: SparkSession, folder: str) -> DataFrame:
-    return adapters.readings(adapters.events(spark, folder))
+class Frames:
+    """The derived frames of one folder, each planned once."""
 
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark, self.folder = spark, folder
 
-def _plays(spark: SparkSession, folder: str) -> DataFrame:
-    return adapters.plays(adapters.events(spark, folder), adapters.table(spark, folder, "part"))
+    @cached_property
+    def events(self) -> DataFrame:
+        return adapters.events(self.spark, self.folder)
 
+    @cached_property
+    def part(self) -> DataFrame:
+        return adapters.table(self.spark, self.folder, "part")
 
-def _tracks(spark: SparkSession, folder: str) -> DataFrame:
-    return adapters.tracks(adapters.table(spark, folder, "part"))
+    @cached_property
+    def readings(self) -> DataFrame:
+        return adapters.readings(self.events)
 
+    @cached_property
+    def hours(self) -> DataFrame:
+        return hourly_weather_mood(self.readings)
 
-def _matched(spark: SparkSession, folder: str, match_artist: bool = False) -> DataFrame:
-    cleaned = clean_plays(_plays(spark, folder), ["event_id", "user_id"])
-    return match_plays(cleaned, best_metadata(_tracks(spark, folder), match_artist), match_artist)
+    @cached_property
+    def plays(self) -> DataFrame:
+        return adapters.plays(self.events, self.part)
 
+    @cached_property
+    def tracks(self) -> DataFrame:
+        return adapters.tracks(self.part)
 
-def _music(spark: SparkSession, folder: str, keep: Sequence[str], **options: bool) -> DataFrame:
-    return music_mood(_plays(spark, folder), _tracks(spark, folder), keep, **options)
+    def matched(self, match_artist: bool = False) -> DataFrame:
+        cleaned = clean_plays(self.plays, ["event_id", "user_id"])
+        return match_plays(cleaned, best_metadata(self.tracks, match_artist), match_artist)
 
+    def music(self, keep: Sequence[str] = ("event_id",), **options: bool) -> DataFrame:
+        return music_mood(self.plays, self.tracks, keep, **options)
 
-def _mart(spark: SparkSession, folder: str, keep: Sequence[str] = ("event_id",)) -> DataFrame:
-    weather = hourly_weather_mood(_readings(spark, folder))
-    return combined_mood(_music(spark, folder, keep), weather, keep)
+    def mart(self, keep: Sequence[str] = ("event_id",)) -> DataFrame:
+        return combined_mood(self.music(keep), self.hours, keep)
 
 
 # --- weather -------------------------------------------------------------------------
 
 
 @query
-def weather_category_counts(spark: SparkSession, folder: str) -> DataFrame:
-    scored = hourly_weather_mood(_readings(spark, folder))
+def weather_category_counts(f: Frames) -> DataFrame:
+    scored = f.hours
     return scored.groupBy("weather_mood_category").agg(
         F.count(F.lit(1)).alias("hours"),
         F.min("weather_mood_raw").alias("min_raw"),
@@ -115,8 +129,8 @@ WEATHER_LABELS = (
 
 
 @query
-def weather_decoded(spark: SparkSession, folder: str) -> DataFrame:
-    return decode_weather(_readings(spark, folder)).select(
+def weather_decoded(f: Frames) -> DataFrame:
+    return decode_weather(f.readings).select(
         "reading_id", "timestamp_converted", "date", "hour_of_day", "day_of_week", "month",
         *WEATHER_LABELS,
     )
@@ -131,60 +145,60 @@ WEATHER_RESULT = (
 
 
 @query
-def weather_scores(spark: SparkSession, folder: str) -> DataFrame:
-    return hourly_weather_mood(_readings(spark, folder)).select("reading_id", *WEATHER_RESULT)
+def weather_scores(f: Frames) -> DataFrame:
+    return f.hours.select("reading_id", *WEATHER_RESULT)
 
 
 @query
-def weather_scores_fixed_ranges(spark: SparkSession, folder: str) -> DataFrame:
-    scored = hourly_weather_mood(_readings(spark, folder), fix_ranges=True)
+def weather_scores_fixed_ranges(f: Frames) -> DataFrame:
+    scored = hourly_weather_mood(f.readings, fix_ranges=True)
     return scored.select("reading_id", *WEATHER_RESULT)
 
 
 @query
-def weather_local_clock(spark: SparkSession, folder: str) -> DataFrame:
-    scored = hourly_weather_mood(_readings(spark, folder), weather_tz=ZONE)
+def weather_local_clock(f: Frames) -> DataFrame:
+    scored = hourly_weather_mood(f.readings, weather_tz=ZONE)
     return scored.select("reading_id", "timestamp_converted", "date", "hour_of_day", "weather_mood")
 
 
 @query
-def weather_lag(spark: SparkSession, folder: str) -> DataFrame:
-    scored = hourly_weather_mood(_readings(spark, folder))
+def weather_lag(f: Frames) -> DataFrame:
+    scored = f.hours
     return with_trend_and_context(scored, tie_break=["reading_id"]).select(
         "reading_id", "weather_mood", "prev_hour_weather_mood", "prev_hour_temperature"
     )
 
 
 @query
-def weather_daily_context(spark: SparkSession, folder: str) -> DataFrame:
-    return with_daily_context(hourly_weather_mood(_readings(spark, folder))).select(
+def weather_daily_context(f: Frames) -> DataFrame:
+    return with_daily_context(f.hours).select(
         "reading_id", "date", "daily_avg_weather_mood", "daily_min_temp", "daily_max_temp"
     )
 
 
 @query
-def weather_model(spark: SparkSession, folder: str) -> DataFrame:
-    return weather_mood(_readings(spark, folder), tie_break=["reading_id"])
+def weather_model(f: Frames) -> DataFrame:
+    return weather_mood(f.readings, tie_break=["reading_id"])
 
 
 # --- music ---------------------------------------------------------------------------
 
 
 @query
-def played_at_parse(spark: SparkSession, folder: str) -> DataFrame:
-    cleaned = clean_plays(_plays(spark, folder), ["event_id"])
+def played_at_parse(f: Frames) -> DataFrame:
+    cleaned = clean_plays(f.plays, ["event_id"])
     return cleaned.select("event_id", "played_at", "played_at_ts")
 
 
 @query
-def played_at_all_months(spark: SparkSession, folder: str) -> DataFrame:
-    times = adapters.order_times(adapters.table(spark, folder, "orders"))
+def played_at_all_months(f: Frames) -> DataFrame:
+    times = adapters.order_times(adapters.table(f.spark, f.folder, "orders"))
     return times.withColumn("played_at_ts", parse_played_at(F.col("played_at")))
 
 
 @query
-def match_keys(spark: SparkSession, folder: str) -> DataFrame:
-    keys = _plays(spark, folder).select(
+def match_keys(f: Frames) -> DataFrame:
+    keys = f.plays.select(
         match_key(F.col("track_name")).alias("track_key"),
         match_key(F.col("artist_name")).alias("artist_key"),
     )
@@ -192,23 +206,23 @@ def match_keys(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def metadata_best(spark: SparkSession, folder: str) -> DataFrame:
-    return best_metadata(_tracks(spark, folder))
+def metadata_best(f: Frames) -> DataFrame:
+    return best_metadata(f.tracks)
 
 
 @query
-def metadata_best_by_artist(spark: SparkSession, folder: str) -> DataFrame:
-    return best_metadata(_tracks(spark, folder), match_artist=True)
+def metadata_best_by_artist(f: Frames) -> DataFrame:
+    return best_metadata(f.tracks, match_artist=True)
 
 
 @query
-def plays_matched(spark: SparkSession, folder: str) -> DataFrame:
-    return _matched(spark, folder)
+def plays_matched(f: Frames) -> DataFrame:
+    return f.matched()
 
 
 @query
-def plays_matched_by_artist(spark: SparkSession, folder: str) -> DataFrame:
-    return _matched(spark, folder, match_artist=True)
+def plays_matched_by_artist(f: Frames) -> DataFrame:
+    return f.matched(match_artist=True)
 
 
 MUSIC_RESULT = (
@@ -219,20 +233,20 @@ MUSIC_RESULT = (
 
 
 @query
-def music_scores(spark: SparkSession, folder: str) -> DataFrame:
-    return _music(spark, folder, ["event_id"]).select("event_id", *MUSIC_RESULT)
+def music_scores(f: Frames) -> DataFrame:
+    return f.music().select("event_id", *MUSIC_RESULT)
 
 
 @query
-def music_scores_fixed_ranges(spark: SparkSession, folder: str) -> DataFrame:
-    music = _music(spark, folder, ["event_id"], fix_ranges=True)
+def music_scores_fixed_ranges(f: Frames) -> DataFrame:
+    music = f.music(fix_ranges=True)
     return music.select("event_id", *MUSIC_RESULT)
 
 
 @query
-def music_categories(spark: SparkSession, folder: str) -> DataFrame:
+def music_categories(f: Frames) -> DataFrame:
     return (
-        _music(spark, folder, ["event_id"])
+        f.music()
         .groupBy("music_mood_category", "time_of_day_category", "is_uplifting_music",
                  "is_depressing_music")
         .agg(F.count(F.lit(1)).alias("plays"), F.sum("music_mood").alias("mood_sum"))
@@ -240,13 +254,13 @@ def music_categories(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def music_model(spark: SparkSession, folder: str) -> DataFrame:
-    return _music(spark, folder, ["event_id"])
+def music_model(f: Frames) -> DataFrame:
+    return f.music()
 
 
 @query
-def music_by_epoch(spark: SparkSession, folder: str) -> DataFrame:
-    plays = _plays(spark, folder)
+def music_by_epoch(f: Frames) -> DataFrame:
+    plays = f.plays
     cleaned = clean_plays(plays, ["event_id", "played_at_uts"], use_epoch=True)
     return cleaned.select("event_id", "played_at_uts", "played_at_ts")
 
@@ -255,14 +269,14 @@ def music_by_epoch(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def combined_mart(spark: SparkSession, folder: str) -> DataFrame:
-    return _mart(spark, folder)
+def combined_mart(f: Frames) -> DataFrame:
+    return f.mart()
 
 
 @query
-def combined_mart_local_clock(spark: SparkSession, folder: str) -> DataFrame:
-    weather = hourly_weather_mood(_readings(spark, folder), weather_tz=ZONE)
-    mart = combined_mood(_music(spark, folder, ["event_id"]), weather, ["event_id"])
+def combined_mart_local_clock(f: Frames) -> DataFrame:
+    weather = hourly_weather_mood(f.readings, weather_tz=ZONE)
+    mart = combined_mood(f.music(), weather, ["event_id"])
     return mart.groupBy("music_date", "has_weather_data").agg(
         F.count(F.lit(1)).alias("plays"),
         F.sum("song_mood").alias("song_mood_sum"),
@@ -273,39 +287,39 @@ def combined_mart_local_clock(spark: SparkSession, folder: str) -> DataFrame:
 # --- landing and staging -------------------------------------------------------------
 
 
-def _landed_pulls(spark: SparkSession, folder: str) -> DataFrame:
-    path = shared_folder(spark, "music-pulls")
-    sinks.land_json(adapters.music_pulls(_plays(spark, folder)), path)
-    return scans.scan_music_pulls(spark, path)
+def _landed_pulls(f: Frames) -> DataFrame:
+    path = shared_folder(f.spark, "music-pulls")
+    sinks.land_json(adapters.music_pulls(f.plays), path)
+    return scans.scan_music_pulls(f.spark, path)
 
 
 @query
-def landing_flatten(spark: SparkSession, folder: str) -> DataFrame:
-    return flatten_tracks(_landed_pulls(spark, folder))
+def landing_flatten(f: Frames) -> DataFrame:
+    return flatten_tracks(_landed_pulls(f))
 
 
 @query
-def staged_plays(spark: SparkSession, folder: str) -> DataFrame:
-    return stage_plays(_landed_pulls(spark, folder))
+def staged_plays(f: Frames) -> DataFrame:
+    return stage_plays(_landed_pulls(f))
 
 
 @query
-def weather_records(spark: SparkSession, folder: str) -> DataFrame:
-    path = shared_folder(spark, "weather-records")
-    sinks.land_json(_readings(spark, folder).drop("reading_id"), path)
-    return scans.scan_weather_records(spark, path)
+def weather_records(f: Frames) -> DataFrame:
+    path = shared_folder(f.spark, "weather-records")
+    sinks.land_json(f.readings.drop("reading_id"), path)
+    return scans.scan_weather_records(f.spark, path)
 
 
 @query
-def hourly_arrays(spark: SparkSession, folder: str) -> DataFrame:
-    path = shared_folder(spark, "weather-arrays")
-    sinks.land_json(adapters.weather_array_pulls(_readings(spark, folder)), path)
-    return stage_weather_arrays(scans.scan_weather_arrays(spark, path))
+def hourly_arrays(f: Frames) -> DataFrame:
+    path = shared_folder(f.spark, "weather-arrays")
+    sinks.land_json(adapters.weather_array_pulls(f.readings), path)
+    return stage_weather_arrays(scans.scan_weather_arrays(f.spark, path))
 
 
 @query
-def positional_variables(spark: SparkSession, folder: str) -> DataFrame:
-    pulls = adapters.weather_positional_pulls(_readings(spark, folder))
+def positional_variables(f: Frames) -> DataFrame:
+    pulls = adapters.weather_positional_pulls(f.readings)
     ticks = F.sequence("time_start", F.col("time_end") - 1, F.col("interval"))
     stamped = pulls.withColumn(
         "timestamp", F.transform(ticks, lambda s: iso_z(F.timestamp_seconds(s)))
@@ -315,15 +329,15 @@ def positional_variables(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def records_json(spark: SparkSession, folder: str) -> DataFrame:
+def records_json(f: Frames) -> DataFrame:
     columns = ("reading_id", "timestamp", "weathercode")
-    return to_records(_readings(spark, folder).select(*columns))
+    return to_records(f.readings.select(*columns))
 
 
 @query
-def time_axis_per_user(spark: SparkSession, folder: str) -> DataFrame:
+def time_axis_per_user(f: Frames) -> DataFrame:
     spans = (
-        adapters.events(spark, folder)
+        f.events
         .groupBy("user_id")
         .agg(
             F.unix_timestamp(F.min("ts")).alias("lo"),
@@ -335,17 +349,17 @@ def time_axis_per_user(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def local_day_window(spark: SparkSession, folder: str) -> DataFrame:
-    events = adapters.events(spark, folder)
+def local_day_window(f: Frames) -> DataFrame:
+    events = f.events
     return events.where(in_local_day(F.unix_timestamp("ts"), RUN_DATE, ZONE)).select(
         "event_id", "ts"
     )
 
 
 @query
-def local_days(spark: SparkSession, folder: str) -> DataFrame:
+def local_days(f: Frames) -> DataFrame:
     days = (
-        adapters.events(spark, folder)
+        f.events
         .groupBy(local_date(F.col("ts"), ZONE).alias("local_day"))
         .agg(F.count(F.lit(1)).alias("events"))
     )
@@ -354,8 +368,8 @@ def local_days(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def timestamp_text(spark: SparkSession, folder: str) -> DataFrame:
-    stamped = adapters.events(spark, folder).select("event_id", iso_z(F.col("ts")).alias("text"))
+def timestamp_text(f: Frames) -> DataFrame:
+    stamped = f.events.select("event_id", iso_z(F.col("ts")).alias("text"))
     return stamped.withColumns(
         {
             "utc": parse_iso(F.col("text")),
@@ -368,31 +382,31 @@ def timestamp_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def recent_topk(spark: SparkSession, folder: str) -> DataFrame:
-    events = adapters.events(spark, folder).select("event_id", "ts", "user_id")
+def recent_topk(f: Frames) -> DataFrame:
+    events = f.events.select("event_id", "ts", "user_id")
     return picks.latest(events, [F.desc("ts"), F.desc("event_id")])
 
 
 @query
-def recent_topk_per_user(spark: SparkSession, folder: str) -> DataFrame:
-    events = adapters.events(spark, folder).select("event_id", "ts", "user_id")
+def recent_topk_per_user(f: Frames) -> DataFrame:
+    events = f.events.select("event_id", "ts", "user_id")
     return picks.top_per_key(events, ["user_id"], [F.desc("ts"), F.desc("event_id")], 50)
 
 
 @query
-def distinct_rows(spark: SparkSession, folder: str) -> DataFrame:
-    events = adapters.events(spark, folder)
+def distinct_rows(f: Frames) -> DataFrame:
+    events = f.events
     return picks.distinct_rows(events.select("user_id", "event_type", F.to_date("ts").alias("day")))
 
 
 @query
-def profile(spark: SparkSession, folder: str) -> DataFrame:
-    return measures.profile(_plays(spark, folder))
+def profile(f: Frames) -> DataFrame:
+    return measures.profile(f.plays)
 
 
 @query
-def preview(spark: SparkSession, folder: str) -> DataFrame:
-    music = picks.ordered(_music(spark, folder, ["event_id"]), "played_at_ts", "event_id")
+def preview(f: Frames) -> DataFrame:
+    music = picks.ordered(f.music(), "played_at_ts", "event_id")
     return picks.preview(music.select("event_id", "track_name", "played_at_ts", "music_mood"))
 
 
@@ -400,38 +414,38 @@ def preview(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def materialise(spark: SparkSession, folder: str) -> DataFrame:
+def materialise(f: Frames) -> DataFrame:
     """Staging tables, views of the two models, mart table, read back by day."""
-    root = shared_folder(spark, "tables")
+    root = shared_folder(f.spark, "tables")
     tag = root.rsplit("-", 1)[1]
     staged = {
-        f"stg_plays_{tag}": _plays(spark, folder),
-        f"stg_tracks_{tag}": _tracks(spark, folder),
-        f"stg_weather_{tag}": _readings(spark, folder),
+        f"stg_plays_{tag}": f.plays,
+        f"stg_tracks_{tag}": f.tracks,
+        f"stg_weather_{tag}": f.readings,
     }
     for name, df in staged.items():
         sinks.write_table(df, name, f"{root}/{name}")
-    plays, tracks, weather = (scans.scan_table(spark, name) for name in staged)
+    plays, tracks, weather = (scans.scan_table(f.spark, name) for name in staged)
     sinks.publish_view(weather_mood(weather, tie_break=["reading_id"]), f"weather_{tag}")
     sinks.publish_view(music_mood(plays, tracks, ["event_id"]), f"music_{tag}")
     mart = combined_mood(
-        scans.scan_table(spark, f"music_{tag}"),
-        scans.scan_table(spark, f"weather_{tag}"),
+        scans.scan_table(f.spark, f"music_{tag}"),
+        scans.scan_table(f.spark, f"weather_{tag}"),
         ["event_id"],
     )
     sinks.write_table(mart, f"mart_{tag}", f"{root}/mart", ["Event_Start_Timestamp"])
-    return scans.scan_table(spark, f"mart_{tag}").select(
+    return scans.scan_table(f.spark, f"mart_{tag}").select(
         "event_id", "Event_Start_Timestamp", "Content_Name", "song_mood", "weather_mood",
         "has_weather_data",
     )
 
 
 @query
-def row_counts(spark: SparkSession, folder: str) -> DataFrame:
+def row_counts(f: Frames) -> DataFrame:
     """Rows per stage of the music model, counted while one write runs them all."""
-    plays, seen_plays = measures.counted(_plays(spark, folder), "plays")
+    plays, seen_plays = measures.counted(f.plays, "plays")
     cleaned, seen_cleaned = measures.counted(clean_plays(plays, ["event_id"]), "cleaned")
-    best = best_metadata(_tracks(spark, folder))
+    best = best_metadata(f.tracks)
     matched, seen_matched = measures.counted(match_plays(cleaned, best), "matched")
     scored, seen_scored = measures.counted(score_music(matched, ["event_id"]), "scored")
     written(scored, "row-counts")
@@ -440,20 +454,20 @@ def row_counts(spark: SparkSession, folder: str) -> DataFrame:
         "scored": seen_scored,
     }
     rows = [(name, seen.get["rows"]) for name, seen in stages.items()]
-    return spark.createDataFrame(rows, "stage string, rows bigint")
+    return f.spark.createDataFrame(rows, "stage string, rows bigint")
 
 
 @query
-def daily_load(spark: SparkSession, folder: str) -> DataFrame:
+def daily_load(f: Frames) -> DataFrame:
     """The daily batch of one local day over landed documents, read back from its mart."""
-    root = shared_folder(spark, "daily")
+    root = shared_folder(f.spark, "daily")
     folders = daily.Folders(*(f"{root}/{n}" for n in ("music", "hours", "p", "w", "mart")))
-    sinks.land_json(adapters.music_pulls(_plays(spark, folder)), folders.music_json)
-    sinks.land_json(_readings(spark, folder).drop("reading_id"), folders.weather_json)
-    counts = daily.run_daily(spark, RUN_DATE, folders, _tracks(spark, folder), ZONE)
+    sinks.land_json(adapters.music_pulls(f.plays), folders.music_json)
+    sinks.land_json(f.readings.drop("reading_id"), folders.weather_json)
+    counts = daily.run_daily(f.spark, RUN_DATE, folders, f.tracks, ZONE)
     if not counts["mart"]:
-        return _daily_result(_mart(spark, folder, ()).where(F.lit(False)))
-    return _daily_result(scans.scan_parquet(spark, folders.mart))
+        return _daily_result(f.mart(()).where(F.lit(False)))
+    return _daily_result(scans.scan_parquet(f.spark, folders.mart))
 
 
 def _daily_result(mart: DataFrame) -> DataFrame:
@@ -478,52 +492,51 @@ def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 @query
-def listening_hourly(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(listening.hourly_listening(_matched(spark, folder)))
+def listening_hourly(f: Frames) -> DataFrame:
+    return _rounded(listening.hourly_listening(f.matched()))
 
 
 @query
-def listening_cumulative(spark: SparkSession, folder: str) -> DataFrame:
-    return listening.cumulative_listening(_matched(spark, folder))
+def listening_cumulative(f: Frames) -> DataFrame:
+    return listening.cumulative_listening(f.matched())
 
 
 @query
-def listening_features_hour(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(listening.average_features(_matched(spark, folder), "hour"))
+def listening_features_hour(f: Frames) -> DataFrame:
+    return _rounded(listening.average_features(f.matched(), "hour"))
 
 
 @query
-def listening_features_day(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(listening.average_features(_matched(spark, folder), "day"))
+def listening_features_day(f: Frames) -> DataFrame:
+    return _rounded(listening.average_features(f.matched(), "day"))
 
 
 @query
-def listening_deviation(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(listening.baseline_deviation(_music(spark, folder, ["user_id"])), 4)
+def listening_deviation(f: Frames) -> DataFrame:
+    return _rounded(listening.baseline_deviation(f.music(["user_id"])), 4)
 
 
 @query
-def daily_mood(spark: SparkSession, folder: str) -> DataFrame:
-    weather = hourly_weather_mood(_readings(spark, folder))
-    return _rounded(listening.daily_mood(_music(spark, folder, ()), weather))
+def daily_mood(f: Frames) -> DataFrame:
+    weather = f.hours
+    return _rounded(listening.daily_mood(f.music(()), weather))
 
 
 # --- stream --------------------------------------------------------------------------
 
 
 @query
-def stream_hourly(spark: SparkSession, folder: str) -> DataFrame:
-    part = adapters.table(spark, folder, "part")
-    best = written(best_metadata(_tracks(spark, folder)), "best-metadata")
-    weather = written(hourly_weather_mood(_readings(spark, folder)), "weather-hours")
-    raw = adapters.table(spark, folder, "events")
-    stream = scans.stream_parquet(spark, f"{folder}/events.parquet", raw.schema)
+def stream_hourly(f: Frames) -> DataFrame:
+    best = written(best_metadata(f.tracks), "best-metadata")
+    weather = written(f.hours, "weather-hours")
+    raw = adapters.table(f.spark, f.folder, "events")
+    stream = scans.stream_parquet(f.spark, f"{f.folder}/events.parquet", raw.schema)
     events = stream.withColumn("ts", F.col("ts").cast("timestamp"))
-    mart = hourly.live_mart(adapters.plays(events, part, part.count()), best, weather, ["event_id"])
+    mart = hourly.live_mart(adapters.plays(events, f.part, f.part.count()), best, weather, ["event_id"])
     hours = hourly.hourly_listening(hourly.deduplicated(mart, ["event_id"]))
-    out = shared_folder(spark, "stream-hours")
+    out = shared_folder(f.spark, "stream-hours")
     hourly.append_to(hours, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
-    return spark.read.schema(hours.schema).parquet(f"{out}/rows")
+    return f.spark.read.schema(hours.schema).parquet(f"{out}/rows")
 
 
 # --- training ------------------------------------------------------------------------
@@ -532,34 +545,34 @@ STAMP_HEADER = "Event Start Timestamp"
 
 
 @query
-def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+def csv_roundtrip(f: Frames) -> DataFrame:
     """Mart export to CSV with the header the training set has, features from the scan."""
-    path = shared_folder(spark, "mart-csv")
-    mart = training.with_combined_target(_mart(spark, folder))
+    path = shared_folder(f.spark, "mart-csv")
+    mart = training.with_combined_target(f.mart())
     export = mart.withColumnRenamed("Event_Start_Timestamp", STAMP_HEADER)
     sinks.write_csv(export, path)
-    loaded = scans.scan_csv(spark, path, export.schema)
+    loaded = scans.scan_csv(f.spark, path, export.schema)
     return training.feature_frame(loaded, "combined_mood", STAMP_HEADER)
 
 
 @query
-def metadata_csv(spark: SparkSession, folder: str) -> DataFrame:
-    path = shared_folder(spark, "metadata-csv")
-    sinks.write_csv(_tracks(spark, folder), path)
-    return scans.scan_metadata_csv(spark, path)
+def metadata_csv(f: Frames) -> DataFrame:
+    path = shared_folder(f.spark, "metadata-csv")
+    sinks.write_csv(f.tracks, path)
+    return scans.scan_metadata_csv(f.spark, path)
 
 
 @query
-def split_md5(spark: SparkSession, folder: str) -> DataFrame:
+def split_md5(f: Frames) -> DataFrame:
     bucket = md5_bucket(["event_id"])
-    return _mart(spark, folder).select(
+    return f.mart().select(
         "event_id", bucket.alias("bucket"), (bucket < 80).alias("is_train")
     )
 
 
-def _simple_predictions(spark: SparkSession, folder: str) -> DataFrame:
+def _simple_predictions(f: Frames) -> DataFrame:
     """A stand-in predictor (the song mood) whose metrics any engine can recompute."""
-    mart = training.with_combined_target(_mart(spark, folder)).dropna(subset=["combined_mood"])
+    mart = training.with_combined_target(f.mart()).dropna(subset=["combined_mood"])
     return mart.select(
         F.col("combined_mood").alias("actual"),
         F.col("song_mood").cast("double").alias("prediction"),
@@ -567,40 +580,40 @@ def _simple_predictions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def regression_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(training.regression_metrics(_simple_predictions(spark, folder)))
+def regression_metrics(f: Frames) -> DataFrame:
+    return _rounded(training.regression_metrics(_simple_predictions(f)))
 
 
 @query
-def residual_bins(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(training.residual_bins(_simple_predictions(spark, folder)))
+def residual_bins(f: Frames) -> DataFrame:
+    return _rounded(training.residual_bins(_simple_predictions(f)))
 
 
-def _combined_model(spark: SparkSession, folder: str) -> training.Trained:
+def _combined_model(f: Frames) -> training.Trained:
     # Trees read their input many times, so it is written once.
-    mart = written(training.with_combined_target(_mart(spark, folder)), "training-mart")
+    mart = written(training.with_combined_target(f.mart()), "training-mart")
     return training.train_mood(mart, "combined_mood", "Event_Start_Timestamp", ["event_id"])
 
 
 @query
-def rf_train(spark: SparkSession, folder: str) -> DataFrame:
-    return training.regression_metrics(_combined_model(spark, folder).predictions())
+def rf_train(f: Frames) -> DataFrame:
+    return training.regression_metrics(_combined_model(f).predictions())
 
 
 @query
-def rf_importance(spark: SparkSession, folder: str) -> DataFrame:
-    return _combined_model(spark, folder).importances()
+def rf_importance(f: Frames) -> DataFrame:
+    return _combined_model(f).importances()
 
 
 @query
-def rf_weather(spark: SparkSession, folder: str) -> DataFrame:
+def rf_weather(f: Frames) -> DataFrame:
     """The second training task, through a saved and reloaded model."""
-    hours = hourly_weather_mood(_readings(spark, folder)).withColumnRenamed(
+    hours = f.hours.withColumnRenamed(
         "timestamp_converted", "time"
     )
     data = written(hours.drop("timestamp", "date"), "training-weather")
     trained = training.train_mood(data, "weather_mood", "time", ["reading_id"])
-    path = shared_folder(spark, "weather-model")
+    path = shared_folder(f.spark, "weather-model")
     trained.save(path)
     trained.model = training.PipelineModel.load(path)
     return training.regression_metrics(trained.predictions())

@@ -11,12 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings the models rely on.
 
-    Calendar parts are UTC parts, whatever the host's zone is. The mart is wide enough
-    for one fused method to pass 8000 bytes of bytecode, which the JVM then never
-    compiles; with this limit Spark runs such a stage as separate, compiled projections.
+    Calendar parts are UTC parts, whatever the host's zone is.
+
+    The mart is wide: fused into one method, its stage passes 8000 bytes of bytecode, and
+    such a method the JVM only ever interprets. Nodes of many columns therefore run as
+    separate compiled projections, while the narrow parts of a stage stay fused.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    spark.conf.set("spark.sql.codegen.maxFields", "25")
     return spark
 
 

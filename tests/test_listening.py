@@ -14,8 +14,7 @@ from skytune.plans import listening
 
 @pytest.fixture(scope="module")
 def matched(spark):
-    registry.prepare(spark)
-    return registry._matched(spark, TABLES).cache()
+    return registry.Frames(registry.prepare(spark), TABLES).matched().cache()
 
 
 @pytest.fixture(scope="module")
