@@ -485,6 +485,7 @@ day_plays AS (
   SELECT DISTINCT m.Content_Name, m.Artist_Name, m.album_name, m.streamable,
     p.played_at, p.played_at_uts, m.music_date, m.music_hour, m.has_weather_data, m.song_mood
   FROM mart m JOIN plays p ON p.event_id = m.event_id
+    AND p.played_at = strftime(m.Event_Start_Timestamp, '%d %b %Y, %H:%M')
   WHERE p.played_at_uts::BIGINT BETWEEN epoch(TIMESTAMP '2024-01-09 23:00:00')::BIGINT
     AND epoch(TIMESTAMP '2024-01-10 22:59:59')::BIGINT)
 SELECT music_date, music_hour, has_weather_data, count(*) AS plays,

@@ -27,6 +27,18 @@ def test_query_equals_sql(spark, db, name):
     assert report.startswith(f"{name}: ok") and "TYPES" not in report, report
 
 
+@pytest.mark.parametrize("name", ["weather_model", "combined_mart", "listening_hourly"])
+def test_shuffled_joins_give_the_same(spark, db, name):
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        report = compare(spark, db, TABLES, name)
+    finally:
+        spark.conf.set(limit, before)
+    assert report.startswith(f"{name}: ok"), report
+
+
 def test_forest_over_saved_model(spark):
     row = driver.queries()["rf_weather"](spark, TABLES).first()
     assert row.n > 0 and row.r2 > 0.8
