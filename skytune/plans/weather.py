@@ -145,16 +145,18 @@ def weather_mood(
     weather: DataFrame,
     keys: Sequence[str] = (),
     tie_break: Sequence[str] = (),
+    keep: Sequence[str] = (),
     *,
     weather_tz: str | None = None,
     fix_ranges: bool = False,
     strict: bool = False,
 ) -> DataFrame:
     """The whole model. ``keys`` names location columns when several places are loaded;
-    ``tie_break`` orders readings that share a timestamp."""
+    ``tie_break`` orders readings that share a timestamp; ``keep`` passes other landed
+    columns through, such as the wind speed that only some pulls deliver."""
     scored = hourly_weather_mood(
         weather, weather_tz=weather_tz, fix_ranges=fix_ranges, strict=strict
     )
     full = with_trend_and_context(scored, keys, tie_break)
-    ties = (c for c in tie_break if c not in WEATHER_COLUMNS)
-    return full.select(*keys, *ties, *WEATHER_COLUMNS)
+    extra = (c for c in (*tie_break, *keep) if c not in WEATHER_COLUMNS)
+    return full.select(*keys, *extra, *WEATHER_COLUMNS)

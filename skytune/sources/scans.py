@@ -47,3 +47,8 @@ def stream_parquet(spark: SparkSession, path: str, schema: StructType) -> DataFr
     folder, name = path.rsplit("/", 1)
     stem, dot, suffix = name.partition(".")
     return spark.readStream.schema(schema).parquet(f"{folder}/{{{stem}}}{dot}{suffix}")
+
+
+def stream_music_pulls(spark: SparkSession, path: str) -> DataFrame:
+    """Music documents as they land in a folder."""
+    return spark.readStream.schema(schemas.MUSIC_PULL).json(path)

@@ -118,6 +118,11 @@ def test_weather_locations_do_not_mix(spark):
     assert weather_mood(df, keys=["place"]).where("prev_hour_temperature IS NULL").count() == 2
 
 
+def test_wind_passes_through(spark):
+    df = _weather(spark, BEST | {"timestamp": "2025-12-08T12:00:00Z", "windspeed_10m": 7.5})
+    assert weather_mood(df, keep=["windspeed_10m"]).first().windspeed_10m == 7.5
+
+
 def test_mart_fans_out_and_flags_missing_weather(spark):
     plays = _plays(spark, ("blue", "08 Dec 2025, 12:30", None, "A"), ("blue", "08 Dec 2025, 13:30", None, "A"))
     hour = BEST | {"timestamp": "2025-12-08T12:00:00Z"}
