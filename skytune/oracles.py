@@ -7,6 +7,9 @@ windows, and parsing uses the engine's own date parser.
 
 from __future__ import annotations
 
+from skytune.plans.mart import WEATHER_SIDE
+from skytune.plans.music import AUDIO_FEATURES, MUSIC_COLUMNS
+
 
 def _steps(column: str, *thresholds: float) -> str:
     """How many thresholds the column reaches (none for NULL)."""
@@ -231,9 +234,7 @@ best AS (
 """
 
 
-_FEATURES = """b.danceability, b.energy, b.valence, b.tempo, b.loudness, b.popularity,
-    b.explicit, b.duration_ms, b.speechiness, b.acousticness, b.instrumentalness, b.liveness,
-    b.track_genre"""
+_FEATURES = ", ".join(f"b.{c}" for c in AUDIO_FEATURES)
 
 
 def _matched(by_artist: bool = False) -> str:
@@ -285,40 +286,32 @@ music AS (
 
 _M_RESULT = """event_id, energy_score, valence_score, danceability_score, tempo_score, genre_score,
   acousticness_score, time_listening_score, popularity_score, music_mood_raw, music_mood"""
-_M_MODEL = """event_id, track_name, artist_name, album_name, streamable, played_at, played_at_ts,
-  play_date, play_hour, play_day_of_week, play_month, danceability, energy, valence, tempo,
-  loudness, popularity, explicit, duration_ms, duration_minutes, speechiness, acousticness,
-  instrumentalness, liveness, track_genre, energy_score, valence_score, danceability_score,
-  tempo_score, genre_score, acousticness_score, time_listening_score, popularity_score,
-  music_mood_raw, music_mood, music_mood_category, is_uplifting_music, is_depressing_music,
-  time_of_day_category"""
+_M_MODEL = f"event_id, {', '.join(MUSIC_COLUMNS)}"
 
 # --- mart ----------------------------------------------------------------------------
 
 
 def _mart(stamp: str | None = None) -> str:
     weather = _weather(stamp=stamp) if stamp else _weather()
+    same = ["album_name", "streamable", *AUDIO_FEATURES, "is_uplifting_music",
+            "is_depressing_music"]
+    renamed = {
+        "Artist_Name": "artist_name", "Content_Name": "track_name", "song_mood": "music_mood",
+        "song_mood_category": "music_mood_category", "music_date": "play_date",
+        "music_hour": "play_hour", "event_hour": "play_hour",
+        "event_day_of_week": "play_day_of_week", "event_month": "play_month",
+    } | {f"Event_{e}_Timestamp": "played_at_ts" for e in ("Start", "Received", "End")}
+    picked = [f"music.{c}" for c in same] + [f"music.{c} AS {n}" for n, c in renamed.items()]
+    picked += [f"weather.{c}" for c in WEATHER_SIDE]
     return f"""
 {weather}, {_music()},
 mart AS (
-  SELECT m.event_id, m.played_at_ts AS Event_Start_Timestamp,
-    m.played_at_ts AS Event_Received_Timestamp, m.played_at_ts AS Event_End_Timestamp,
-    m.artist_name AS Artist_Name, m.track_name AS Content_Name, m.album_name, m.streamable,
-    m.danceability, m.energy, m.valence, m.tempo, m.loudness, m.popularity, m.duration_ms,
-    m.explicit, m.track_genre, m.speechiness, m.acousticness, m.instrumentalness, m.liveness,
-    m.music_mood AS song_mood, w.weather_mood, w.temperature_2m, w.apparent_temperature,
-    w.weather_condition, w.simplified_condition, w.cloudcover, w.precipitation,
-    w.relativehumidity_2m, m.music_mood_category AS song_mood_category, w.weather_mood_category,
-    w.temperature_category, w.is_great_weather_mood, w.is_poor_weather_mood,
-    m.is_uplifting_music, m.is_depressing_music, m.play_date AS music_date,
-    m.play_hour AS music_hour, minute(m.played_at_ts)::INT AS music_minute,
-    m.play_hour AS event_hour, m.play_day_of_week AS event_day_of_week,
-    m.play_month AS event_month, day(m.played_at_ts)::INT AS event_day,
-    w.reading_id IS NOT NULL AS has_weather_data, '' AS track_id, 0::INT AS key, 0::INT AS mode,
+  SELECT event_id, {", ".join(picked)},
+    minute(played_at_ts)::INT AS music_minute, day(played_at_ts)::INT AS event_day,
+    reading_id IS NOT NULL AS has_weather_data, '' AS track_id, 0::INT AS key, 0::INT AS mode,
     0::INT AS time_signature
-  FROM music m LEFT JOIN weather w
-    ON w.timestamp_converted = date_trunc('hour', m.played_at_ts)
-  WHERE m.played_at_ts IS NOT NULL)
+  FROM music LEFT JOIN weather ON timestamp_converted = date_trunc('hour', played_at_ts)
+  WHERE played_at_ts IS NOT NULL)
 """
 
 
@@ -397,13 +390,10 @@ FROM orders""",
 SELECT lower(trim(track_name, ' ')) AS track_key, lower(trim(artist_name, ' ')) AS artist_key,
   count(*) AS plays FROM plays GROUP BY 1, 2""",
     "metadata_best": f"""WITH {TRACKS}, {_best()}
-SELECT track_id, track_name, artists, danceability, energy, valence, tempo, loudness, popularity,
-  explicit, duration_ms, speechiness, acousticness, instrumentalness, liveness, track_genre,
-  cleaned_track_name FROM best""",
+SELECT track_id, track_name, artists, {", ".join(AUDIO_FEATURES)}, cleaned_track_name FROM best""",
     "metadata_best_by_artist": f"""WITH {TRACKS}, {_best(by_artist=True)}
-SELECT track_id, track_name, artists, danceability, energy, valence, tempo, loudness, popularity,
-  explicit, duration_ms, speechiness, acousticness, instrumentalness, liveness, track_genre,
-  cleaned_track_name, cleaned_artist_name FROM best""",
+SELECT track_id, track_name, artists, {", ".join(AUDIO_FEATURES)}, cleaned_track_name,
+  cleaned_artist_name FROM best""",
     "plays_matched": f"WITH {_matched()} SELECT * FROM matched",
     "plays_matched_by_artist": f"WITH {_matched(by_artist=True)} SELECT * FROM matched",
     "music_scores": f"WITH {_music()} SELECT {_M_RESULT} FROM music",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from skytune.operators.joins import lookup_join
 
+# Weather columns of the mart, and all its columns in order.
 WEATHER_SIDE = (
     "weather_mood",
     "temperature_2m",
@@ -75,6 +76,7 @@ MART_COLUMNS = (
     "time_signature",
 )
 
+# Names that music columns take in the mart.
 MUSIC_NAMES = {
     "track_name": "Content_Name",
     "artist_name": "Artist_Name",
@@ -84,7 +86,7 @@ MUSIC_NAMES = {
     "play_hour": "music_hour",
 }
 
-# Columns a training set expects although no source delivers them.
+# Columns a training set expects although no source delivers them.
 PLACEHOLDERS = {"track_id": "", "key": 0, "mode": 0, "time_signature": 0}
 
 

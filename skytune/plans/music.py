@@ -14,6 +14,7 @@ from skytune.functions.times import duration_minutes, epoch_timestamp, parse_pla
 from skytune.operators.joins import lookup_join
 from skytune.operators.picks import top_per_key
 
+# Audio features, and the model's output columns in order.
 AUDIO_FEATURES = (
     "danceability",
     "energy",

@@ -13,6 +13,7 @@ from skytune.functions.times import parse_iso
 from skytune.operators.context import with_group_context
 from skytune.operators.lagging import bucketed_lag
 
+# Output columns in order.
 WEATHER_COLUMNS = (
     "timestamp",
     "timestamp_converted",
