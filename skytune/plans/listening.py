@@ -64,11 +64,18 @@ def hourly_listening(matched: DataFrame) -> DataFrame:
     )
 
 
-def cumulative_listening(matched: DataFrame) -> DataFrame:
-    """Songs played so far in the day, per user and minute with at least one play."""
+def cumulative_listening(plays: DataFrame) -> DataFrame:
+    """Songs played so far in the day, per user and minute with at least one play.
+
+    Takes cleaned plays: no metadata is needed, so no title join either.
+    """
     minutes = (
-        matched.where(F.col("played_at_ts").isNotNull())
-        .groupBy(*USER_DAY, F.date_trunc("minute", "played_at_ts").alias("play_minute"))
+        plays.where(F.col("played_at_ts").isNotNull())
+        .groupBy(
+            "user_id",
+            F.to_date("played_at_ts").alias("play_date"),
+            F.date_trunc("minute", "played_at_ts").alias("play_minute"),
+        )
         .agg(F.count(F.lit(1)).alias("plays"))
     )
     so_far = (

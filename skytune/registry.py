@@ -498,7 +498,7 @@ def listening_hourly(f: Frames) -> DataFrame:
 
 @query
 def listening_cumulative(f: Frames) -> DataFrame:
-    return listening.cumulative_listening(f.matched())
+    return listening.cumulative_listening(clean_plays(f.plays, ["user_id"]))
 
 
 @query
