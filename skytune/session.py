@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,19 +43,51 @@ def local_session(cores: str = "*", partitions: int = 8, **conf: str) -> SparkSe
     return prepare(spark)
 
 
-def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder, reachable by every executor, for one written table or checkpoint.
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Give Python workers this package, wherever they start; once per application."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        _SHIPPED.add(app)
+        package = Path(__file__).resolve().parent
+        folder = tempfile.mkdtemp(prefix="skytune-code-")  # the driver serves it to the executors
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        name = shutil.make_archive(f"{folder}/skytune", "zip", package.parent, package.name)
+        spark.sparkContext.addPyFile(name)
+    return spark
+
 
-    The cluster names the root in ``spark.checkpoint.dir``. Only a local session,
-    where one machine is the whole cluster, may fall back to a temporary folder.
+#: Folders of local sessions that name none, by application.
+_LOCAL_ROOTS: dict[str, str] = {}
+#: Copies written and not yet released, with the session that wrote them.
+_COPIES: dict[str, SparkSession] = {}
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The folder all executors share, as the session names it in ``spark.checkpoint.dir``.
+
+    A local session, where one machine is the whole cluster, gets a folder of its own if it names
+    none; it goes when the process ends. Any other session must name one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="skytune-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/skytune/{purpose}-{uuid.uuid4().hex}"
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="skytune-")
+        atexit.register(shutil.rmtree, _LOCAL_ROOTS[app], ignore_errors=True)
+    return _LOCAL_ROOTS[app]
+
+
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder, reachable by every executor, for one written table or checkpoint."""
+    path = f"{shared_root(spark)}/skytune/{purpose}-{uuid.uuid4().hex}"
+    _COPIES[path] = spark
+    return path
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:
@@ -60,8 +95,36 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
 
     Lineage is cut in a way that outlives lost executors, and the optimizer then
     knows the real size in bytes, so it broadcasts the table only if it is small.
+    The copy stays until ``release`` or the end of the process.
     """
     spark = df.sparkSession
     path = shared_folder(spark, purpose)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._written_to = path
+    return back
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    _COPIES.pop(path, None)
+
+
+def release(*frames: DataFrame | None) -> None:
+    """Delete copies made by ``written`` that nothing reads any more."""
+    for df in frames:
+        path = getattr(df, "_written_to", None)
+        if path in _COPIES:
+            delete(df.sparkSession, path)
+
+
+@atexit.register
+def release_all() -> None:
+    """Delete every copy whose session still runs."""
+    for path, spark in list(_COPIES.items()):
+        try:
+            delete(spark, path)
+        except Exception:  # the session ended first: its owner cleans the shared folder
+            _COPIES.pop(path, None)
