@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skytune.llm import bpe, fingerprint, lines, tokencount
+from skytune.llm import bpe, fingerprint, lines, minhash, tokencount
+from skytune.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {"op8_line_dedup": lines.ORACLE}
@@ -21,8 +23,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return fn(ship_package(spark), folder)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 @query
@@ -30,6 +36,11 @@ def op1_bpe_coding(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.coding_report(table(spark, folder, "documents"), WORD_VOCABULARY)
 
 
+@query
+def op2_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_groups(table(spark, folder, "documents"), percent=85)
+
+
 @query
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokencount.token_counts(table(spark, folder, "documents"), BYTE_VOCABULARY)
