@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from skytune.llm import bpe, lines
 from skytune.llm.queries import WORD_VOCABULARY
-from skytune.session import written
+from skytune.session import ship_package, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -34,7 +34,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; each result is written before the next stage reads it."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = ship_package(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), name)
     return docs
