@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -90,7 +92,19 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return path
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
+@contextmanager
+def shuffle_cleanup(spark: SparkSession) -> Iterator[None]:
+    """Inside, shuffle files go as soon as the job that wrote them has ended."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def written(df: DataFrame, purpose: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Lineage is cut in a way that outlives lost executors, and the optimizer then
@@ -99,7 +113,8 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_folder(spark, purpose)
-    df.write.parquet(path)
+    with shuffle_cleanup(spark):
+        df.write.partitionBy(*partition_by).parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back._written_to = path
     return back
