@@ -7,8 +7,9 @@ from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skytune.llm import bpe, fingerprint, lines, minhash, tokencount
+from skytune.llm import bpe, fingerprint, kneser_ney, lines, minhash, tokencount
 from skytune.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +55,9 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint.edit_report(table(spark, folder, "documents"))
+
+
+@query
+def op10_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return kneser_ney.language_scores(docs, kneser_ney.in_training(F.col("doc_id")))
