@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytune.llm import bpe, fingerprint, kneser_ney, lines, minhash, tokencount
+from skytune.llm import bpe, fingerprint, kneser_ney, lines, minhash, tokencount, toxicity
 from skytune.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,18 @@ def op2_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_groups(table(spark, folder, "documents"), percent=85)
 
 
+@query
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    return toxicity.scores(docs, labels, ~toxicity.held_out(F.col("doc_id"))).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        F.col("evidence.doc_id").alias("evidence"),
+    )
+
+
 @query
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokencount.token_counts(table(spark, folder, "documents"), BYTE_VOCABULARY)

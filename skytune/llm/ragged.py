@@ -79,11 +79,16 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def word_bounds(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First byte of each word and the byte behind it; words never cross texts."""
+def word_bounds(
+    data: np.ndarray, at: np.ndarray, between: np.ndarray = IS_SPACE
+) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of each word and the byte behind it; words never cross texts.
+
+    ``between`` tells of each byte whether it stands between words.
+    """
     n = int(at[-1])
     inside = np.zeros(n + 2, bool)
-    np.logical_not(IS_SPACE[data[:n]], out=inside[1:-1])
+    np.logical_not(between[data[:n]], out=inside[1:-1])
     fresh = np.zeros(n + 1, bool)
     fresh[at] = True
     starts = np.flatnonzero(inside[1:] & (~inside[:-1] | fresh))
