@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytune.llm import bpe, fingerprint, kneser_ney, lines, minhash, repeats, tokencount, toxicity
+from skytune.llm import bpe, decontaminate, fingerprint, kneser_ney, lines, minhash, repeats, tokencount, toxicity
 from skytune.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,6 +54,12 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return decontaminate.contamination(docs, items).drop("mark")
+
+
 @query
 def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.repeat_report(table(spark, folder, "documents"))
