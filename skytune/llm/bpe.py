@@ -223,7 +223,7 @@ class Decoder:
         place += np.arange(len(place))
         flat = self.bytes[place].tobytes()
         ends = np.concatenate([np.zeros(1, np.int64), end])
-        stops = ends[np.cumsum([len(x) // 4 for x in ids])].tolist()
+        stops = ends[np.cumsum([len(x) // 4 for x in ids], dtype=np.int64)].tolist()
         out, start = [], 0
         for stop in stops:
             out.append(flat[start : max(start, stop - self.cut)])

@@ -284,7 +284,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHAR
     gone = contamination(docs, benchmark, share).where("contaminated").select(
         F.col("doc_id").alias("_gone"), F.col("mark").alias("_mark")
     )
-    met = docs["doc_id"].eqNullSafe(F.col("_gone")) & (
-        F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("_mark")
+    met = docs["doc_id"].eqNullSafe(gone["_gone"]) & (
+        F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["_mark"]
     )
     return docs.join(gone, met, "left_anti")

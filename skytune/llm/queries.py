@@ -9,7 +9,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytune.llm import bpe, decontaminate, fingerprint, kneser_ney, lines, minhash, repeats, tokencount, toxicity
+from skytune.llm import (
+    bpe,
+    decontaminate,
+    fingerprint,
+    kneser_ney,
+    licenses,
+    lines,
+    minhash,
+    repeats,
+    tokencount,
+    toxicity,
+)
 from skytune.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,7 +50,19 @@ def op1_bpe_coding(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op2_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return minhash.near_groups(table(spark, folder, "documents"), percent=85)
+    return minhash.near_groups(table(spark, folder, "documents"), percent=85, rows=4)
+
+
+@query
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.license_notices(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        F.size("notices").cast("long").alias("n_notices"),
+        F.array_sort(F.array_distinct("notices.license")).alias("licenses"),
+        F.col("notices.start").alias("starts"),
+        F.col("notices.end").alias("ends"),
+    )
 
 
 @query

@@ -23,6 +23,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skytune.llm.ragged import (
     M3,
@@ -295,53 +296,65 @@ def learn(
     return build_index(vocabulary, rows)
 
 
-SCORED = (
-    "doc_id long, score double, "
-    "evidence array<struct<doc_id: bigint, cosine: double, toxic: double>>"
-)
+def scores(docs: DataFrame, labels: DataFrame, train: Column, **options: int) -> DataFrame:
+    """Per row: (doc_id, score, evidence).
+
+    ``labels`` has (doc_id, toxic); ``train`` picks those to learn from. Nothing but the text goes
+    into a score. Texts without vocabulary terms, null and empty ones too, get the prior, as do
+    all texts if there is nothing to learn from (it is zero then). Rows and ids may repeat, ids
+    may be null.
+    """
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return _scored(own, docs, labels, train, **options).select(
+        F.col("kept0").alias("doc_id"), "score", "evidence"
+    )
 
 
-def scores(
+def drop_toxic(
+    docs: DataFrame, labels: DataFrame, train: Column, threshold: float = 0.3, **options: int
+) -> DataFrame:
+    """``docs`` with the same columns, without rows that score ``threshold`` or more."""
+    scored = _scored(docs, docs, labels, train, **options).where(F.col("score") < threshold)
+    return scored.select(*(F.col(f"kept{i}").alias(c) for i, c in enumerate(docs.columns)))
+
+
+def _scored(
+    rows: DataFrame,
     docs: DataFrame,
     labels: DataFrame,
     train: Column,
     neighbours: int = NEIGHBOURS,
-    keep: tuple[str, ...] = (),
     **bounds: int,
 ) -> DataFrame:
-    """Per row: (doc_id, score, evidence) and the columns named in ``keep``.
-
-    ``labels`` has (doc_id, toxic); ``train`` picks those to learn from. Nothing but the text goes
-    into a score. Texts without vocabulary terms, null and empty ones too, get the prior, as do
-    all texts if there is nothing to learn from (it is zero then). Rows and ids may repeat, ids
-    may be null.
-    """
+    """The columns of ``rows`` as kept0, kept1 and so on, with score and evidence of ``text``."""
     index = docs.sparkSession.sparkContext.broadcast(learn(docs, labels, train, **bounds))
     kind = pa.list_(
         pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.float64())])
     )
 
+    kept = [f"kept{i}" for i in range(len(rows.columns))]
+    place = rows.columns.index("text")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[tuple, tuple[float, list[dict]]] = {}
-        for batch in slices(batches, 1, CHUNK):
+        for batch in slices(batches, place, CHUNK):
             made = []
-            for held in known_terms(strings(batch.column(1)), index.value.vocabulary):
+            for held in known_terms(strings(batch.column(place)), index.value.vocabulary):
                 if held not in seen:
                     if len(seen) > KEPT:
                         seen.clear()
                     seen[held] = index.value.score(held, neighbours)
                 made.append(seen[held])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([s for s, _ in made], pa.float64()),
-                 pa.array([e for _, e in made], kind), *batch.columns[2:]],
-                names=["doc_id", "score", "evidence", *(f"kept{i}" for i in range(len(keep)))],
+                [*batch.columns, pa.array([s for s, _ in made], pa.float64()),
+                 pa.array([e for _, e in made], kind)],
+                names=[*kept, "score", "evidence"],
             )
 
-    own = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text",
-        *(F.col(f"`{c}`").alias(f"kept{i}") for i, c in enumerate(keep)),
-    )
-    extra = "".join(f", kept{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep))
-    return own.mapInArrow(run, SCORED + extra).withColumnsRenamed(
-        {f"kept{i}": c for i, c in enumerate(keep)}
+    schema = T.StructType(
+        [T.StructField(k, f.dataType) for k, f in zip(kept, rows.schema.fields, strict=True)]
     )
+    schema.add("score", T.DoubleType())
+    shown = T.StructType().add("doc_id", T.LongType()).add("cosine", T.DoubleType())
+    schema.add("evidence", T.ArrayType(shown.add("toxic", T.DoubleType())))
+    return rows.mapInArrow(run, schema)
