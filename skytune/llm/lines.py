@@ -2,8 +2,9 @@
 
 Keys are hashed to 128 bits, dealt by range of (hash, document), so a line that a third of all
 documents hold is spread over many tasks, and sorted by document and position inside. Each task
-counts the documents of its part of a key; the partial counts of a key then meet. Texts are read
-once more only to apply the bitmaps. DataFrame functions only.
+counts the documents of its part of a key; the partial counts of a key then meet. Hashes are
+written once, without texts; texts are read again only to apply the bitmaps. DataFrame functions
+only.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from skytune.session import written
+
 WHITE = " \t\n\x0b\x0c\r"
 
 
@@ -75,9 +78,9 @@ def line_drops(
     document. Rows without an id neither count nor lose lines. An empty table gives no row.
     """
     n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = written(keyed_lines(docs, min_chars, id_col, text_col), "lines")
     dealt = (
-        keyed_lines(docs, min_chars, id_col, text_col)
-        .repartitionByRange(n, "h1", "h2", F.col("doc").desc())
+        keyed.repartitionByRange(n, "h1", "h2", F.col("doc").desc())
         .sortWithinPartitions("h1", "h2", F.col("doc").desc(), "pos")
     )
     holders = dealt.groupBy("h1", "h2", "doc").agg(F.count(F.lit(1)).alias("lines"))
@@ -113,34 +116,38 @@ def kept_text(text: Column, drops: Column) -> Column:
     return F.when(drops.isNull(), text).otherwise(F.array_join(F.flatten(kept), "\n"))
 
 
-def with_line_drops(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """Every row of ``docs`` with all its columns and ``line_drops``, null where none is lost."""
-    drops = line_drops(docs, id_col=id_col, text_col=text_col, **options).select(
-        F.col("doc").alias("_doc"), F.col("mark").alias("_mark"), F.col("drops").alias("line_drops")
+def with_line_drops(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: int
+) -> DataFrame:
+    """(row, id, text, drops): all columns of ``docs`` as one, and its lost lines, null if none."""
+    text = F.col(f"`{text_col}`")
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col(f"`{id_col}`").alias("id"), text.alias("text"),
+        row_mark(text).alias("mark"),
     )
-    marked = docs.drop("line_drops").withColumn("_row_mark", row_mark(F.col(f"`{text_col}`")))
-    met = (F.col(f"`{id_col}`") == F.col("_doc")) & (F.col("_row_mark") == F.col("_mark"))
-    return marked.join(drops, met, "left").drop("_doc", "_mark", "_row_mark")
+    drops = line_drops(docs, id_col=id_col, text_col=text_col, **options)
+    met = (rows["id"] == drops["doc"]) & (rows["mark"] == drops["mark"])
+    return rows.join(drops, met, "left").select("row", "id", "text", "drops")
 
 
-def line_report(docs: DataFrame, **options) -> DataFrame:
+def line_report(docs: DataFrame, **options: int) -> DataFrame:
     """Per document row: lines, lost lines and the digest of what stays."""
-    with_drops = with_line_drops(docs.select("doc_id", "text"), **options)
     text = F.coalesce("text", F.lit(""))
-    lost = F.aggregate("line_drops", F.lit(0), lambda total, r: total + r["length"])
-    return with_drops.select(
-        "doc_id",
+    lost = F.aggregate("drops", F.lit(0), lambda total, r: total + r["length"])
+    return with_line_drops(docs.select("doc_id", "text"), **options).select(
+        F.col("id").alias("doc_id"),
         F.size(lines_of(text)).cast("long").alias("n_lines"),
         F.coalesce(lost, F.lit(0)).cast("long").alias("n_dropped"),
-        F.sha2(kept_text(text, F.col("line_drops")), 256).alias("kept_sha256"),
+        F.sha2(kept_text(text, F.col("drops")), 256).alias("kept_sha256"),
     )
 
 
-def drop_lines(docs: DataFrame, **options) -> DataFrame:
+def drop_lines(docs: DataFrame, **options: int) -> DataFrame:
     """``docs`` with the same columns, texts without their lost lines."""
-    out = with_line_drops(docs, **options)
-    return out.withColumn("text", kept_text(F.col("text"), F.col("line_drops"))).select(
-        *(f"`{c}`" for c in docs.columns)
+    kept = kept_text(F.col("text"), F.col("drops"))
+    return with_line_drops(docs, **options).select(
+        *(kept.alias("text") if c == "text" else F.col("row").getField(c).alias(c)
+          for c in docs.columns)
     )
 
 
