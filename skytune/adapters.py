@@ -7,15 +7,19 @@ any engine can derive the same frames, and every frame grows with its table.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skytune.functions.rules import MUSIC_SCORES
+
 # One value per residue of the part key: all scored genres, one in capitals, one that no
 # rule names, one missing.
-GENRES = (
-    "pop dance disco funk rock alternative indie hip-hop rap r-n-b jazz blues classical "
-    "metal hard-rock sad emo Pop ambient"
-).split() + [None]
+GENRES = [
+    *(genre for genres, _ in MUSIC_SCORES["genre_score"].groups for genre in genres),
+    "Pop", "ambient", None,
+]
 
 TRACK_TIME = "dd MMM yyyy, HH:mm"
 
@@ -52,6 +56,34 @@ def readings(events: DataFrame) -> DataFrame:
         ),
         F.when(i % 97 != 0, ((i * 5) % 28).cast("double") / 4).alias("precipitation"),
         ((i * 17) % 101).cast("double").alias("relativehumidity_2m"),
+        F.when(i % 5 != 0, ((i * 13) % 60).cast("double") / 2).alias("windspeed_10m"),
+    )
+
+
+def gappy_readings(readings: DataFrame) -> DataFrame:
+    """The readings as a pull with gaps lands them: NaN for missing values, codes as 3.0."""
+    i = F.col("reading_id")
+
+    def gaps(name: str, modulus: int) -> Column:
+        return F.when(i % modulus == 0, F.lit(float("nan"))).otherwise(F.col(name)).alias(name)
+
+    return readings.select(
+        "timestamp", F.col("weathercode").cast("double").alias("weathercode"),
+        gaps("temperature_2m", 7), gaps("cloudcover", 5), gaps("relativehumidity_2m", 6),
+        gaps("precipitation", 13), "apparent_temperature", "windspeed_10m",
+    )
+
+
+def broken_pulls(plays: DataFrame) -> DataFrame:
+    """The music documents as text: some are cut off, in some ``track`` is no list."""
+    text = F.to_json(F.col("recenttracks"))
+    e = F.col("event_id")
+    pulls = music_pulls(plays, ["event_id"]).select("event_id", text.alias("inner"))
+    return pulls.select(
+        F.when(e % 25 == 0, F.lit('{"recenttracks": {"track": [{"name": "cut'))
+        .when(e % 25 == 1, F.lit('{"recenttracks": {"track": {"name": "alone"}}}'))
+        .otherwise(F.concat(F.lit('{"recenttracks": '), "inner", F.lit("}")))
+        .alias("value")
     )
 
 
@@ -101,7 +133,9 @@ def plays(events: DataFrame, part: DataFrame, parts: Column | int | None = None)
         .otherwise(F.concat(name, F.lit(" (live)")))
     )
     keyed = events.withColumn("p_partkey", e % parts)
-    joined = keyed.join(part.select("p_partkey", "p_name", "p_brand", "p_type"), "p_partkey")
+    joined = keyed.join(
+        part.select("p_partkey", "p_name", "p_brand", "p_type"), "p_partkey", "left"
+    )
     play = F.struct(
         "event_id",
         "user_id",
@@ -124,7 +158,7 @@ def order_times(orders: DataFrame) -> DataFrame:
     return orders.select("o_orderkey", F.date_format(stamp, TRACK_TIME).alias("played_at"))
 
 
-def music_pulls(plays: DataFrame) -> DataFrame:
+def music_pulls(plays: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Nested pull documents as the music service sends them, one per event.
 
     A play without a title becomes a pull with an empty track list. Every tenth pull
@@ -144,7 +178,7 @@ def music_pulls(plays: DataFrame) -> DataFrame:
     now_playing = F.when(F.col("event_id") % 10 == 0, track(F.when(F.lit(False), date)))
     done = F.when(F.col("track_name").isNotNull(), track(date))
     listed = F.array_compact(F.array(now_playing, done))
-    return plays.select(F.struct(listed.alias("track")).alias("recenttracks"))
+    return plays.select(*keep, F.struct(listed.alias("track")).alias("recenttracks"))
 
 
 HOURLY = (
@@ -154,6 +188,7 @@ HOURLY = (
     "cloudcover",
     "apparent_temperature",
     "precipitation",
+    "windspeed_10m",
 )
 
 

@@ -1,7 +1,8 @@
 """Banded rules: ordered tests on one column, the first that holds names the value.
 
 A rule is data; ``on`` turns it into one expression that stays inside whole-stage code
-generation. A NULL input satisfies no test and takes ``otherwise``. Rules on ranges become
+generation. A NULL input satisfies no test and takes
+``otherwise``; so does NaN in a column of real numbers, which Spark would take for the greatest. Rules on ranges become
 a ``CASE``; rules on single values a lookup in a constant map, which generates far less
 code than a chain of comparisons (the JVM never compiles a method over 8000 bytes).
 """
@@ -67,11 +68,14 @@ class Bands:
     source: str
     arms: tuple[tuple[Test, Any], ...]
     otherwise: Any
+    real: bool = field(default=False, kw_only=True)
 
     def on(self) -> Column:
         arms = " ".join(
             f"WHEN {test(self.source)} THEN {literal(result)}" for test, result in self.arms
         )
+        if self.real:
+            arms = f"WHEN isnan({self.source}) THEN {literal(self.otherwise)} {arms}"
         return F.expr(f"CASE {arms} ELSE {literal(self.otherwise)} END")
 
 
@@ -106,6 +110,11 @@ def clamp(value: Column, lo: int, hi: int) -> Column:
     return F.when(value.isNotNull(), F.greatest(F.lit(lo), F.least(F.lit(hi), value)))
 
 
+def known(value: Column) -> Column:
+    """A real number, or NULL where it is NaN: missing either way."""
+    return F.when(~F.isnan(value), value)
+
+
 def flag(condition: Column) -> Column:
     """A condition as a never-NULL boolean."""
     return F.coalesce(condition, F.lit(False))

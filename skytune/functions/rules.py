@@ -29,16 +29,19 @@ MUSIC_SCORES = {
         "energy",
         ((at_least(0.8), 5), (at_least(0.6), 3), (at_least(0.4), 1), (at_least(0.2), -1)),
         -3,
+        real=True,
     ),
     "valence_score": Bands(
         "valence",
         ((at_least(0.8), 5), (at_least(0.6), 3), (at_least(0.4), 1), (at_least(0.2), -2)),
         -5,
+        real=True,
     ),
     "danceability_score": Bands(
         "danceability",
         ((at_least(0.7), 3), (at_least(0.5), 1), (at_least(0.3), -1)),
         -2,
+        real=True,
     ),
     "tempo_score": Bands(
         "tempo",
@@ -50,6 +53,7 @@ MUSIC_SCORES = {
             (between(60.0, 80.0), -1),
         ),
         0,
+        real=True,
     ),
     "genre_score": Lookup(
         "track_genre",
@@ -69,6 +73,7 @@ MUSIC_SCORES = {
         "acousticness",
         ((at_least(0.8), -1), (at_least(0.5), 0), (at_least(0.2), 1)),
         2,
+        real=True,
     ),
     "time_listening_score": Bands(
         "play_hour",
@@ -157,6 +162,7 @@ TEMPERATURE_CATEGORY = Bands(
         (above(30.0), "very_hot"),
     ),
     "unknown",
+    real=True,
 )
 
 # Fractional cover between 20 and 21 or 50 and 51 belongs to no band.
@@ -169,6 +175,7 @@ CLOUD_CATEGORY = Bands(
         (above(80.0), "overcast"),
     ),
     "unknown",
+    real=True,
 )
 
 WEATHER_SCORES = {
@@ -221,6 +228,7 @@ WEATHER_SCORES = {
         "precipitation",
         ((exactly(0.0), 0), (below(1.0), -1), (below(5.0), -2)),
         -3,
+        real=True,
     ),
     "humidity_score": Bands(
         "relativehumidity_2m",
@@ -230,6 +238,7 @@ WEATHER_SCORES = {
             (above(80.0), -2),
         ),
         0,
+        real=True,
     ),
 }
 
@@ -252,6 +261,7 @@ WEATHER_SCORES_FIXED = WEATHER_SCORES | {
             (any_of(below(30.0), above(70.0)), -1),
         ),
         0,
+        real=True,
     ),
 }
 

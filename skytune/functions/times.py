@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 # English month abbreviations, in calendar order.
 MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 
+#: Steps of a time axis that one array holds.
+BLOCK = 10_000
+
 ISO_Z = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
@@ -49,8 +52,12 @@ def parse_played_at(text: Column, strict: bool = False) -> Column:
 
 
 def parse_iso(text: Column, source_zone: str | None = None, strict: bool = False) -> Column:
-    """ISO text to a UTC timestamp; ``source_zone`` re-reads a wall clock stamped as UTC."""
-    stamp = _as_timestamp(text, strict)
+    """ISO text to a UTC timestamp; ``source_zone`` re-reads a wall clock stamped as UTC.
+
+    The text must start with a full date: Spark alone would take today for a bare time of day.
+    """
+    dated = F.when(F.btrim(text).rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), text)
+    stamp = _as_timestamp(dated, strict)
     return F.to_utc_timestamp(stamp, source_zone) if source_zone else stamp
 
 
@@ -92,8 +99,14 @@ def local_date(stamp: Column, zone: str) -> Column:
 
 
 def time_axis(df: DataFrame, start: str, end: str, step: str, name: str) -> DataFrame:
-    """One row per step from ``start`` up to but without ``end`` (epoch seconds columns)."""
+    """One row per step from ``start`` up to but without ``end`` (epoch seconds columns).
+
+    Blocks of steps come first, then the steps of each block, so no row ever holds more than a
+    block or the list of blocks, however fine the step.
+    """
     lo, hi, by = F.col(start), F.col(end), F.col(step)
-    ticks = F.when(hi > lo, F.sequence(lo, hi - 1, by))
-    seconds = df.select("*", F.explode(ticks).alias(name))
-    return seconds.withColumn(name, F.timestamp_seconds(name))
+    wide = by * BLOCK
+    blocks = df.where(hi > lo).select("*", F.explode(F.sequence(lo, hi - 1, wide)).alias(name))
+    first = F.col(name)
+    ticks = F.sequence(first, F.least(first + wide, hi) - 1, by)
+    return blocks.withColumn(name, F.explode(ticks)).withColumn(name, F.timestamp_seconds(name))

@@ -20,7 +20,7 @@ def top_per_key(
     return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 
 
-def latest(df: DataFrame, order: Sequence[Column], n: int = 200) -> DataFrame:
+def latest(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     """The ``n`` latest rows overall (each task keeps its own ``n`` before the merge)."""
     return df.orderBy(*order).limit(n)
 
@@ -35,5 +35,5 @@ def ordered(df: DataFrame, *columns: str) -> DataFrame:
     return df.orderBy(*(F.col(c).asc_nulls_first() for c in columns))
 
 
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
+def preview(df: DataFrame, n: int) -> DataFrame:
     return df.limit(n)

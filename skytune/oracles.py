@@ -41,11 +41,12 @@ def _by_hour(*runs: tuple[int, int]) -> list[int]:
 
 # Code groups and their labels.
 _CONDITION = (
-    {0: "clear", 1: "mainly_clear", 2: "partly_cloudy", 3: "overcast", 77: "snow_grains"}
+    {0: "clear", 1: "mainly_clear", 2: "partly_cloudy", 3: "overcast"}
     | dict.fromkeys((45, 48), "foggy")
     | dict.fromkeys((51, 53, 55), "drizzle")
     | dict.fromkeys((61, 63, 65), "rainy")
     | dict.fromkeys((71, 73, 75), "snowy")
+    | {77: "snow_grains"}
     | dict.fromkeys((80, 81, 82), "rain_showers")
     | dict.fromkeys((85, 86), "snow_showers")
     | {95: "thunderstorm", 96: "thunderstorm_hail", 99: "thunderstorm_hail"}
@@ -92,14 +93,16 @@ readings AS (
     (i * 37) % 104 AS weathercode,
     ((i * 29) % 101)::DOUBLE + CASE WHEN i % 3 = 0 THEN 0.5::DOUBLE ELSE 0::DOUBLE END AS cloudcover,
     CASE WHEN i % 97 <> 0 THEN ((i * 5) % 28)::DOUBLE / 4 END AS precipitation,
-    ((i * 17) % 101)::DOUBLE AS relativehumidity_2m
+    ((i * 17) % 101)::DOUBLE AS relativehumidity_2m,
+    CASE WHEN i % 5 <> 0 THEN ((i * 13) % 60)::DOUBLE / 2 END AS windspeed_10m
   FROM numbered)
 """
 
-_GENRES = (
-    "pop dance disco funk rock alternative indie hip-hop rap r-n-b jazz blues classical "
-    "metal hard-rock sad emo Pop ambient"
-).split()
+# The genres of the tracks, by residue.
+_GENRES = [
+    "pop", "dance", "disco", "funk", "rock", "alternative", "indie", "hip-hop", "rap", "r-n-b",
+    "jazz", "blues", "classical", "metal", "hard-rock", "sad", "emo", "Pop", "ambient",
+]
 _GENRE_LIST = ", ".join([f"'{g}'" for g in _GENRES] + ["NULL"])
 
 TRACKS = f"""
@@ -194,6 +197,18 @@ weather AS (
 """
 
 
+def _gappy(weather: str) -> str:
+    """The same with missing values where the landed text has NaN."""
+    for formula, modulus in (
+        ("((i * 7) % 45 - 8)::DOUBLE + (i % 2)::DOUBLE / 2", 7),
+        ("((i * 5) % 28)::DOUBLE / 4", 13),
+        ("((i * 17) % 101)::DOUBLE", 6),
+        ("((i * 29) % 101)::DOUBLE + CASE WHEN i % 3 = 0 THEN 0.5::DOUBLE ELSE 0::DOUBLE END", 5),
+    ):
+        weather = weather.replace(formula, f"CASE WHEN i % {modulus} <> 0 THEN {formula} END")
+    return weather
+
+
 _LAGS = """
     lag(weather_mood) OVER o AS prev_hour_weather_mood,
     lag(temperature_2m) OVER o AS prev_hour_temperature"""
@@ -415,11 +430,11 @@ SELECT music_date, has_weather_data, count(*) AS plays, sum(song_mood)::BIGINT A
     "staged_plays": f"WITH {_LANDED} SELECT DISTINCT * FROM landed",
     "weather_records": f"""WITH {READINGS}
 SELECT "timestamp", temperature_2m, weathercode, relativehumidity_2m, cloudcover,
-  apparent_temperature, precipitation, NULL::DOUBLE AS windspeed_10m FROM readings""",
+  apparent_temperature, precipitation, windspeed_10m FROM readings""",
     "hourly_arrays": f"""WITH {READINGS}
 SELECT strftime(make_timestamp(reading_id * 3600000000), '%Y-%m-%dT%H:%M:%SZ') AS "timestamp",
   temperature_2m, weathercode, relativehumidity_2m, cloudcover, apparent_temperature,
-  precipitation FROM readings""",
+  precipitation, windspeed_10m FROM readings""",
     "positional_variables": f"""WITH {READINGS},
 days AS (SELECT DISTINCT reading_id // 24 AS day_no FROM readings),
 slots AS (SELECT day_no * 24 + unnest(generate_series(0, 23)) AS reading_id FROM days)
@@ -544,10 +559,28 @@ HAVING date_trunc('hour', Event_Start_Timestamp) + INTERVAL 1 HOUR
 SELECT danceability, energy, valence, tempo, loudness, popularity, duration_ms, speechiness,
   acousticness, instrumentalness, liveness, song_mood, weather_mood, temperature_2m,
   apparent_temperature, cloudcover, precipitation, relativehumidity_2m, music_hour, music_minute,
-  event_hour, event_day_of_week, event_month, event_day, key, mode, time_signature, event_id,
+  event_hour, event_day_of_week, event_month, event_day, key, mode, time_signature,
   event_hour AS hour, (song_mood + weather_mood)::DOUBLE / 2 AS combined_mood
 FROM mart""",
-    "metadata_csv": f"WITH {TRACKS} SELECT * FROM tracks",
+    "metadata_csv": f"""WITH {TRACKS} SELECT * REPLACE (
+  track_name || ' "live, ' || artists || '"' AS track_name) FROM tracks""",
+    "weather_gaps": f"""WITH {_gappy(_weather())}
+SELECT "timestamp", weathercode, temperature_category, cloud_category, temperature_score,
+  cloud_score, humidity_score, precipitation_penalty, weather_mood_raw FROM weather""",
+    "reject_counts": f"""WITH {PLAYS}
+SELECT count(*) AS documents, count(*) FILTER (event_id % 25 < 2) AS rejected,
+  (sum((track_name IS NOT NULL)::INT + (event_id % 10 = 0)::INT)
+    FILTER (event_id % 25 >= 2))::BIGINT AS tracks,
+  (sum((track_name IS NOT NULL AND played_at IS NULL)::INT + (event_id % 10 = 0)::INT)
+    FILTER (event_id % 25 >= 2))::BIGINT AS undated
+FROM plays""",
+    "empty_guard": "SELECT count(*) AS rows, false AS replaced FROM events",
+    "rf_checks": f"""WITH {_weather()}
+SELECT count(*) AS test_rows, 18::BIGINT AS features, 1.0::DOUBLE AS importance, true AS fits,
+  true AS reloaded_same
+FROM weather WHERE temperature_2m IS NOT NULL AND apparent_temperature IS NOT NULL
+  AND precipitation IS NOT NULL AND moment IS NOT NULL AND windspeed_10m IS NOT NULL
+  AND ('0x' || substr(md5(reading_id::VARCHAR), 1, 8))::BIGINT % 100 >= 80""",
     "split_md5": f"""WITH {_mart()},
 b AS (SELECT event_id, (('0x' || substr(md5(event_id::VARCHAR), 1, 8))::BIGINT % 100)::INT AS bucket FROM mart)
 SELECT event_id, bucket, bucket < 80 AS is_train FROM b""",

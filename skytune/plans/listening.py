@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skytune.functions.bands import known
+
 AVERAGED = (
     "danceability",
     "energy",
@@ -94,7 +96,7 @@ def average_features(matched: DataFrame, grain: str = "hour") -> DataFrame:
         .groupBy(*groups)
         .agg(
             F.count(F.lit(1)).alias("matched_plays"),
-            *(F.avg(c).alias(f"avg_{c}") for c in AVERAGED),
+            *(F.avg(known(F.col(c))).alias(f"avg_{c}") for c in AVERAGED),
         )
     )
 

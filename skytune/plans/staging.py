@@ -38,6 +38,10 @@ def stage_plays(pulls: DataFrame) -> DataFrame:
 def stage_weather_arrays(pulls: DataFrame, source_zone: str | None = None) -> DataFrame:
     """Hourly arrays to weather records with an ISO ``…Z`` timestamp."""
     fields = WEATHER_ARRAYS["hourly"].dataType.names
+    # wind is only delivered by some pulls
+    calm = F.transform("hourly.time", lambda _: F.lit(None).cast("double"))
+    wind = F.coalesce("hourly.windspeed_10m", calm)
+    pulls = pulls.withColumn("hourly", F.col("hourly").withField("windspeed_10m", wind))
     rows = parallel_arrays_to_rows(pulls, "hourly", fields)
     stamp = iso_z(parse_iso(F.col("time"), source_zone))
     return rows.select(stamp.alias("timestamp"), *(f for f in fields if f != "time"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -57,6 +59,7 @@ class Trained:
     features: list[str]
     target: str
     test: DataFrame
+    lacking: int = 0
 
     def predictions(self) -> DataFrame:
         """Actual against predicted, on the held-out rows."""
@@ -74,11 +77,28 @@ class Trained:
         self.model.write().overwrite().save(path)
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """At least one partition per core: trees train in parallel over partitions only.
-    Round robin, so that no key can make one of them large."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def completed(df: DataFrame, columns: Sequence[str], missing: str) -> tuple[DataFrame, int]:
+    """Rows fit for training, and how many rows miss a value in ``columns`` (NULL or NaN).
+
+    ``missing`` is ``raise``, ``drop`` (leave those rows out) or ``impute`` (take the mean).
+    """
+    if missing not in ("raise", "drop", "impute"):
+        raise ValueError(f"missing must be raise, drop or impute, not {missing!r}")
+    absent = reduce(or_, (F.col(c).isNull() | F.isnan(F.col(c).cast("double")) for c in columns))
+    lacking = df.where(absent).count()
+    if missing == "raise" and lacking:
+        raise ValueError(f"{lacking} rows lack one of {list(columns)}")
+    if missing == "impute" and lacking:
+        means = df.agg(
+            *(F.avg(F.nanvl(F.col(c).cast("double"), F.lit(None))).alias(c) for c in columns)
+        ).first()
+        return df.withColumns(
+            {
+                c: F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None)), F.lit(means[c]))
+                for c in columns
+            }
+        ), lacking
+    return (df.where(~absent) if lacking else df), lacking
 
 
 def train_mood(
@@ -90,16 +110,20 @@ def train_mood(
     trees: int = TREES,
     depth: int = 8,
     seed: int = SEED,
+    missing: str = "drop",
+    partitions: int = 8,
 ) -> Trained:
-    """Forest regression with an 80/20 split by row key.
+    """Forest regression with an 80/20 split by row key, which is no feature itself.
 
-    Rows with a missing feature or target can not be trained on and are left out.
+    ``missing`` says what happens to rows with a missing feature or target (see ``completed``);
+    the result has their number. Bagging follows partitions, so rows go to a fixed number of them
+    by their key and are sorted there: the fit is the same on any cluster.
     ``depth`` has to be stated: the library the results are compared with grows trees
     without a bound, Spark stops at 30.
     """
     timed = with_hour(df, stamp)
-    features = feature_names(timed, target, exclude)
-    complete = timed.dropna(subset=[*features, target])
+    features = feature_names(timed, target, [*exclude, *row_key])
+    complete, lacking = completed(timed, [*features, target], missing)
     train, test = split(complete, row_key)
     steps = [
         VectorAssembler(inputCols=features, outputCol="features"),
@@ -113,8 +137,9 @@ def train_mood(
             seed=seed,
         ),
     ]
-    used = _spread(train.select(*features, target))
-    return Trained(Pipeline(stages=steps).fit(used), features, target, test)
+    dealt = train.repartition(partitions, *row_key).sortWithinPartitions(*row_key)
+    model = Pipeline(stages=steps).fit(dealt.select(*features, target))
+    return Trained(model, features, target, test, lacking)
 
 
 def regression_metrics(predictions: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skytune.functions import rules
-from skytune.functions.bands import clamp, flag, total
+from skytune.functions.bands import clamp, flag, known, total
 from skytune.functions.times import parse_iso
 from skytune.operators.context import with_group_context
 from skytune.operators.lagging import bucketed_lag
@@ -106,8 +106,8 @@ def score_weather(decoded: DataFrame, fix_ranges: bool = False) -> DataFrame:
 
 DAILY_CONTEXT = {
     "daily_avg_weather_mood": lambda: F.avg("weather_mood"),
-    "daily_min_temp": lambda: F.min("temperature_2m"),
-    "daily_max_temp": lambda: F.max("temperature_2m"),
+    "daily_min_temp": lambda: F.min(known(F.col("temperature_2m"))),
+    "daily_max_temp": lambda: F.max(known(F.col("temperature_2m"))),
 }
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 from functools import cached_property, wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -310,6 +311,46 @@ def weather_records(f: Frames) -> DataFrame:
     return scans.scan_weather_records(f.spark, path)
 
 
+@query
+def weather_gaps(f: Frames) -> DataFrame:
+    """Labels and scores of landed readings with NaN values and fractional codes."""
+    path = shared_folder(f.spark, "weather-gaps")
+    sinks.land_json(adapters.gappy_readings(f.readings), path)
+    return hourly_weather_mood(scans.scan_weather_records(f.spark, path)).select(
+        "timestamp", "weathercode", "temperature_category", "cloud_category",
+        "temperature_score", "cloud_score", "humidity_score", "precipitation_penalty",
+        "weather_mood_raw",
+    )
+
+
+@query
+def reject_counts(f: Frames) -> DataFrame:
+    """Landed documents that do not fit, and tracks without a time, all counted."""
+    path = shared_folder(f.spark, "broken-pulls")
+    adapters.broken_pulls(f.plays).write.text(path)
+    pulls = scans.scan_music_pulls(f.spark, path, rejects="keep")
+    fits, tracks = F.col(scans.REJECT).isNull(), F.col("recenttracks.track")
+    undated = F.filter(tracks, lambda t: t["date"]["#text"].isNull())
+    return pulls.agg(
+        F.count(F.lit(1)).alias("documents"),
+        F.count_if(~fits).alias("rejected"),
+        F.sum(F.when(fits, F.size(tracks))).alias("tracks"),
+        F.sum(F.when(fits, F.size(undated))).alias("undated"),
+    )
+
+
+@query
+def empty_guard(f: Frames) -> DataFrame:
+    """An empty pull over a filled table leaves the table as it is."""
+    root = shared_folder(f.spark, "guarded")
+    name = "guarded_" + root.rsplit("-", 1)[1]
+    sinks.write_table(f.plays, name, f"{root}/{name}")
+    replaced = sinks.write_table(f.plays.where(F.lit(False)), name, f"{root}/{name}")
+    return scans.scan_table(f.spark, name).agg(F.count(F.lit(1)).alias("rows")).withColumn(
+        "replaced", F.lit(replaced)
+    )
+
+
 @query
 def hourly_arrays(f: Frames) -> DataFrame:
     path = shared_folder(f.spark, "weather-arrays")
@@ -384,7 +425,7 @@ def timestamp_text(f: Frames) -> DataFrame:
 @query
 def recent_topk(f: Frames) -> DataFrame:
     events = f.events.select("event_id", "ts", "user_id")
-    return picks.latest(events, [F.desc("ts"), F.desc("event_id")])
+    return picks.latest(events, [F.desc("ts"), F.desc("event_id")], 200)
 
 
 @query
@@ -407,7 +448,7 @@ def profile(f: Frames) -> DataFrame:
 @query
 def preview(f: Frames) -> DataFrame:
     music = picks.ordered(f.music(), "played_at_ts", "event_id")
-    return picks.preview(music.select("event_id", "track_name", "played_at_ts", "music_mood"))
+    return picks.preview(music.select("event_id", "track_name", "played_at_ts", "music_mood"), 5)
 
 
 # --- materialised chain --------------------------------------------------------------
@@ -552,13 +593,16 @@ def csv_roundtrip(f: Frames) -> DataFrame:
     export = mart.withColumnRenamed("Event_Start_Timestamp", STAMP_HEADER)
     sinks.write_csv(export, path)
     loaded = scans.scan_csv(f.spark, path, export.schema)
-    return training.feature_frame(loaded, "combined_mood", STAMP_HEADER)
+    return training.feature_frame(loaded, "combined_mood", STAMP_HEADER, ["event_id"])
 
 
 @query
 def metadata_csv(f: Frames) -> DataFrame:
+    """Metadata from a file with an index column, columns in another order and quoted titles."""
     path = shared_folder(f.spark, "metadata-csv")
-    sinks.write_csv(f.tracks, path)
+    title = F.concat("track_name", F.lit(' "live, '), "artists", F.lit('"'))
+    listed = f.tracks.withColumn("track_name", title)
+    sinks.write_csv(listed.select(F.lit(1).alias("index"), *reversed(listed.columns)), path)
     return scans.scan_metadata_csv(f.spark, path)
 
 
@@ -605,15 +649,42 @@ def rf_importance(f: Frames) -> DataFrame:
     return _combined_model(f).importances()
 
 
-@query
-def rf_weather(f: Frames) -> DataFrame:
-    """The second training task, through a saved and reloaded model."""
+def _weather_model(f: Frames) -> training.Trained:
     hours = f.hours.withColumnRenamed(
         "timestamp_converted", "time"
     )
     data = written(hours.drop("timestamp", "date"), "training-weather")
-    trained = training.train_mood(data, "weather_mood", "time", ["reading_id"])
+    return training.train_mood(data, "weather_mood", "time", ["reading_id"])
+
+
+def _reloaded(f: Frames, trained: training.Trained) -> training.Trained:
     path = shared_folder(f.spark, "weather-model")
     trained.save(path)
-    trained.model = training.PipelineModel.load(path)
-    return training.regression_metrics(trained.predictions())
+    return replace(trained, model=training.PipelineModel.load(path))
+
+
+@query
+def rf_weather(f: Frames) -> DataFrame:
+    """The second training task, through a saved and reloaded model."""
+    return training.regression_metrics(_reloaded(f, _weather_model(f)).predictions())
+
+
+@query
+def rf_checks(f: Frames) -> DataFrame:
+    """What any engine can tell of a fit: rows, features, sums, a bound on the error."""
+    trained = _weather_model(f)
+    again = _reloaded(f, trained)
+    metrics = training.regression_metrics(trained.predictions())
+    weights = trained.importances().agg(
+        F.count(F.lit(1)).alias("features"), F.round(F.sum("importance"), 6).alias("importance")
+    )
+    both = trained.predictions().exceptAll(again.predictions()).agg(
+        (F.count(F.lit(1)) == 0).alias("reloaded_same")
+    )
+    return metrics.select(
+        F.col("n").alias("test_rows"),
+        F.lit(weights.first()["features"]).cast("bigint").alias("features"),
+        F.lit(weights.first()["importance"]).alias("importance"),
+        (F.col("r2") > 0.8).alias("fits"),
+        F.lit(both.first()["reloaded_same"]).alias("reloaded_same"),
+    )

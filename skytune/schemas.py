@@ -25,11 +25,13 @@ TRACK = _struct(
 # One document per pull: the tracks sit two levels down.
 MUSIC_PULL = _struct(("recenttracks", _struct(("track", T.ArrayType(TRACK)))))
 
-# Hourly weather as flat records; wind is only delivered by some pulls.
+# The names of landed and staged columns.
+# Hourly weather as flat records; wind is only delivered by some pulls. A pull in which one code
+# is missing lands all its codes as 3.0, so codes are read as real numbers and cast on staging.
 WEATHER_RECORD = _struct(
     ("timestamp", _text),
     ("temperature_2m", _real),
-    ("weathercode", T.LongType()),
+    ("weathercode", _real),
     ("relativehumidity_2m", _real),
     ("cloudcover", _real),
     ("apparent_temperature", _real),
@@ -44,11 +46,12 @@ WEATHER_ARRAYS = _struct(
         _struct(
             ("time", T.ArrayType(_text)),
             ("temperature_2m", T.ArrayType(_real)),
-            ("weathercode", T.ArrayType(T.LongType())),
+            ("weathercode", T.ArrayType(_real)),
             ("relativehumidity_2m", T.ArrayType(_real)),
             ("cloudcover", T.ArrayType(_real)),
             ("apparent_temperature", T.ArrayType(_real)),
             ("precipitation", T.ArrayType(_real)),
+            ("windspeed_10m", T.ArrayType(_real)),
         ),
     )
 )

@@ -2,28 +2,65 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from skytune import schemas
 
+REJECT = "_reject"
 
-def scan_weather_records(spark: SparkSession, path: str) -> DataFrame:
+
+def scan_json(
+    spark: SparkSession, path: str, schema: StructType, rejects: str = "raise"
+) -> DataFrame:
+    """JSON of a declared schema; ``rejects`` says what happens to documents that do not fit it.
+
+    ``raise`` ends the job at the first one, ``keep`` adds their text as a column ``_reject``
+    (NULL for all others) for the caller to count or to write to a folder of their own.
+    """
+    if rejects == "raise":
+        return spark.read.schema(schema).json(path, mode="FAILFAST")
+    if rejects != "keep":
+        raise ValueError(f"rejects must be 'raise' or 'keep', not {rejects!r}")
+    kept = StructType([*schema.fields, StructField(REJECT, StringType())])
+    return spark.read.schema(kept).json(path, mode="PERMISSIVE", columnNameOfCorruptRecord=REJECT)
+
+
+def whole(number: Column) -> Column:
+    """A code landed as a real number; NULL unless it is whole."""
+    return F.when(number == F.floor(number), number.cast("bigint"))
+
+
+def scan_weather_records(spark: SparkSession, path: str, rejects: str = "raise") -> DataFrame:
     """Weather JSON; a file may hold one record per line or a whole array per line."""
-    return spark.read.schema(schemas.WEATHER_RECORD).json(path)
+    landed = scan_json(spark, path, schemas.WEATHER_RECORD, rejects)
+    return landed.withColumn("weathercode", whole(F.col("weathercode")))
 
 
-def scan_weather_arrays(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.WEATHER_ARRAYS).json(path)
+def scan_weather_arrays(spark: SparkSession, path: str, rejects: str = "raise") -> DataFrame:
+    landed = scan_json(spark, path, schemas.WEATHER_ARRAYS, rejects)
+    codes = F.transform("hourly.weathercode", whole)
+    return landed.withColumn("hourly", F.col("hourly").withField("weathercode", codes))
 
 
-def scan_music_pulls(spark: SparkSession, path: str) -> DataFrame:
+def scan_music_pulls(spark: SparkSession, path: str, rejects: str = "raise") -> DataFrame:
     """Nested music JSON. The declared schema keeps an empty track list typed."""
-    return spark.read.schema(schemas.MUSIC_PULL).json(path)
+    return scan_json(spark, path, schemas.MUSIC_PULL, rejects)
 
 
 def scan_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).csv(path, header=True)
+    """CSV by the names in its header, whatever their order; quotes are doubled inside quotes.
+
+    Columns that the schema does not name are left out, a missing one is an error.
+    """
+    landed = spark.read.csv(path, header=True, escape='"')
+    missing = sorted(set(schema.names) - set(landed.columns))
+    if missing:
+        raise ValueError(f"{path} lacks the columns {missing}")
+    return landed.select(
+        *(F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields)
+    )
 
 
 def scan_metadata_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -12,17 +12,28 @@ def land_json(df: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True)
+    df.write.mode("overwrite").csv(path, header=True, escape='"')
 
 
 def write_table(
-    df: DataFrame, name: str, path: str | None = None, sort_by: Sequence[str] = ()
-) -> None:
-    """Full overwrite of one table; ``sort_by`` orders rows inside each file."""
+    df: DataFrame,
+    name: str,
+    path: str | None = None,
+    sort_by: Sequence[str] = (),
+    allow_empty: bool = False,
+) -> bool:
+    """Full overwrite of one table; ``sort_by`` orders rows inside each file.
+
+    An empty frame does not replace a table that is there, unless ``allow_empty`` says so.
+    Returns whether the table was written.
+    """
+    if not allow_empty and df.sparkSession.catalog.tableExists(name) and df.isEmpty():
+        return False
     writer = (df.sortWithinPartitions(*sort_by) if sort_by else df).write.mode("overwrite")
     if path:
         writer = writer.option("path", path)
     writer.format("parquet").saveAsTable(name)
+    return True
 
 
 def write_days(df: DataFrame, path: str, day: str, sort_by: Sequence[str] = ()) -> None:
