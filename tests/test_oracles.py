@@ -7,6 +7,8 @@ from check_oracles import compare, database
 from conftest import TABLES
 
 import __spark_entry__ as driver
+from skytune.oracles import ORACLES
+from skytune.registry import QUERIES
 
 WITHOUT_SQL = {"rf_train", "rf_importance", "rf_weather"}
 
@@ -17,11 +19,12 @@ def db():
 
 
 def test_every_query_but_the_forests_has_sql():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == WITHOUT_SQL
+    assert set(QUERIES) - set(ORACLES) == WITHOUT_SQL and set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
     assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, db, name):
     report = compare(spark, db, TABLES, name)
     assert report.startswith(f"{name}: ok") and "TYPES" not in report, report
