@@ -2,17 +2,21 @@
 
 A document is the set of its word shingles. Equal sets become one class. Classes that share a band
 of their signatures meet in a bucket. In each bucket a few pivots are compared with all other
-members on their full sets, then more, until whatever is left of a bucket is one group already, so
-no link is lost and a group of near copies costs about as many checks as it has members.
+members, then more, until whatever is left of a bucket is one group already. Only members of
+different groups are compared, by size and by the bits of longer signatures first, and on their
+full sets where those leave a link possible.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skytune.llm.ragged import M1, M2, M3, Words, distinct, mix, shingles, slices, strings, times
@@ -20,6 +24,11 @@ from skytune.session import release, written
 
 CHUNK = 1 << 20
 UNSET = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: Bits of the sketches that tell unlike pairs before their sets are compared.
+BITS = 256
+SKETCH = tuple(f"b{i}" for i in range(BITS // 64))
+#: Edges that a union-find task takes.
+EDGES = 500_000
 #: Members that one copy of a pivot's set is compared with.
 PER_PIVOT = 256
 
@@ -110,10 +119,14 @@ def signatures(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
 
 
 def set_bytes(docs: DataFrame, k: int) -> DataFrame:
-    """(id, shingle_set) of rows of (id, text): the sorted distinct hashes as bytes."""
+    """(id, shingle_set, b0 to b3) of rows of (id, text).
+
+    The set is its sorted distinct hashes as bytes. The 256 bits are one of each register of a
+    signature; two sets of likeness J agree in a share of (1 + J) / 2 of them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1, CHUNK):
+        for batch in slices(batches, 1, CHUNK // 4):
             n = batch.num_rows
             h, text, _ = shingles(Words(strings(batch.column(1))), k)
             h, text = distinct(h, text)
@@ -122,9 +135,28 @@ def set_bytes(docs: DataFrame, k: int) -> DataFrame:
             made = pa.Array.from_buffers(
                 pa.binary(), n, [None, pa.py_buffer(places), pa.py_buffer(h.tobytes())]
             )
-            yield pa.RecordBatch.from_arrays([batch.column(0), made], names=["id", "shingle_set"])
+            bits = (mix(superminhash(h, text, n, BITS)) & np.uint64(1)).astype(np.uint8)
+            packed = np.packbits(bits, axis=1).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), made, *(pa.array(packed[:, i].copy()) for i in range(BITS // 64))],
+                names=["id", "shingle_set", *SKETCH],
+            )
+
+    columns = "".join(f", {b} long" for b in SKETCH)
+    return docs.mapInArrow(run, f"id long, shingle_set binary{columns}")
 
-    return docs.mapInArrow(run, "id long, shingle_set binary")
+
+def likely(percent: int) -> Column:
+    """Whether the sketches of a pivot and a member leave it possible that they are linked.
+
+    Sets of exactly the likeness asked for fail by chance once in 100,000 pairs.
+    """
+    share = (1 + percent / 100) / 2
+    least = math.floor(BITS * share - 4.3 * math.sqrt(BITS * share * (1 - share)))
+    apart = reduce(
+        add, (F.bit_count(F.col(b).bitwiseXOR(F.col(f"{b}_a"))) for b in SKETCH)
+    )
+    return apart <= BITS - least
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -165,15 +197,15 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             rows = pa.array(found, pa.int64())
             yield pa.RecordBatch.from_arrays([a.take(rows), b.take(rows)], names=["a", "b"])
 
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(run, "a long, b long")
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Union-find over the edges of each batch: every node points to the least of its tree."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        ends = [batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1)]
+    """Union-find over the edges of a task: every node points to the least of its tree."""
+    table = pa.Table.from_batches(list(batches), pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+    for first in range(0, table.num_rows, 2 * EDGES):
+        part = table.slice(first, 2 * EDGES)
+        ends = [part.column(i).to_numpy() for i in (0, 1)]
         nodes, place = np.unique(np.concatenate(ends), return_inverse=True)
         parent = list(range(len(nodes)))
 
@@ -183,7 +215,7 @@ def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 i = parent[i]
             return i
 
-        half = batch.num_rows
+        half = part.num_rows
         for x, y in zip(place[:half].tolist(), place[half:].tolist(), strict=True):
             x, y = root(x), root(y)
             if x != y:
@@ -214,23 +246,26 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of the edges (a, b); the component is its least node.
 
-    Edges first shrink to trees batch by batch. Then nodes hang on ever smaller neighbours, large
-    and small ones in turn, until each hangs on the least node of its component. No task sees a
-    whole component.
+    Tasks of about ``EDGES`` edges shrink them to trees by union-find. If there is one such task,
+    that is all. Otherwise nodes then hang on ever smaller neighbours, large and small ones in
+    turn, until each hangs on the least node of its component. No task sees a whole component of
+    more edges.
     """
     flip = F.when(F.col("a") > F.col("b"), F.struct("a", "b")).otherwise(
         F.struct(F.col("b").alias("a"), F.col("a").alias("b"))
     )
     start = edges.where(F.col("a") != F.col("b")).select(flip.alias("e")).select("e.a", "e.b")
-    now = written(start.mapInArrow(_forest, "a long, b long").distinct(), "edges")
-    mark = _mark(now)
-    while True:
+    tasks = -(-start.count() // EDGES)
+    now = written(start.coalesce(max(1, tasks)).mapInArrow(_forest, "a long, b long"), "edges")
+    mark = _mark(now) if tasks > 1 else None
+    while tasks > 1:
         after = written(_star(_star(now, True), False), "edges")
         release(now)
         now, before = after, mark
         mark = _mark(now)
         if mark == before:
-            return _named(now)
+            break
+    return _named(now)
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -292,21 +327,26 @@ def _links(own: DataFrame, first: DataFrame, k: int, percent: int) -> DataFrame:
         "rep", F.col("n_shingles").alias("n"), F.col("rep").alias("label"),
         F.explode("keys").alias("bucket"),
     ).distinct()
-    left = written(_mixed(keyed), "buckets")
-    ids = left.select(F.col("rep").alias("id")).distinct()
-    sets = written(set_bytes(own.join(ids, own["doc_id"] == ids["id"]).select("id", "text"), k), "sets")
+    shared = written(_mixed(keyed), "buckets")
+    ids = shared.select(F.col("rep").alias("id")).distinct()
+    texts = own.join(ids, own["doc_id"] == ids["id"]).select("id", "text")
+    sets = written(set_bytes(texts, k), "sets")
+    sketches = sets.select(F.col("id").alias("rep"), *SKETCH)
+    left = written(shared.join(sketches, "rep"), "buckets")
+    release(shared)
     links: DataFrame | None = None
     labels: DataFrame | None = None
-    pivots_each = 1
+    pivots_each = 4
     while True:
         order = Window.partitionBy("bucket").orderBy("rep")
         pivots = left.withColumn("place", F.row_number().over(order)).where(
             F.col("place") <= pivots_each
-        ).select("bucket", *(F.col(c).alias(f"{c}_a") for c in ("rep", "n", "label")))
+        ).select("bucket", *(F.col(c).alias(f"{c}_a") for c in ("rep", "n", "label", *SKETCH)))
         close = 100 * F.least("n", "n_a") >= percent * F.greatest("n", "n_a")
         pairs = written(
             pivots.join(left, "bucket")
-            .where((F.col("rep_a") < F.col("rep")) & (F.col("label_a") != F.col("label")) & close)
+            .where((F.col("rep_a") < F.col("rep")) & (F.col("label_a") != F.col("label")))
+            .where(close & likely(percent))
             .select(F.col("rep_a").alias("a"), F.col("rep").alias("b"))
             .distinct(),
             "pairs",
@@ -321,7 +361,7 @@ def _links(own: DataFrame, first: DataFrame, k: int, percent: int) -> DataFrame:
                 pivots.select("bucket", F.col("rep_a").alias("rep")), ["bucket", "rep"], "left_anti"
             )
             .join(labels, F.col("rep") == F.col("node"), "left")
-            .select("rep", "n", F.coalesce("component", "rep").alias("label"), "bucket")
+            .select("rep", "n", F.coalesce("component", "rep").alias("label"), "bucket", *SKETCH)
         )
         after = written(_mixed(rest), "buckets")
         release(left)
@@ -329,15 +369,14 @@ def _links(own: DataFrame, first: DataFrame, k: int, percent: int) -> DataFrame:
         if left.isEmpty():
             release(left, sets)
             return labels
-        pivots_each *= 4
+        pivots_each *= 16
 
 
 def _mixed(members: DataFrame) -> DataFrame:
     """Members of the buckets that hold more than one label."""
     ends = members.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-    return members.join(ends.where(F.col("lo") < F.col("hi")).select("bucket"), "bucket").select(
-        "rep", "n", "label", "bucket"
-    )
+    mixed = ends.where(F.col("lo") < F.col("hi")).select("bucket")
+    return members.join(mixed, "bucket").select(*members.columns)
 
 
 def drop_near_copies(docs: DataFrame, **options) -> DataFrame:

@@ -5,12 +5,14 @@ from __future__ import annotations
 import hashlib
 import random
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
 from brute import ODD, components, covered, documents, kept_lines, runs, shingle_set
 
 from skytune.llm import fingerprint, lines, minhash, repeats
+from skytune.llm.queries import ORACLES, QUERIES
 from skytune.llm.ragged import Words, distinct, shingles
 from skytune.session import ship_package
 
@@ -72,7 +74,9 @@ def test_a_hot_pivot_is_split(spark, monkeypatch):
     )
 
 
-def test_long_chains_are_one_component(spark):
+@pytest.mark.parametrize("most", [500_000, 9])
+def test_long_chains_are_one_component(spark, monkeypatch, most):
+    monkeypatch.setattr(minhash, "EDGES", most)
     pairs = [(i, i + 1) for i in range(60)] + [(100, 101), (7, 7)]
     edges = spark.createDataFrame(pairs, "a long, b long").repartition(7)
     got = dict(minhash.components(edges).collect())
@@ -101,6 +105,16 @@ def test_lines_equal_the_plain_version(spark):
     assert sorted(map(tuple, got), key=key) == sorted(kept_lines(ODD), key=key)
 
 
+def test_lines_equal_the_sql_twin(spark):
+    tables = "/root/testdata/sf0.001"
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tables}/documents.parquet'")
+    want = db.execute(ORACLES["op8_line_dedup"]).fetchall()
+    got = QUERIES["op8_line_dedup"](spark, tables)
+    assert got.columns == [d[0] for d in db.description]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def test_dropped_lines_leave_the_other_columns(spark):
     docs = documents(spark)
     left = lines.drop_lines(docs)
