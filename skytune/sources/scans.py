@@ -76,16 +76,26 @@ def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def stream_parquet(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+#: Files that a micro-batch takes at most, so that a backlog comes in several batches.
+FILES_PER_BATCH = 64
+
+
+def stream_parquet(
+    spark: SparkSession, path: str, schema: StructType, files: int = FILES_PER_BATCH
+) -> DataFrame:
     """File stream over a parquet file or folder of files.
 
     The name is written as a one-choice glob: a plain path would have to be a folder.
     """
     folder, name = path.rsplit("/", 1)
     stem, dot, suffix = name.partition(".")
-    return spark.readStream.schema(schema).parquet(f"{folder}/{{{stem}}}{dot}{suffix}")
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files)
+    return reader.parquet(f"{folder}/{{{stem}}}{dot}{suffix}")
 
 
-def stream_music_pulls(spark: SparkSession, path: str) -> DataFrame:
+def stream_music_pulls(
+    spark: SparkSession, path: str, files: int = FILES_PER_BATCH
+) -> DataFrame:
     """Music documents as they land in a folder."""
-    return spark.readStream.schema(schemas.MUSIC_PULL).json(path)
+    reader = spark.readStream.schema(schemas.MUSIC_PULL).option("maxFilesPerTrigger", files)
+    return reader.json(path)
