@@ -1,12 +1,14 @@
 """Interpolated modified Kneser-Ney model of word pairs, counted in Spark, and text scores by it.
 
 Words are 64-bit hashes. Each map task turns a slice of the texts into its distinct pairs (previous
-word, word) with training counts and the documents that hold them, and deals them by the second
-word; words frequent enough to fill a task are dealt by the whole pair. A count task merges what it
-gets into sorted arrays, writes them, and reports to the task in charge of each word what its part
-of the corpus says of that word. Totals go back to those who asked. Score tasks map the written
-arrays into memory, look the pairs up and add log probabilities by document. So the model is as
-large as the corpus needs, and no task or driver ever holds all of it.
+word, word) with training counts, and deals them by the second word; words frequent enough to fill
+a task are dealt by the whole pair. A count task merges what it gets into sorted arrays, writes
+them, and reports to the task in charge of each word what its part of the corpus says of that
+word. Totals go back to those who asked. To score, the pairs are dealt again, now with the
+documents that hold them; score tasks map the arrays of their part into memory, look the pairs up
+and add log probabilities by document. Documents are scored in ``ROUNDS`` rounds, so that the
+dealt pairs of one round at a time take up disk. The model is as large as the corpus needs, and no
+task or driver ever holds all of it.
 
 With c(u w) the training count of a pair, C(u) that of all pairs after u, N1, N2, N3 the number of
 different words seen once, twice, more often after u, and K(w) the number of different words
@@ -31,17 +33,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skytune.llm.ragged import M1, M2, M3, Words, mix, slices, strings
-from skytune.session import release, written
+from skytune.session import delete, release, written
 
-CHUNK = 8 << 20
+CHUNK = 6 << 20
 START, END = mix(np.array([M2, M3], np.uint64))
-#: Kinds of rows: what is known of a batch of documents, a count task's merged arrays, a batch's
-#: pairs in them, a report on words.
-BATCH, ARRAYS, PAIRS, REPORT = range(4)
+#: Kinds of rows: what is known of a batch of documents, its pairs, a part's arrays, a report on
+#: words.
+BATCH, PAIRS, ARRAYS, REPORT = range(4)
+#: Rounds of scoring.
+ROUNDS = 4
 STATS = 6  # C, N1, N2, N3 of a word as context; count and K of it as second word
 
 DEALT = "p int, batch long, kind int, body binary"
-COUNTED = "kind int, p int, q int, batch long, body binary, n array<long>"
+COUNTED = "kind int, p int, q int, body binary, n array<long>"
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -96,8 +100,12 @@ def heavy_words(docs: DataFrame, parts: int) -> np.ndarray:
     return np.sort(np.array([r["word"] for r in rows], np.int64).view(np.uint64))
 
 
-def deal(docs: DataFrame, parts: int, heavy: np.ndarray) -> DataFrame:
-    """Rows of (doc_id, text, train) as packed pairs by part, and one row about each batch."""
+def deal(docs: DataFrame, parts: int, heavy: np.ndarray, scoring: bool) -> DataFrame:
+    """Rows of (doc_id, text, train) as packed pairs by part.
+
+    To count, pairs come with their training counts; for scoring with the texts that hold them,
+    and with one more row about each batch.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -107,12 +115,13 @@ def deal(docs: DataFrame, parts: int, heavy: np.ndarray) -> DataFrame:
             batch_id += 1
             train = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
             u, w, text = pairs_of(Words(strings(batch.column(1))))
-            tokens = np.bincount(text, minlength=batch.num_rows)
-            ids = batch.column(0)
-            about = pack(
-                np.asarray(ids.is_valid()), ids.fill_null(0).to_numpy(), train, tokens
-            )
-            rows = [(batch_id % parts, BATCH, about)]
+            rows = []
+            if scoring:
+                ids = batch.column(0)
+                rows.append((batch_id % parts, BATCH, pack(
+                    np.asarray(ids.is_valid()), ids.fill_null(0).to_numpy(), train,
+                    np.bincount(text, minlength=batch.num_rows),
+                )))
             g = mix(mix(u + M1) + w)
             order = np.argsort(g, kind="stable")
             g, text = g[order], text[order]
@@ -140,13 +149,15 @@ def deal(docs: DataFrame, parts: int, heavy: np.ndarray) -> DataFrame:
                     continue
                 both = np.concatenate([u[own], w[own]])
                 words, place = np.unique(both, return_inverse=True)
-                size = per_pair[own]
-                entries = np.repeat(at[own] - (np.cumsum(size) - size), size)
-                entries += np.arange(len(entries))
-                rows.append((p, PAIRS, pack(
-                    words, place[: len(own)], place[len(own) :], counts[own], size,
-                    e_text[entries], times[entries],
-                )))
+                pairs = words, place[: len(own)], place[len(own) :]
+                if scoring:
+                    size = per_pair[own]
+                    entries = np.repeat(at[own] - (np.cumsum(size) - size), size)
+                    entries += np.arange(len(entries))
+                    body = pack(*pairs, size, e_text[entries], times[entries])
+                else:
+                    body = pack(*pairs, counts[own])
+                rows.append((p, PAIRS, body))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([r[0] for r in rows], pa.int32()),
@@ -166,44 +177,37 @@ def count_counts(values: np.ndarray) -> list[int]:
 
 
 def count_task(parts: int):
-    """Merge the pairs of a part; write arrays, batches' places in them, and reports on words."""
+    """Merge the pairs of a part into sorted arrays, and report on its words."""
 
     def run(table: pa.Table) -> pa.Table:
         p = table.column("p")[0].as_py()
-        kinds, batches = table.column("kind").to_pylist(), table.column("batch").to_pylist()
-        bodies = table.column("body")
-        out: list[tuple] = []
-        mine = [i for i, k in enumerate(kinds) if k == PAIRS]
-        for i, kind in enumerate(kinds):
-            if kind == BATCH:
-                out.append((BATCH, p, 0, batches[i], bodies[i].as_py(), None))
-        if mine:
-            got = [unpack(bodies[i]) for i in mine]
-            words = np.unique(np.concatenate([x[0] for x in got]))
-            keys = []
-            for x in got:
-                place = np.searchsorted(words, x[0])
-                keys.append(place[x[2]] * len(words) + place[x[1]])
-            sizes = [len(k) for k in keys]
-            key, place = np.unique(np.concatenate(keys), return_inverse=True)
-            c = np.bincount(place, np.concatenate([x[3] for x in got]), len(key)).astype(np.int64)
-            w, u = np.divmod(key, len(words))
-            n = len(words)
-            stats = np.stack([
-                np.bincount(u, c, n), np.bincount(u, c == 1, n), np.bincount(u, c == 2, n),
-                np.bincount(u, c > 2, n), np.bincount(w, c, n), np.bincount(w, c > 0, n),
-            ]).astype(np.int64)
-            out.append((ARRAYS, p, 0, 0, pack(words, u, w, c), count_counts(c)))
-            places = np.split(place, np.cumsum(sizes)[:-1])
-            for i, x, own in zip(mine, got, places, strict=True):
-                out.append((PAIRS, p, 0, batches[i], pack(own, x[4], x[5], x[6]), None))
-            for q, own in by_owner(words, parts):
-                out.append((REPORT, p, q, 0, pack(words[own], *stats[:, own]), None))
-        columns = list(zip(*out, strict=True))
-        kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
-        names = ["kind", "p", "q", "batch", "body", "n"]
+        got = [unpack(b) for b in table.column("body")]
+        words = np.unique(np.concatenate([x[0] for x in got]))
+        n = len(words)
+        keys = []
+        for x in got:
+            place = np.searchsorted(words, x[0])
+            keys.append(place[x[2]] * n + place[x[1]])
+        counts = np.concatenate([x[3] for x in got])
+        del got
+        key, place = np.unique(np.concatenate(keys), return_inverse=True)
+        del keys
+        c = np.bincount(place, counts, len(key)).astype(np.int64)
+        del place, counts
+        w, u = np.divmod(key, n)
+        stats = np.stack([
+            np.bincount(u, c, n), np.bincount(u, c == 1, n), np.bincount(u, c == 2, n),
+            np.bincount(u, c > 2, n), np.bincount(w, c, n), np.bincount(w, c > 0, n),
+        ]).astype(np.int64)
+        seen = c > 0
+        out = [(ARRAYS, p, 0, pack(words, np.diff(key[seen], prepend=0), c[seen]), count_counts(c))]
+        out += [
+            (REPORT, p, q, pack(words[own], *stats[:, own]), None) for q, own in by_owner(words, parts)
+        ]
+        kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
         return pa.Table.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names
+            [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
+            names=["kind", "p", "q", "body", "n"],
         )
 
     return run
@@ -254,16 +258,15 @@ def discounts(n: list[int]) -> np.ndarray:
     return np.clip(d, [0, 0.01, 0.01, 0.01], [0, 0.99, 1.99, 2.99])
 
 
-def mapped(body: pa.Scalar) -> list[np.ndarray]:
-    """Sorted arrays of a part, mapped from a file that goes with the mapping."""
-    arrays = unpack(body)
+def mapped(*arrays: np.ndarray) -> list[np.ndarray]:
+    """The arrays, mapped from a file that goes with the mapping."""
     out = []
     with tempfile.TemporaryFile() as file:
         for a in arrays:
             place = file.seek(0, 2)
             file.write(bytes(-place % 8))
             place += -place % 8
-            file.write(a.tobytes())
+            a.tofile(file)
             file.flush()
             out.append(np.memmap(file, a.dtype, "r", place, a.shape) if a.size else a)
     return out
@@ -276,41 +279,61 @@ def score_task(pair_n: list[int], word_n: list[int], parts: int):
     taken = dk[1] * m1 + dk[2] * m2 + dk[3] * (seen - m1 - m2)
     rest = taken / sum_k if sum_k else 1.0
 
-    def run(state: pa.Table, answers: pa.Table) -> pa.Table:
-        rows: list[tuple] = []
-        kinds = state.column("kind").to_pylist() if state.num_rows else []
-        if ARRAYS in kinds:
-            words, u, w, c = mapped(state.column("body")[kinds.index(ARRAYS)])
-            told = {q: unpack(b) for q, b in zip(
-                answers.column("q").to_pylist(), answers.column("body"), strict=True)}
+    def run(asked: pa.Table, state: pa.Table) -> pa.Table:
+        """Rows dealt for scoring; arrays of the part, and the totals of its words by part q."""
+        batches, kinds = asked.column("batch").to_pylist(), asked.column("kind").to_pylist()
+        bodies = asked.column("body")
+        rows = [
+            (batch, BATCH, bodies[i].as_py())
+            for i, (batch, kind) in enumerate(zip(batches, kinds, strict=True)) if kind == BATCH
+        ]
+        told, arrays = {}, None
+        for kind, q, body in zip(
+            state.column("kind").to_pylist(), state.column("q").to_pylist(), state.column("body"),
+            strict=True,
+        ):
+            if kind == ARRAYS:
+                arrays = unpack(body)
+            else:
+                told[q] = unpack(body)
+        if arrays is not None:
+            words, key, c = mapped(arrays[0], np.cumsum(arrays[1], dtype=np.int64), arrays[2])
             stats = np.zeros((STATS, len(words)))
             for q, own in by_owner(np.asarray(words), parts):
                 stats[:, own] = told[q]
-            context, n1, n2, n3, count, k = stats
+            del told, arrays
+            after, n1, n2, n3, count, k = stats
             low = np.maximum(k - dk[np.minimum(k, 3).astype(int)], 0) / max(sum_k, 1)
             low += rest / (distinct + 1)
             base = np.log10((count + 0.1) / (total + 0.1 * (distinct + 1)))
-            w, u = np.asarray(w), np.asarray(u)
-            spare = (d[1] * n1 + d[2] * n2 + d[3] * n3)[u]
-            high = np.maximum(c - d[np.minimum(c, 3)], 0)
-            after = context[u]
-            p = np.where(after > 0, (high + spare * low[w]) / np.maximum(after, 1), low[w])
-            log_p, base, known = np.log10(p), base[w], count[w] > 0
-            batches = state.column("batch").to_pylist()
+            spare = d[1] * n1 + d[2] * n2 + d[3] * n3
             for i, kind in enumerate(kinds):
                 if kind != PAIRS:
                     continue
-                place, size, text, times = unpack(state.column("body")[i])
-                of = np.repeat(place, size)
+                own, u, w, size, text, times = unpack(bodies[i])
+                place = np.searchsorted(words, own)
+                u, w = place[u], place[w]
+                pair = w * len(words) + u
+                near = np.minimum(np.searchsorted(key, pair), max(len(key) - 1, 0))
+                held = np.zeros(len(pair), np.int64)
+                if len(key):
+                    held = np.where(key[near] == pair, c[near], 0)
+                high = np.maximum(held - d[np.minimum(held, 3)], 0)
+                after_u = after[u]
+                p = np.where(
+                    after_u > 0, (high + spare[u] * low[w]) / np.maximum(after_u, 1), low[w]
+                )
+                of = np.repeat(np.arange(len(pair)), size)
                 texts = int(text.max()) + 1
-                score = np.bincount(text, log_p[of] * times, texts)
-                plain = np.bincount(text, base[of] * times, texts)
-                met = np.bincount(text, known[of] * times, texts).astype(np.int64)
-                own = np.unique(text)
-                rows.append((batches[i], pack(own, score[own], plain[own], met[own])))
+                score = np.bincount(text, np.log10(p)[of] * times, texts)
+                plain = np.bincount(text, base[w][of] * times, texts)
+                met = np.bincount(text, (count[w] > 0)[of] * times, texts).astype(np.int64)
+                text = np.unique(text)
+                rows.append((batches[i], PAIRS, pack(text, score[text], plain[text], met[text])))
+        kinds = [pa.int64(), pa.int32(), pa.binary()]
         return pa.Table.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())],
-            names=["batch", "body"],
+            [pa.array([r[j] for r in rows], kinds[j]) for j in range(3)],
+            names=["batch", "kind", "body"],
         )
 
     return run
@@ -348,11 +371,12 @@ def finish_task(total: int):
     return run
 
 
-def parts_for(docs: DataFrame, mb: int = 16) -> int:
-    """Parts of about ``mb`` MB of stored input, at least as many as the session shuffles into."""
-    size = docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, min(int(size) // (mb << 20), 1 << 20))
+def parts_for(docs: DataFrame, mb: int = 10) -> int:
+    """Parts of about ``mb`` MB of stored input; the session's number if its size is not known."""
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size >= 1 << 60:  # what Spark assumes of frames that are not read from files
+        return int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, -(-size // (mb << 20)))
 
 
 def language_scores(docs: DataFrame, train: Column, parts: int | None = None) -> DataFrame:
@@ -362,38 +386,42 @@ def language_scores(docs: DataFrame, train: Column, parts: int | None = None) ->
     not learned from. Ids may repeat or be null: every row is a text of its own. With nothing to
     learn from, all words share one probability. An empty table gives no row.
     """
-    spark = docs.sparkSession
     own = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), "text",
         F.coalesce(train, F.lit(False)).alias("train"),
     )
     parts = parts or parts_for(docs)
-    dealt = deal(own, parts, heavy_words(own, parts))
+    heavy = heavy_words(own, parts)
+    dealt = deal(own, parts, heavy, scoring=False).repartitionById(parts, "p")
     counted = written(
-        dealt.repartitionById(parts, "p").groupBy("p").applyInArrow(count_task(parts), COUNTED),
-        "counts", ["kind"],
+        dealt.groupBy("p").applyInArrow(count_task(parts), COUNTED), "counts", ["kind"]
     )
     reports = counted.where(F.col("kind") == REPORT).select("p", "q", "body")
     totals = written(
-        reports.groupBy("q").applyInArrow(
-            total_task, "p int, q int, body binary, n array<long>"
-        ),
+        reports.groupBy("q").applyInArrow(total_task, "p int, q int, body binary, n array<long>"),
         "totals",
     )
-    pair_n = _sums(counted.where(F.col("kind") == ARRAYS), 5)
-    word_n = _sums(totals, 8)
-    state = counted.where(F.col("kind").isin(ARRAYS, PAIRS)).select("p", "batch", "kind", "body")
-    answers = totals.select("p", "q", "body")
-    scored = state.groupBy("p").cogroup(answers.groupBy("p")).applyInArrow(
-        score_task(pair_n, word_n, parts), "batch long, body binary"
-    )
-    sums = written(scored.select("batch", F.lit(PAIRS).alias("kind"), "body"), "sums")
-    about = counted.where(F.col("kind") == BATCH).select("batch", "kind", "body")
-    result = written(
-        sums.unionByName(about).groupBy("batch").applyInArrow(finish_task(word_n[6]), RESULT),
-        "scores",
+    delete(docs.sparkSession, f"{counted._written_to}/kind={REPORT}")
+    arrays = counted.where(F.col("kind") == ARRAYS)
+    pair_n, word_n = _sums(arrays, 5), _sums(totals, 8)
+    state = arrays.select("p", "kind", "q", "body").unionByName(
+        totals.select("p", F.lit(REPORT).alias("kind"), "q", "body")
     )
-    release(counted, totals, sums)
+    task = score_task(pair_n, word_n, parts)
+    slot = F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS))
+    result: DataFrame | None = None
+    for turn in range(ROUNDS):
+        asked = deal(own.where(slot == turn), parts, heavy, scoring=True)
+        scored = asked.groupBy("p").cogroup(state.groupBy("p")).applyInArrow(
+            task, "batch long, kind int, body binary"
+        )
+        sums = written(scored, "sums")
+        done = written(
+            sums.groupBy("batch").applyInArrow(finish_task(word_n[6]), RESULT), "scores"
+        )
+        release(sums)
+        result = done if result is None else result.unionByName(done)
+    release(counted, totals)
     return result
 
 
