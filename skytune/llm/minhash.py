@@ -25,7 +25,7 @@ from skytune.session import release, written
 CHUNK = 1 << 20
 UNSET = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Bits of the sketches that tell unlike pairs before their sets are compared.
-BITS = 256
+BITS = 1024
 SKETCH = tuple(f"b{i}" for i in range(BITS // 64))
 #: Edges that a union-find task takes.
 EDGES = 500_000
@@ -119,14 +119,14 @@ def signatures(docs: DataFrame, k: int, bands: int, rows: int) -> DataFrame:
 
 
 def set_bytes(docs: DataFrame, k: int) -> DataFrame:
-    """(id, shingle_set, b0 to b3) of rows of (id, text).
+    """(id, shingle_set, b0 to b15) of rows of (id, text).
 
-    The set is its sorted distinct hashes as bytes. The 256 bits are one of each register of a
+    The set is its sorted distinct hashes as bytes. The 1024 bits are one of each register of a
     signature; two sets of likeness J agree in a share of (1 + J) / 2 of them.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1, CHUNK // 4):
+        for batch in slices(batches, 1, CHUNK // 8):
             n = batch.num_rows
             h, text, _ = shingles(Words(strings(batch.column(1))), k)
             h, text = distinct(h, text)
@@ -336,7 +336,7 @@ def _links(own: DataFrame, first: DataFrame, k: int, percent: int) -> DataFrame:
     release(shared)
     links: DataFrame | None = None
     labels: DataFrame | None = None
-    pivots_each = 4
+    pivots_each = 1
     while True:
         order = Window.partitionBy("bucket").orderBy("rep")
         pivots = left.withColumn("place", F.row_number().over(order)).where(
