@@ -8,7 +8,8 @@ of fewer tokens are one window.
 
 A document holds an item if it holds at least 80 percent of the item's different windows, with
 slots that fit: in the windows that match, equal slot values of the item stand for equal values of
-the document, and different names for different names.
+the document, and different names for different names. All places of an item's windows in the
+document are tried, each with slots of its own.
 
 To hold 80 percent of n windows, a document must hold one of the item's rarest n - ceil(0.8 n) + 1.
 Only those are joined with the windows of documents, by hash, so phrases that many items share
@@ -18,6 +19,7 @@ it never drops a match.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -181,44 +183,77 @@ def bitmap_of(windows: DataFrame) -> np.ndarray:
     return out.view(np.uint64)
 
 
-def fitting_share(doc: Templates, item: Templates) -> float:
-    """Share of the item's different windows that the document holds with slots that fit."""
+class Slots:
+    """What the slot values of an item stand for in a document."""
+
+    def __init__(self, doc: Templates, item: Templates) -> None:
+        self.doc, self.item = doc, item
+        self.values: dict[tuple[int, int], int] = {}
+        self.back: dict[int, int] = {}
+
+    def take(self, start: int, place: int) -> bool:
+        """Bind the slots of the window at ``start`` to its place if they fit what is bound."""
+        fresh: dict[tuple[int, int], int] = {}
+        names: dict[int, int] = {}
+        for k in range(min(WINDOW, len(self.item.kind) - start)):
+            kind = int(self.item.kind[start + k])
+            if not kind:
+                continue
+            key = (kind, int(self.item.literal[start + k]))
+            value = int(self.doc.literal[place + k])
+            if self.values.get(key, fresh.get(key, value)) != value:
+                return False
+            if kind == 3 and self.back.get(value, names.get(value, key[1])) != key[1]:
+                return False
+            fresh[key] = value
+            if kind == 3:
+                names[value] = key[1]
+        self.values.update(fresh)
+        self.back.update(names)
+        return True
+
+
+def fitting_share(doc: Templates, item: Templates, least: float = 0.0) -> float:
+    """Share of the item's different windows that the document holds with slots that fit.
+
+    Every alignment, place minus start of some matching window, is tried with slots of its own and
+    the best counts. Windows that an alignment leaves out are then looked for next to it, as words
+    may be put in or left out inside a copy. A share below ``least`` may be given as zero.
+    """
     want, _, at = item.windows()
     have, _, place = doc.windows()
     order = np.lexsort((place, have))
     have, place = have[order], place[order]
     low, high = np.searchsorted(have, want), np.searchsorted(have, want, "right")
-    slots: dict[tuple[int, int], int] = {}
-    back: dict[int, int] = {}
-    good: set[int] = set()
-    shift: int | None = None
-    for i, h in enumerate(want.tolist()):
-        if low[i] == high[i]:
-            continue
-        found = place[low[i] : high[i]]
-        start = int(at[i])
-        if shift is None or not (found == start + shift).any():
-            ahead = found[found >= start + shift] if shift is not None else found
-            shift = int(ahead[0] if len(ahead) else found[0]) - start
-        fits = True
-        fresh: list[tuple[tuple[int, int], int]] = []
-        for k in range(min(WINDOW, len(item.kind) - start)):
-            kind = int(item.kind[start + k])
-            if not kind:
-                continue
-            key = (kind, int(item.literal[start + k]))
-            value = int(doc.literal[start + shift + k])
-            fits &= slots.get(key, value) == value
-            if kind == 3:
-                fits &= back.get(value, key[1]) == key[1]
-            fresh.append((key, value))
-        if fits:
-            good.add(h)
-            for key, value in fresh:
-                slots[key] = value
-                if key[0] == 3:
-                    back[value] = key[1]
-    return len(good) / max(len(set(want.tolist())), 1)
+    met = np.flatnonzero(high > low)
+    total, most = max(len(set(want.tolist())), 1), len(set(want[met].tolist()))
+    if not most or most / total < least - 1e-9:
+        return 0.0
+    windows = [(int(want[i]), int(at[i]), place[low[i] : high[i]].tolist()) for i in met.tolist()]
+    aligned: dict[int, list[int]] = {}
+    for w, (_, start, places) in enumerate(windows):
+        for p in places:
+            aligned.setdefault(p - start, []).append(w)
+    best = 0
+    for shift, held in sorted(aligned.items(), key=lambda x: (-len(x[1]), x[0])):
+        slots = Slots(doc, item)
+        taken = [w for w in held if slots.take(windows[w][1], windows[w][1] + shift)]
+        good, known = {windows[w][0] for w in taken}, set(taken)
+        own = shift
+        for w, (h, start, places) in enumerate(windows):
+            if w in known:
+                own = shift
+            elif h not in good:
+                at_least = bisect_left(places, start + own)
+                for p in sorted(places[max(at_least - 1, 0) : at_least + 2], key=lambda p: abs(p - start - own)):
+                    if slots.take(start, p):
+                        good.add(h)
+                        own = p - start
+                        break
+        best = max(best, len(good))
+        if best == most:
+            break
+    return best / total
 
 
 def found_items(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
@@ -243,7 +278,7 @@ def found_items(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) ->
         for batch in batches:
             texts, others = strings(batch.column(3)), strings(batch.column(4))
             got = np.array([
-                fitting_share(Templates(texts.slice(i, 1)), Templates(others.slice(i, 1)))
+                fitting_share(Templates(texts.slice(i, 1)), Templates(others.slice(i, 1)), share)
                 for i in range(batch.num_rows)
             ], np.float64)
             rows = pa.array(np.flatnonzero(got >= share - 1e-9))

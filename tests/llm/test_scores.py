@@ -175,6 +175,59 @@ def test_slots_must_fit():
     assert share(ITEM.upper()) < 0.8 and share("") == 0.0 and share(ITEM, "") == 0.0
 
 
+def best_alignment(doc: str, item: str) -> float:
+    """The share of every single alignment on its own, in plain Python, and the best of them."""
+    d, i = decontaminate.Templates(array(doc)), decontaminate.Templates(array(item))
+    have, want = (list(zip(h.tolist(), at.tolist(), strict=True)) for h, _, at in (d.windows(), i.windows()))
+    best = 0
+    for shift in {place - start for h, place in have for g, start in want if h == g}:
+        pairs, held = set(), set()
+        for h, start in want:
+            if (h, start + shift) not in have:
+                continue
+            own = {
+                (int(i.kind[k]), int(i.literal[k]), int(d.literal[k + shift]))
+                for k in range(start, min(start + 5, len(i.kind)))
+                if i.kind[k]
+            }
+            every = pairs | own
+            equal = len({x[:2] for x in every}) == len(every)
+            names = [x for x in every if x[0] == 3]
+            if equal and len({x[2] for x in names}) == len(names):
+                pairs, held = every, held | {h}
+        best = max(best, len(held))
+    return best / max(len({h for h, _ in want}), 1)
+
+
+def test_every_alignment_is_tried():
+    rnd = random.Random(12)
+    train = "A train travels 80 km in 2 hours. Then it stops for 15 minutes and Tom leaves it with 3 bags. How far did it go?"
+    opening = "A train travels 95 km to the sea."
+    torn = MIXED.replace("3 apples", "8 apples")
+    for item, early in ((train, [opening, train.replace("80", "70").replace("15", "2")]), (ITEM, [MIXED, torn])):
+        for n in range(1, 6):
+            before = " ".join(rnd.choice(early) + " Filler words here." for _ in range(n))
+            for copy in (item, item.replace("Tom", "Peter").replace("3", "44")):
+                for doc in (f"{before} {copy} The end.", f"{copy} {before}", f"{before}\n{copy}\n{before}"):
+                    assert best_alignment(doc, item) >= 0.8
+                    assert share(doc, item) >= best_alignment(doc, item) - 1e-9
+    for text in (MIXED, torn, f"{torn} {MIXED} {opening}"):
+        assert share(text) < 0.8
+    # a word put in or left out inside a copy, behind an opening with other numbers
+    for copy in (train.replace("stops", "slowly stops"), train.replace("and Tom", "Tom")):
+        assert best_alignment(copy, train) < 0.8 or share(copy, train) >= 0.8
+        assert share(f"{opening} {copy}", train) == share(copy, train)
+
+
+def test_a_copy_behind_a_variant_goes(spark):
+    variant = ITEM.replace("3", "5").replace("2", "9")
+    torn = MIXED.replace("3 apples", "8 apples")
+    docs = [(1, f"{torn} And again: {ITEM}"), (2, f"{variant} {torn}"), (3, torn), (4, f"{MIXED} {torn}")]
+    benchmark = spark.createDataFrame([(100, ITEM)], "item_id long, text string")
+    got = decontaminate.contamination(documents(ship_package(spark), docs), benchmark).collect()
+    assert {r.doc_id for r in got if r.contaminated} == {1, 2}
+
+
 @pytest.mark.parametrize("bits", [1 << 22, 1024])
 def test_contamination_equals_all_pairs(spark, monkeypatch, bits):
     monkeypatch.setattr(decontaminate, "BITS", bits)
