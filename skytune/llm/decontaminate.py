@@ -6,6 +6,10 @@ behind a number a unit, and a capitalised token inside a sentence a name. Window
 template tokens; a window with fewer than two plain words keeps the literal tokens instead. Texts
 of fewer tokens are one window.
 
+Capitals tell names apart only in part: a name may open a sentence, and a copy may be in other
+case. So every text is read in four ways, and the best share of an item counts: with names inside
+sentences, with all capitalised tokens as names, without names, and with literal tokens only.
+
 A document holds an item if it holds at least 80 percent of the item's different windows, with
 slots that fit: in the windows that match, equal slot values of the item stand for equal values of
 the document, and different names for different names. All places of an item's windows in the
@@ -21,6 +25,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
+from copy import copy
 
 import numpy as np
 import pyarrow as pa
@@ -111,13 +116,30 @@ class Templates:
         unit = UNIT_HASHES[near] == self.literal
         unit[1:] &= number[:-1] & (text[1:] == text[:-1])
         unit[:1] = False
-        name = capital & small & ~fresh & ~number & ~unit & (finish - begin > 1)
-        self.kind = np.select([number, unit, name], [1, 2, 3], 0)
-        self.hashes = np.select([number, unit, name], [NUMBER, UNIT, NAME], self.literal)
+        proper = capital & small & ~number & ~unit & (finish - begin > 1)
+        name, self.opening = proper & ~fresh, proper & fresh
+        self.set_kinds(np.select([number, unit, name], [1, 2, 3], 0))
         self.texts = text
         self.counts = np.bincount(text, minlength=len(at) - 1)
         self.first = np.concatenate([[0], np.cumsum(self.counts)])
 
+    def set_kinds(self, kind: np.ndarray) -> None:
+        self.kind = kind
+        self.hashes = np.choose(kind, [self.literal, NUMBER, UNIT, NAME])
+
+    def readings(self) -> list[Templates]:
+        """Names inside sentences, all capitalised tokens as names, no names, literal tokens."""
+        out = [self]
+        for kind in (
+            np.where(self.opening, 3, self.kind),
+            np.where(self.kind == 3, 0, self.kind),
+            np.zeros_like(self.kind),
+        ):
+            other = copy(self)
+            other.set_kinds(kind)
+            out.append(other)
+        return out
+
     def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hash, text and first token of each window."""
         h, text, start = shingles(self, WINDOW)
@@ -132,37 +154,47 @@ class Templates:
 
 
 def window_rows(texts: DataFrame, bitmap: np.ndarray | None) -> DataFrame:
-    """(id, mark, h): the different windows of each row of (id, mark, text) that the bitmap lets by."""
+    """(id, mark, h): the different windows of each row of (id, mark, text) that the bitmap lets by.
+
+    Without a bitmap they are (id, mark, reading, h), told apart by reading.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 2, CHUNK):
-            h, text, _ = Templates(strings(batch.column(2))).windows()
-            if bitmap is not None:
+            made = [t.windows()[:2] for t in Templates(strings(batch.column(2))).readings()]
+            if bitmap is None:
+                made = [distinct(h, text) for h, text in made]
+            else:
+                h, text = (np.concatenate(x) for x in zip(*made, strict=True))
                 bit = (h & np.uint64(len(bitmap) * 64 - 1)).astype(np.int64)
                 passed = (bitmap[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) == 1
-                h, text = h[passed], text[passed]
-            h, text = distinct(h, text)
-            rows = pa.array(text)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(h.view(np.int64))],
-                names=["id", "mark", "h"],
-            )
+                made = [distinct(h[passed], text[passed])]
+            for reading, (h, text) in enumerate(made):
+                rows = pa.array(text)
+                columns = [batch.column(0).take(rows), batch.column(1).take(rows)]
+                names = ["id", "mark", "h"]
+                if bitmap is None:
+                    columns.append(pa.array(np.full(len(h), reading, np.int32)))
+                    names.insert(2, "reading")
+                columns.append(pa.array(h.view(np.int64)))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return texts.mapInArrow(run, "id long, mark long, h long")
+    told = "" if bitmap is not None else "reading int, "
+    return texts.mapInArrow(run, f"id long, mark long, {told}h long")
 
 
 def rare_windows(items: DataFrame, share: float) -> DataFrame:
-    """(item, h): of each item the rarest windows, one of which every match must hold."""
-    every = window_rows(items, None).select(F.col("id").alias("item"), "h").distinct()
-    often = every.groupBy("h").agg(F.count(F.lit(1)).alias("items"))
-    sized = every.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
-    order = Window.partitionBy("item").orderBy("items", "h")
+    """(item, h): of each item the rarest windows of each reading, one of which a match must hold."""
+    every = window_rows(items, None).select(F.col("id").alias("item"), "reading", "h").distinct()
+    often = every.groupBy("h").agg(F.countDistinct("item").alias("items"))
+    sized = every.groupBy("item", "reading").agg(F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy("item", "reading").orderBy("items", "h")
     spare = F.col("n") - F.ceil(F.col("n") * share - 1e-9) + 1
     return (
-        every.join(often, "h").join(sized, "item")
+        every.join(often, "h").join(sized, ["item", "reading"])
         .withColumn("place", F.row_number().over(order))
         .where(F.col("place") <= spare)
-        .select("item", "h")
+        .select("item", "h").distinct()
     )
 
 
@@ -256,6 +288,16 @@ def fitting_share(doc: Templates, item: Templates, least: float = 0.0) -> float:
     return best / total
 
 
+def held_share(doc: Templates, item: Templates, least: float = 0.0) -> float:
+    """The best share of the item over all readings; one below ``least`` may be given as zero."""
+    best = 0.0
+    for own, other in zip(doc.readings(), item.readings(), strict=True):
+        best = max(best, fitting_share(own, other, max(least, best)))
+        if best >= 1:
+            break
+    return best
+
+
 def found_items(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
     """(doc, mark, item, share) of every document of (doc, mark, text) that holds an item."""
     items = benchmark.where(F.col("item_id").isNotNull()).select(
@@ -278,7 +320,7 @@ def found_items(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) ->
         for batch in batches:
             texts, others = strings(batch.column(3)), strings(batch.column(4))
             got = np.array([
-                fitting_share(Templates(texts.slice(i, 1)), Templates(others.slice(i, 1)), share)
+                held_share(Templates(texts.slice(i, 1)), Templates(others.slice(i, 1)), share)
                 for i in range(batch.num_rows)
             ], np.float64)
             rows = pa.array(np.flatnonzero(got >= share - 1e-9))

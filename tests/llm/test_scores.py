@@ -175,6 +175,25 @@ def test_slots_must_fit():
     assert share(ITEM.upper()) < 0.8 and share("") == 0.0 and share(ITEM, "") == 0.0
 
 
+TWO = "Tom has 3 apples. Anna has 4 apples. How many apples do they have together?"
+OTHER = TWO.replace("Tom", "Mary").replace("Anna", "Peter").replace("3", "12").replace("4", "7")
+
+
+def test_names_at_openings_and_copies_in_other_case(spark):
+    docs = [
+        (1, f"Intro text. {OTHER} The end."), (2, OTHER.upper()), (3, TWO.lower()), (4, ITEM.upper()),
+        (5, f"so it goes, {ITEM.lower()}"), (6, ITEM.replace("gave Tom", "gave\nTom")), (7, MIXED),
+        (8, MIXED.upper()), (9, TWO.replace("Tom", "Mary").replace("apples.", "pears.")), (10, SAME),
+        (11, ITEM.upper().replace("3 APPLES", "5 APPLES")), (12, TWO), (13, "Mary slept. Peter did not."),
+    ]
+    benchmark = spark.createDataFrame([(100, ITEM), (101, TWO)], "item_id long, text string")
+    got = decontaminate.contamination(documents(ship_package(spark), docs), benchmark).collect()
+    held = {r.doc_id: list(r["items"]) for r in got}
+    assert sorted(i for i, x in held.items() if x == [100]) == [4, 5, 6, 10, 11]
+    assert sorted(i for i, x in held.items() if x == [101]) == [1, 3, 12]
+    assert all(not held[i] for i in (2, 7, 8, 9, 13))
+
+
 def best_alignment(doc: str, item: str) -> float:
     """The share of every single alignment on its own, in plain Python, and the best of them."""
     d, i = decontaminate.Templates(array(doc)), decontaminate.Templates(array(item))
