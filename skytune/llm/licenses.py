@@ -9,22 +9,41 @@ Guarantee: where a document repeats a template, the nearest window shares at lea
 3/4 c - c/16 of its shingles with it, as groups span lengths up to a factor of 4/3 and at most a
 fifth of the shingles may be missing. So their likeness is at least 0.3, and a copy of the whole
 template has at least 0.6. A band is then shared with a probability of 1 - 0.7**32 = 0.99999 at
-least. What is retrieved is verified on exact shingles of the text around the window.
+least. What is retrieved is verified on exact shingles of the text around the window. Only texts
+that hold enough shingles of a group for one of its templates are read so; no other can hold one.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
+from pathlib import Path
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skytune.llm.ragged import M1, M3, Words, mix, slices, strings, times
+from skytune.llm.ragged import (
+    M1,
+    M3,
+    Words,
+    flat,
+    lowered,
+    mix,
+    slices,
+    span_hashes,
+    strings,
+    times,
+    word_bounds,
+)
 
 BANDS, SHINGLE, SHARE = 32, 5, 0.8
+SIEVE = 1 << 20
 CHUNK = 1 << 20
+MARKS = np.ones(256, bool)
+MARKS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 #: More templates than this are sent to the workers in several passes.
 PER_PASS = 10_000
 
@@ -81,6 +100,122 @@ NOTICES: tuple[tuple[str, str], ...] = (
 )
 
 
+def gnu(kind: str, work: str, version: str, mark: str, stop: str) -> str:
+    return (
+        f"This {work} is free software{mark} you can redistribute it and/or modify it under the terms "
+        f"of the GNU {kind} Public License as published by the Free Software Foundation{stop} either "
+        f"version {version} of the License, or (at your option) any later version."
+    )
+
+
+CONDITIONS = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted "
+    "provided that the following conditions are met: 1. Redistributions of source code must retain "
+    "the above copyright notice, this list of conditions and the following disclaimer. 2. "
+    "Redistributions in binary form must reproduce the above copyright notice, this list of "
+    "conditions and the following disclaimer in the documentation and/or other materials provided "
+    "with the distribution. "
+)
+ENDORSEMENT = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to "
+    "endorse or promote products derived from this software without specific prior written "
+    "permission. "
+)
+DISCLAIMER = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR "
+    "IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND "
+    "FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+    "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+    "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, "
+    "DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER "
+    "IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT "
+    "OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+
+#: Further notices and the texts of short licenses (fixed values).
+MORE_NOTICES: tuple[tuple[str, str], ...] = (
+    ("GPL-2.0-or-later", gnu("General", "program", "2", ";", ";")),
+    (
+        "GPL-2.0-only",
+        "This program is free software; you can redistribute it and/or modify it under the terms of "
+        "the GNU General Public License version 2 as published by the Free Software Foundation.",
+    ),
+    ("LGPL-2.0-or-later", gnu("Library General", "library", "2", ";", ";")),
+    ("LGPL-2.1-or-later", gnu("Lesser General", "library", "2.1", ";", ";")),
+    ("LGPL-3.0-or-later", gnu("Lesser General", "program", "3", ":", ",")),
+    ("AGPL-3.0-or-later", gnu("Affero General", "program", "3", ":", ",")),
+    (
+        "AGPL-3.0",
+        "Notwithstanding any other provision of this License, if you modify the Program, your "
+        "modified version must prominently offer all users interacting with it remotely through a "
+        "computer network (if your version supports such interaction) an opportunity to receive the "
+        "Corresponding Source of your version by providing access to the Corresponding Source from a "
+        "network server at no charge, through some standard or customary means of facilitating "
+        "copying of software.",
+    ),
+    (
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a "
+        "copy of the MPL was not distributed with this file, You can obtain one at "
+        "http://mozilla.org/MPL/2.0/.",
+    ),
+    (
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+        "without fee is hereby granted, provided that the above copyright notice and this permission "
+        "notice appear in all copies.",
+    ),
+    (
+        "ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+        "without fee is hereby granted, provided that the above copyright notice and this permission "
+        "notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL "
+        "WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY "
+        "AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR "
+        "CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
+        "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN "
+        "CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    ),
+    ("BSD-2-Clause", CONDITIONS + DISCLAIMER),
+    ("BSD-3-Clause", CONDITIONS + ENDORSEMENT + DISCLAIMER),
+    (
+        "MIT",
+        f"{NOTICES[4][1]} The above copyright notice and this permission notice shall be included in "
+        "all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", "
+        "WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE "
+        "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO "
+        "EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+        "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN "
+        "CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
+)
+
+
+def templates() -> list[tuple[str, str]]:
+    """All notices, and the full license texts that lie beside this module."""
+    folder = Path(__file__).with_name("license_texts")
+    full = [(f.stem, f.read_text("utf-8", "replace")) for f in sorted(folder.glob("*.txt"))]
+    return [*NOTICES, *MORE_NOTICES, *full]
+
+
+class Plain(Words):
+    """Words as runs of letters and digits, so quotes, stops and comment marks do not count."""
+
+    def __init__(self, texts: pa.LargeStringArray) -> None:
+        data, self.at = flat(texts)
+        self.padded = lowered(data)
+        two = (self.padded[:-1] == 0xC2) & (self.padded[1:] >= 0x80)
+        three = (self.padded[:-1] == 0xE2) & (self.padded[1:] == 0x80)  # quotes, dashes, bullets
+        for found, n in ((two, 2), (three, 3)):
+            for i in range(n):
+                self.padded[np.flatnonzero(found) + i] = 32
+        self.starts, self.ends = word_bounds(self.padded, self.at, MARKS)
+        self.hashes = span_hashes(self.padded, self.starts, self.ends)
+        self.first = np.searchsorted(self.starts, self.at)
+        self.counts = np.diff(self.first)
+        self.texts = np.repeat(np.arange(len(self.counts)), self.counts)
+
+
 def minima(h: np.ndarray, width: int, starts: np.ndarray) -> np.ndarray:
     """The least of ``width`` hashes from each start on, by doubling."""
     least, span = h, 1
@@ -99,6 +234,8 @@ class Group:
         self.longest = max(len(s) for _, s in members)
         self.step = max(1, self.width // 8)
         self.members = [(t, np.unique(s)) for t, s in members]
+        self.least = min(len(s) for _, s in self.members)
+        self.known = np.unique(np.concatenate([s for _, s in self.members]))
         self.bands = []
         for band in range(BANDS):
             least = np.array([banded(s, band).min() for _, s in self.members])
@@ -130,11 +267,16 @@ def runs_of_words(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     return h, words.texts[:n] == words.texts[k - 1 : k - 1 + n]
 
 
-def groups_of(notices: Sequence[tuple[str, str]]) -> list[Group]:
+def among(h: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which hashes are in the sorted, not empty, ``known``."""
+    return known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h
+
+
+def groups_of(notices: Sequence[tuple[str, str]], kind: type[Words] = Words) -> list[Group]:
     """Templates grouped by shingle size (five, or all words of a shorter one) and length."""
     by_size: dict[int, list[tuple[int, np.ndarray]]] = {}
     for t, (_, text) in enumerate(notices):
-        words = Words(pa.array([text], pa.large_string()))
+        words = kind(pa.array([text], pa.large_string()))
         k = min(SHINGLE, len(words.hashes))
         if k:
             by_size.setdefault(k, []).append((t, runs_of_words(words, k)[0]))
@@ -148,15 +290,51 @@ def groups_of(notices: Sequence[tuple[str, str]]) -> list[Group]:
     return out
 
 
+class Hit(NamedTuple):
+    text: int
+    template: int
+    start: int
+    end: int
+    share: float
+    matched: int
+    words: np.ndarray
+
+
 def scan(texts: pa.LargeStringArray, groups: list[Group], share: float) -> list[tuple]:
     """(text, template, first byte, end byte, share) of each notice found."""
-    words = Words(texts)
-    best: dict[tuple[int, int], list[tuple[float, int, int]]] = {}
+    return [tuple(hit[:5]) for hit in hits(Words(texts), groups, share)]
+
+
+def tightest(at: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """The shortest run of places that holds every kind: one copy, without its neighbours."""
+    left, seen, missing = 0, dict.fromkeys(kind.tolist(), 0), len(np.unique(kind))
+    kinds, places = kind.tolist(), at.tolist()
+    best = (places[-1] - places[0] + 1, 0, len(places))
+    for right, x in enumerate(kinds):
+        missing -= seen[x] == 0
+        seen[x] += 1
+        while seen[kinds[left]] > 1:
+            seen[kinds[left]] -= 1
+            left += 1
+        if not missing:
+            best = min(best, (places[right] - places[left], left, right + 1))
+    return at[best[1] : best[2]]
+
+
+def hits(words: Words, groups: list[Group], share: float) -> list[Hit]:
+    """Each notice found, with the number of its shingles and the words of its text that hold them."""
+    best: dict[tuple[int, int], list[tuple[float, int, int, int, np.ndarray]]] = {}
     hashed = {k: runs_of_words(words, k) for k in {g.k for g in groups}}
     for group in groups:
         h, inside = hashed[group.k]
         last = np.maximum(words.counts - group.k + 1, 0)  # shingles of each text
         fits = np.where(last > 0, np.maximum(-(-(last - group.width) // group.step), 0) + 1, 0)
+        # a text with fewer shingles of these templates holds too little of any
+        met = words.texts[: len(h)][inside & among(h, group.known)]
+        able = np.bincount(met, minlength=len(fits)) >= share * group.least - 1e-9
+        fits = np.where(able, fits, 0)
+        if not fits.any():
+            continue
         begin = words.first[:-1]
         nth = np.arange(int(fits.sum())) - np.repeat(np.cumsum(fits) - fits, fits)
         starts = np.repeat(begin, fits) + nth * group.step
@@ -176,22 +354,62 @@ def scan(texts: pa.LargeStringArray, groups: list[Group], share: float) -> list[
             own = h[low:high]
             place = np.minimum(np.searchsorted(want, own), len(want) - 1)
             hit = np.flatnonzero((want[place] == own) & inside[low:high])
-            held = len(np.unique(own[hit])) / len(want)
+            matched = len(np.unique(place[hit]))
+            held = matched / len(want)
             if held >= share - 1e-9:
+                hit = tightest(hit, place[hit])
                 first = int(words.starts[low + hit[0]] - words.at[text])
                 end = int(words.ends[low + hit[-1] + group.k - 1] - words.at[text])
-                best.setdefault((text, t), []).append((held, first, end))
+                own_words = np.unique((low + hit)[:, None] + np.arange(group.k)) - words.first[text]
+                best.setdefault((text, t), []).append((held, first, end, matched, own_words))
     out = []
     for (text, t), spans in best.items():
-        spans.sort(key=lambda s: (s[1], -s[0]))
-        kept: list[tuple[float, int, int]] = []
-        for s in spans:
-            if kept and s[1] < kept[-1][2]:  # windows around one notice
-                old = kept.pop()
-                s = (max(s[0], old[0]), old[1], max(s[2], old[2]))
-            kept.append(s)
-        out += [(text, t, first, end, held) for held, first, end in kept]
-    return sorted(out)
+        spans.sort(key=lambda s: (-s[3], s[2] - s[1], s[1]))
+        kept: list[tuple[float, int, int, int, np.ndarray]] = []
+        taken: list[tuple[int, int]] = []
+        for s in spans:  # of windows around one notice the best and shortest span stays
+            i = bisect_left(taken, (s[1], s[2]))
+            if (i == 0 or taken[i - 1][1] <= s[1]) and (i == len(taken) or s[2] <= taken[i][0]):
+                taken.insert(i, (s[1], s[2]))
+                kept.append(s)
+        out += [Hit(text, t, first, end, held, n, own) for held, first, end, n, own in kept]
+    return sorted(out, key=lambda hit: hit[:5])
+
+
+def explained(found: list[Hit]) -> list[Hit]:
+    """Of hits on the same words, those of the template that holds most shingles there.
+
+    A hit goes if at least half of its words are words of hits that stay. So a license whose text
+    resembles or holds another one's is not reported as both, and neighbours both stay.
+    """
+    kept: list[Hit] = []
+    taken = {t: np.zeros(max(x.words[-1] for x in own) + 1, bool) for t, own in by_text(found).items()}
+    for hit in sorted(found, key=lambda x: (-x.matched, -x.share, x.template, x.start)):
+        if 2 * taken[hit.text][hit.words].sum() < len(hit.words):
+            taken[hit.text][hit.words] = True
+            kept.append(hit)
+    return sorted(kept, key=lambda x: (x.text, x.template, x.start))
+
+
+def by_text(found: list[Hit]) -> dict[int, list[Hit]]:
+    out: dict[int, list[Hit]] = {}
+    for hit in found:
+        out.setdefault(hit.text, []).append(hit)
+    return out
+
+
+def promising(words: Words, groups: list[Group]) -> np.ndarray:
+    """Numbers of the texts that hold a shingle of some template."""
+    some = np.zeros(len(words.counts), bool)
+    for k in {g.k for g in groups}:
+        h, inside = runs_of_words(words, k)
+        known = np.unique(np.concatenate([g.known for g in groups if g.k == k]))
+        low = np.uint64(SIEVE - 1)
+        sieve = np.zeros(SIEVE, bool)
+        sieve[(known & low).astype(np.int64)] = True
+        at = np.flatnonzero(sieve[(h & low).astype(np.int64)] & inside)
+        some[words.texts[at[among(h[at], known)]]] = True
+    return np.flatnonzero(some)
 
 
 FOUND = "array<struct<license: string, start: bigint, end: bigint, share: double>>"
@@ -199,22 +417,25 @@ FOUND = "array<struct<license: string, start: bigint, end: bigint, share: double
 
 def license_notices(
     docs: DataFrame,
-    notices: Sequence[tuple[str, str]] = NOTICES,
+    notices: Sequence[tuple[str, str]] | None = None,
     share: float = SHARE,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
     """Per row: (doc_id, notices), the spans of bytes that hold at least ``share`` of a template.
 
-    Letters A-Z count as a-z. Templates without words are found nowhere. Null and empty texts hold
+    Without ``notices`` all of ``templates()`` are looked for. Letters A-Z count as a-z, marks between
+    letters and digits as space. Of templates on the same words the one that holds most counts
+    (``explained``). Templates without words are found nowhere. Null and empty texts hold
     none. Rows and ids may repeat, ids may be null.
     """
     groups: list[Group] = []
+    notices = templates() if notices is None else notices
     names = [name for name, _ in notices]
     shared = docs.sparkSession.sparkContext.broadcast
     passes = []
     for start in range(0, max(len(notices), 1), PER_PASS):
-        groups = groups_of(notices[start : start + PER_PASS])
+        groups = groups_of(notices[start : start + PER_PASS], Plain)
         passes.append((start, shared(groups)))
     kind = pa.list_(pa.struct([
         ("license", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("share", pa.float64())
@@ -224,11 +445,20 @@ def license_notices(
         for batch in slices(batches, 1, CHUNK):
             texts = strings(batch.column(1))
             rows: list[list[dict]] = [[] for _ in range(batch.num_rows)]
+            words, found = Plain(texts), []
             for first, groups in passes:
-                for text, t, start, end, held in scan(texts, groups.value, share):
-                    rows[text].append({
-                        "license": names[first + t], "start": start, "end": end, "share": held
-                    })
+                near = promising(words, groups.value)
+                if len(near):
+                    some = hits(Plain(texts.take(pa.array(near))), groups.value, share)
+                    found += [
+                        hit._replace(text=int(near[hit.text]), template=first + hit.template)
+                        for hit in some
+                    ]
+            for hit in explained(found):
+                rows[hit.text].append({
+                    "license": names[hit.template], "start": hit.start, "end": hit.end,
+                    "share": hit.share,
+                })
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(rows, kind)], names=["doc_id", "notices"]
             )

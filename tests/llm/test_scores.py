@@ -82,6 +82,37 @@ def test_notices_of_odd_rows(spark, monkeypatch):
     assert {r.doc_id for r in again} == {None, 30}
 
 
+def commented(text: str, mark: str, width: int = 9) -> str:
+    own = text.split()
+    return "\n".join(f"{mark} {' '.join(own[i : i + width])}" for i in range(0, len(own), width))
+
+
+def test_common_licenses_are_told_apart(spark):
+    every = licenses.templates()
+    names = {n for n, _ in every}
+    assert {"GPL-2.0", "LGPL-2.1", "AGPL-3.0-or-later", "MPL-2.0", "ISC", "BSD-2-Clause", "Apache-2.0"} <= names
+    texts = [f"First some words.\n{commented(text, mark)}\n{mark} Last." for _, text in every for mark in ("#", " *", "")]
+    texts += [text.upper().replace('"', "\u201c") for _, text in every]
+    want = [name for name, _ in every for _ in range(3)] + [name for name, _ in every]
+    rows = list(enumerate(texts)) + [(len(texts), "(c) X. All rights reserved"), (len(texts) + 1, "words only")]
+    got = licenses.license_notices(documents(ship_package(spark), rows)).collect()
+    held = {r.doc_id: {n.license for n in r.notices} for r in got}
+    assert held.pop(len(texts)) == {"All-rights-reserved"} and not held.pop(len(texts) + 1)
+    for i, name in enumerate(want):
+        assert held[i] == {name}, (name, held[i])
+
+
+def test_neighbours_and_half_copies(spark):
+    gpl, agpl, mit = (next(t for n, t in licenses.templates() if n == x) for x in ("GPL-3.0-or-later", "AGPL-3.0-or-later", "MIT"))
+    full = next(t for n, t in licenses.templates() if n == "GPL-2.0")
+    own = full.split()
+    rows = [(1, f"{gpl}\n{agpl}\n{mit} All rights reserved."), (2, " ".join(own[: len(own) // 2])),
+            (3, " ".join(own[: len(own) * 9 // 10])), (4, f"{mit} {'filler ' * 30} {mit}")]
+    got = {r.doc_id: [n.license for n in r.notices] for r in licenses.license_notices(documents(ship_package(spark), rows)).collect()}
+    assert sorted(got[1]) == ["AGPL-3.0-or-later", "All-rights-reserved", "GPL-3.0-or-later", "MIT"]
+    assert got[2] == [] and got[3] == ["GPL-2.0"] and got[4] == ["MIT", "MIT"]
+
+
 # --- toxicity ------------------------------------------------------------------------
 
 
