@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytune.functions.times import in_local_day, parse_iso
+from skytune.functions.times import in_local_day, parse_iso, parse_played_at
 from skytune.plans.mart import combined_mood
 from skytune.plans.music import music_mood
 from skytune.plans.staging import stage_plays
@@ -52,13 +52,16 @@ def run_daily(
     """Stage one local day and rebuild that day of the mart.
 
     Plays and mart are stored per *local* day: the pull covers exactly one, while it
-    touches two UTC dates and would overwrite the rest of the earlier one.
+    touches two UTC dates and would overwrite the rest of the earlier one. A play without
+    an epoch is dated by its text. Of all landed plays, ``undated`` counts those with neither.
     """
     day = dt.date.fromisoformat(str(run_date))
-    epoch = F.col("played_at_uts").try_cast("bigint")
+    told = F.unix_timestamp(parse_played_at(F.col("played_at")))
+    epoch = F.coalesce(F.col("played_at_uts").try_cast("bigint"), told)
+    landed = stage_plays(scan_music_pulls(spark, folders.music_json)).withColumn("_epoch", epoch)
     plays = (
-        stage_plays(scan_music_pulls(spark, folders.music_json))
-        .where(in_local_day(epoch, day, zone))
+        landed.where(in_local_day(F.col("_epoch"), day, zone))
+        .drop("_epoch")
         .withColumn("local_date", F.lit(day))
     )
     weather = scan_weather_records(spark, folders.weather_json)
@@ -67,7 +70,11 @@ def run_daily(
     counts = {
         "plays": load(plays, folders.plays, "local_date", "plays"),
         "weather": load(weather, folders.weather, "date", "weather"),
+        # a pass of its own: an observation below the day filter is lost when the day is empty
+        "undated": landed.where(F.col("_epoch").isNull()).count(),
     }
+    if counts["undated"]:
+        log.warning("plays without a time: %d", counts["undated"])
     if not counts["plays"]:
         return counts | {"mart": 0}
 

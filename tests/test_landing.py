@@ -108,3 +108,31 @@ def test_daily_run_keeps_other_days_and_survives_empty_pulls(spark, tmp_path):
     empty = run_daily(spark, "2031-01-01", folders, tracks)
     assert empty["plays"] == empty["mart"] == 0
     assert spark.read.parquet(folders.mart).count() == first["mart"] + second["mart"]
+
+
+def test_daily_run_dates_plays_by_text_and_counts_the_rest(spark, tmp_path):
+    folders = _folders(tmp_path)
+    part = adapters.table(spark, TABLES, "part")
+    tracks = adapters.tracks(part)
+    name = tracks.select("track_name").first()[0]
+    (tmp_path / "music").mkdir()
+    (tmp_path / "weather").mkdir()
+    _pull(
+        tmp_path / "music" / "a.json",
+        _track(name, "10 Jan 2024, 05:31", "1704864660"),
+        _track(name, "09 Jan 2024, 23:30"),  # 00:30 of the 10th in Berlin
+        _track(name, "10 Jan 2024, 12:00", "soon"),
+        _track(name, "10 Jan 2024, 23:30"),
+        _track(name, "some day", "never"),
+        _track("playing"),
+    )
+    sinks.land_json(
+        adapters.readings(adapters.events(spark, TABLES)).drop("reading_id"), folders.weather_json
+    )
+    counts = run_daily(spark, "2024-01-10", folders, tracks)
+    assert counts["plays"] == 3 and counts["undated"] == 2 and counts["mart"] == 3
+    staged = spark.read.parquet(folders.plays)
+    assert "_epoch" not in staged.columns
+    assert {r.played_at for r in staged.collect()} == {
+        "10 Jan 2024, 05:31", "09 Jan 2024, 23:30", "10 Jan 2024, 12:00"}
+    assert run_daily(spark, "2031-01-01", folders, tracks)["undated"] == 2
