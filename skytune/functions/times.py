@@ -55,8 +55,10 @@ def parse_iso(text: Column, source_zone: str | None = None, strict: bool = False
     """ISO text to a UTC timestamp; ``source_zone`` re-reads a wall clock stamped as UTC.
 
     The text must start with a full date: Spark alone would take today for a bare time of day.
+    With ``strict`` any other text raises, as an impossible date does; NULL stays NULL.
     """
-    dated = F.when(F.btrim(text).rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), text)
+    undated = F.concat(F.lit("undated "), text) if strict else F.lit(None)
+    dated = F.when(F.btrim(text).rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), text).otherwise(undated)
     stamp = _as_timestamp(dated, strict)
     return F.to_utc_timestamp(stamp, source_zone) if source_zone else stamp
 

@@ -106,11 +106,11 @@ def train_mood(
     target: str,
     stamp: str,
     row_key: Sequence[str],
+    missing: str,
     exclude: Sequence[str] = (),
     trees: int = TREES,
     depth: int = 8,
     seed: int = SEED,
-    missing: str = "drop",
     partitions: int = 8,
 ) -> Trained:
     """Forest regression with an 80/20 split by row key, which is no feature itself.

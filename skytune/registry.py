@@ -636,7 +636,7 @@ def residual_bins(f: Frames) -> DataFrame:
 def _combined_model(f: Frames) -> training.Trained:
     # Trees read their input many times, so it is written once.
     mart = written(training.with_combined_target(f.mart()), "training-mart")
-    return training.train_mood(mart, "combined_mood", "Event_Start_Timestamp", ["event_id"])
+    return training.train_mood(mart, "combined_mood", "Event_Start_Timestamp", ["event_id"], "drop")
 
 
 @query
@@ -654,7 +654,7 @@ def _weather_model(f: Frames) -> training.Trained:
         "timestamp_converted", "time"
     )
     data = written(hours.drop("timestamp", "date"), "training-weather")
-    return training.train_mood(data, "weather_mood", "time", ["reading_id"])
+    return training.train_mood(data, "weather_mood", "time", ["reading_id"], "drop")
 
 
 def _reloaded(f: Frames, trained: training.Trained) -> training.Trained:

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import gzip
 import json
 
+import pytest
 from conftest import TABLES
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from skytune import adapters
 from skytune.plans.daily import Folders, run_daily
@@ -62,6 +65,32 @@ def test_weather_parallel_arrays(spark, tmp_path):
     assert (row.timestamp, row.weathercode, row.temperature_2m) == ("2025-12-08T05:00:00Z", 1, 1.0)
 
 
+def test_csv_files_of_different_headers(spark, tmp_path):
+    folder = tmp_path / "some files"
+    folder.mkdir()
+    (folder / "one.csv").write_text('a,b\n1,x\n2,"y ""z"", w"\n')
+    (folder / "two.csv").write_text("b,unused,a\nq,0,3\n")
+    (folder / "three.csv").write_text("\ufeffa,b\n4,r\n")
+    (folder / "only a header.csv").write_text("b,a\n")
+    (folder / "empty.csv").write_text("")
+    with gzip.open(folder / "packed.csv.gz", "wt") as file:
+        file.write("b,a\ns,5\n")
+    schema = StructType().add("a", "integer").add("b", "string")
+    got = scans.scan_csv(spark, str(folder), schema)
+    assert got.columns == ["a", "b"]
+    assert sorted(map(tuple, got.collect())) == [
+        (1, "x"), (2, 'y "z", w'), (3, "q"), (4, "r"), (5, "s")]
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "one.csv").write_text("a,c\n1,x\n")
+    with pytest.raises(ValueError, match="lacks the columns"):
+        scans.scan_csv(spark, str(tmp_path / "bad"), schema)
+    (tmp_path / "bad" / "one.csv").write_text("a,b,b\n1,x,y\n")
+    with pytest.raises(ValueError, match="more than once"):
+        scans.scan_csv(spark, str(tmp_path / "bad"), schema)
+    (tmp_path / "bad" / "one.csv").write_text("")
+    assert scans.scan_csv(spark, str(tmp_path / "bad"), schema).isEmpty()
+
+
 def test_days_overwrite_only_themselves(spark, tmp_path):
     path = str(tmp_path / "t")
     day = "day string, v int"

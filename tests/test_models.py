@@ -16,6 +16,7 @@ from skytune.plans.music import (
 )
 from skytune.plans.weather import WEATHER_COLUMNS, hourly_weather_mood, weather_mood
 from skytune.schemas import METADATA, PLAYS, WEATHER_RECORD
+from skytune.sources.scans import whole
 
 
 def _plays(spark, *values):
@@ -84,13 +85,15 @@ def test_every_play_is_matched_at_most_once(spark):
 
 
 def _weather(spark, *entries):
+    """Readings as the scan stages them: codes land as real numbers."""
     base = dict.fromkeys(WEATHER_RECORD.names)
-    return spark.createDataFrame([{**base, **e} for e in entries], WEATHER_RECORD)
+    landed = spark.createDataFrame([{**base, **e} for e in entries], WEATHER_RECORD)
+    return landed.withColumn("weathercode", whole(F.col("weathercode")))
 
 
-BEST = dict(temperature_2m=22.0, weathercode=0, cloudcover=0.0, precipitation=0.0,
+BEST = dict(temperature_2m=22.0, weathercode=0.0, cloudcover=0.0, precipitation=0.0,
             relativehumidity_2m=50.0)
-WORST = dict(temperature_2m=-5.0, weathercode=95, cloudcover=100.0, precipitation=9.0,
+WORST = dict(temperature_2m=-5.0, weathercode=95.0, cloudcover=100.0, precipitation=9.0,
              relativehumidity_2m=95.0)
 
 
@@ -150,6 +153,12 @@ def test_strict_weather_raises(spark):
     assert hourly_weather_mood(df).first().date is None
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         hourly_weather_mood(df, strict=True).collect()
+    for text in ("05:31:00", "2025-02-31T00:00:00Z"):
+        with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+            hourly_weather_mood(_weather(spark, {"timestamp": text}), strict=True).collect()
+    good = _weather(spark, {"timestamp": " 2025-12-08T12:00:00Z"}, {"timestamp": None})
+    kept = {r.timestamp: r.hour_of_day for r in hourly_weather_mood(good, strict=True).collect()}
+    assert kept == {" 2025-12-08T12:00:00Z": 12, None: None}
 
 
 # --- plans -----------------------------------------------------------------------------

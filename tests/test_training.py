@@ -34,7 +34,7 @@ def test_target_must_be_numeric(data, target):
 
 
 def test_forest_learns_and_survives_saving(spark, data, tmp_path):
-    trained = training.train_mood(data, "y", "at", ["id"], exclude=["id"], trees=20, depth=7)
+    trained = training.train_mood(data, "y", "at", ["id"], "drop", exclude=["id"], trees=20, depth=7)
     scores = training.regression_metrics(trained.predictions()).first()
     assert scores.n == trained.test.count() and scores.r2 > 0.95
     ranked = [r.feature for r in trained.importances().collect()]
