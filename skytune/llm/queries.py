@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skytune.llm import (
+    alignment,
     bpe,
     decontaminate,
     fingerprint,
@@ -17,17 +18,20 @@ from skytune.llm import (
     licenses,
     lines,
     minhash,
+    packing,
     repeats,
     tokencount,
     toxicity,
+    whitening,
 )
-from skytune.session import ship_package
+from skytune.session import ship_package, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {"op8_line_dedup": lines.ORACLE}
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -107,3 +111,32 @@ def op9_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 def op10_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return kneser_ney.language_scores(docs, kneser_ney.in_training(F.col("doc_id")))
+
+
+@query
+def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's ids and the id 1 in cost-balanced sequences of at most 2048 tokens."""
+    pieces = packing.pack(table(spark, folder, "documents"), WORD_VOCABULARY, end_id=1)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset", "cost",
+    )
+
+
+@query
+def op12_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and groups of the byte-level and the piece tokenizer in every document."""
+    aligned = alignment.alignments(
+        table(spark, folder, "documents"), BYTE_VOCABULARY, PIECE_MODEL
+    )
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    kept = written(aligned.withColumn("groups_sha256", digest).drop("groups"), "alignments")
+    size_b = alignment.vocabulary_size(PIECE_MODEL)
+    counts = written(alignment.link_counts(kept, size_b), "link-counts")
+    return alignment.with_link_counts(kept, counts)
+
+
+@query
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """All embeddings on the first 16 principal components of the distinct ones."""
+    return whitening.whitened(table(spark, folder, "embeddings"))
