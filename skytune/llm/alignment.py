@@ -15,8 +15,10 @@ while the corpus grows.
 from __future__ import annotations
 
 import math
+import re
 import struct
 from collections.abc import Callable, Iterator
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -29,31 +31,37 @@ from tokenizers import Tokenizer
 
 from skytune.llm.pretokens import BYTE_LEVEL, byte_symbols
 from skytune.llm.ragged import slices, strings
+from skytune.llm.stretches import cut, spread
 from skytune.llm.tokencount import SPACE_AFTER_SPACE
 from skytune.session import written
 
-#: Bytes of text that are aligned at once.
-CHUNK = 1 << 20
-#: Ids of so many words and stretches are kept by a worker before it forgets them.
-KEPT = 400_000
-#: Links whose counts a worker holds at once (17 bytes each).
+#: Bytes of text that are aligned at once, and links that are looked up at once.
+CHUNK, LOOKED_UP = 1 << 20, 1 << 18
+#: Ids of so many stretches and of so many words are kept by a worker before it forgets them.
+KEPT, KEPT_WORDS = 500_000, 200_000
+#: Links whose counts a worker holds at once (13 bytes each).
 PORTION = 2_000_000
 
+#: What no ids spell: the empty text is aligned with nothing.
+NEVER = b"\xff"
+#: What stands for a space in a piece.
+GAP = "\u2581"
+#: Texts of more characters are not cut into words here.
+LONG = 1000
+#: Characters that the library splits into words; which are letters changes with Unicode.
+BEYOND_LATIN = re.compile(r"[^\x00-\u024f]").search
+
 #: A side and a B side end, more tokens follow on the same side, or the text is over.
 SEPARATORS = (",", "|", ";", "")
 
 SCHEMA = (
     "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups string, "
-    "links array<long>"
+    "links array<int>"
 )
 
 
 class ByteSide:
-    """Side A: ids by the public library, which sees each distinct stretch between spaces once.
-
-    A pre-token begins at every space that follows no white space, so a text without doubled white
-    space may be cut there; any other text goes to the library as it is.
-    """
+    """Side A: ids by the public library; words of Latin characters go straight to its merges."""
 
     def __init__(self, vocabulary: str) -> None:
         self.library = Tokenizer.from_str(vocabulary)
@@ -64,65 +72,59 @@ class ByteSide:
         symbols = byte_symbols()
         self.symbols = dict(enumerate(symbols))
         byte = {c: b for b, c in enumerate(symbols)}
-        size = self.library.get_vocab_size()
-        names = [self.library.id_to_token(i) or "" for i in range(size)]
+        names = [self.library.id_to_token(i) or "" for i in range(self.library.get_vocab_size())]
         self.bytes = [
             bytes(byte[c] for c in t) if all(c in byte for c in t) else t.encode() for t in names
         ]
-        self.known: dict[str, bytes] = {}
-        self.stretches: dict[str, bytes] = {}
-
-    def whole(self, text: str) -> bytes:
-        return packed(self.library.encode(text, add_special_tokens=False).ids)
-
-    def learn(self, stretch: str) -> bytes:
-        spaced = " " + stretch
-        if not stretch.isascii():
-            return self.whole(spaced)
-        found = b""
-        for word in BYTE_LEVEL.findall(spaced):
+        self.known: dict[str, list[int]] = {}
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """Ids of a space and each text."""
+        if len(self.known) > KEPT_WORDS:
+            self.known.clear()
+        return [self.learn(" " + t) for t in texts]
+
+    def learn(self, text: str) -> list[int]:
+        if len(text) > LONG or BEYOND_LATIN(text):
+            return self.library.encode(text, add_special_tokens=False).ids
+        found: list[int] = []
+        if text[1:].isalpha():
+            words = [text]
+        elif text[1:-1].isalpha() and text[-1] in ".,":
+            words = [text[:-1], text[-1]]
+        else:
+            words = BYTE_LEVEL.findall(text)
+        for word in words:
             ids = self.known.get(word)
             if ids is None:
-                spelled = word.translate(self.symbols)
-                ids = self.known[word] = packed([t.id for t in self.merges(spelled)])
+                spelled = word.encode().decode("latin-1").translate(self.symbols)
+                ids = self.known[word] = [t.id for t in self.merges(spelled)]
             found += ids
         return found
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of a space and each text as little-endian 32-bit numbers."""
-        for memory in (self.known, self.stretches):
-            if len(memory) > KEPT:
-                memory.clear()
-        cut = [None if SPACE_AFTER_SPACE(" " + t) else t.split(" ") for t in texts]
-        for stretch in set().union(*filter(None, cut)) - self.stretches.keys():
-            self.stretches[stretch] = self.learn(stretch)
-        known = self.stretches.__getitem__
-        return [
-            self.whole(" " + t) if c is None else b"".join(map(known, c))
-            for t, c in zip(texts, cut, strict=True)
-        ]
-
 
 class PieceSide:
     """Side B: ids by the public library."""
 
     def __init__(self, model: bytes) -> None:
         self.library = SentencePieceProcessor(model_proto=model)
-        self.size = self.library.vocab_size()
+        names = [self.library.id_to_piece(i) for i in range(self.library.vocab_size())]
         self.bytes = [
-            bytes([int(piece[3:-1], 16)])
-            if self.library.is_byte(i)
-            else piece.replace("▁", " ").encode()
-            for i in range(self.size)
-            for piece in [self.library.id_to_piece(i)]
+            bytes([int(t[3:-1], 16)]) if self.library.is_byte(i) else t.replace(GAP, " ").encode()
+            for i, t in enumerate(names)
         ]
+        #: Whether no piece goes on after a space inside it.
+        self.separable = all(GAP not in t.lstrip(GAP) for t in names)
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return self.library.encode(texts, num_threads=1)
+
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        return list(map(packed, self.library.encode(texts, num_threads=1)))
+FORMATS = [struct.Struct(f"<{n}I") for n in range(16)]
 
 
 def packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return FORMATS[len(ids)].pack(*ids) if len(ids) < 16 else struct.pack(f"<{len(ids)}I", *ids)
 
 
 class Aligner:
@@ -133,24 +135,71 @@ class Aligner:
         self.sizes = [np.array([len(x) for x in side.bytes], np.int64) for side in (self.a, self.b)]
         self.width = max(map(len, self.sizes))
         self.spelled = [f"{i}{mark}" for mark in SEPARATORS for i in range(self.width)]
+        #: Ids of stretches on both sides, and stretches that a side does not give back.
+        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.lost: set[str] = set()
+
+    def plain(self, text: str) -> bool:
+        """Whether both sides may be cut at every space: none follows white space or ends the text.
+
+        A pre-token and a piece begin at each space then, and depend on nothing before it.
+        """
+        return not (text.endswith(" ") or SPACE_AFTER_SPACE(" " + text))
+
+    def checked(self, texts: list[str]) -> tuple[list[bytes], list[bytes], set[int]]:
+        """Ids of both sides of each text, and the places where a side does not give back its text."""
+        wanted = [b" " + t.encode() if t else NEVER for t in texts]
+        both = self.a.encode(texts), self.b.encode(texts)
+        whole, lengths = b"".join(wanted), list(map(len, wanted))
+        sound = True
+        for side, size, ids in zip((self.a, self.b), self.sizes, both, strict=True):
+            flat = list(chain.from_iterable(ids))
+            stops = np.cumsum(list(map(len, ids)), dtype=np.int64)
+            spelled = np.cumsum(size[np.array(flat, np.int64)])
+            ends = np.concatenate([np.zeros(1, np.int64), spelled])[stops]
+            sound = sound and b"".join(map(side.bytes.__getitem__, flat)) == whole
+            sound = sound and np.array_equal(ends, np.cumsum(lengths, dtype=np.int64))
+        lost = set()
+        if not sound:
+            rows = enumerate(zip(*both, wanted, strict=True))
+            lost = {i for i, (a, b, want) in rows if not self.same(a, b, want)}
+        return list(map(packed, both[0])), list(map(packed, both[1])), lost
+
+    def same(self, a: list[int], b: list[int], want: bytes) -> bool:
+        """Whether both lists of ids spell the same bytes."""
+        spelled = (b"".join(map(s.bytes.__getitem__, x)) for s, x in ((self.a, a), (self.b, b)))
+        return all(x == want for x in spelled)
+
+    def sides(self, texts: pa.LargeStringArray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per side the ids of all texts behind each other, and how many each text has.
+
+        Distinct stretches between spaces are encoded once, and remembered.
+        """
+        if len(self.known) > KEPT:
+            self.known.clear()
+            self.lost.clear()
+        known = self.known
+        known[""] = b"", b""  # the only stretch of an empty text
+        whole = np.array([not self.plain(t) for t in texts.to_pylist()], bool)
+        distinct, uncut, places, begins = cut(texts, whole | (not self.b.separable))
+        fresh = [s for s in distinct if s not in known]
+        *found, lost = self.checked(fresh)
+        known.update(zip(fresh, zip(*found, strict=True), strict=True))
+        self.lost.update(fresh[i] for i in lost)
+        *found, lost = self.checked(uncut)
+        gone = np.zeros(len(distinct) + len(uncut), bool)
+        gone[[len(distinct) + i for i in lost]] = True
+        if self.lost:
+            gone[: len(distinct)] = [s in self.lost for s in distinct]
+        pairs = list(map(known.__getitem__, distinct))
+        return [
+            spread([*(p[k] for p in pairs), *found[k]], places, begins, gone) for k in (0, 1)
+        ]
 
-    def sides(self, texts: list[str]) -> list[list[bytes]]:
-        """Ids of both sides, none where a side does not give back the space and the text."""
-        both = [self.a.encode(texts), self.b.encode(texts)]
-        for k, text in enumerate(texts):
-            want = b" " + text.encode() if text else None
-            for side, ids in zip((self.a, self.b), both, strict=True):
-                listed = struct.unpack(f"<{len(ids[k]) // 4}I", ids[k])
-                if b"".join(map(side.bytes.__getitem__, listed)) != want:
-                    both[0][k] = both[1][k] = b""
-                    break
-        return both
-
-    def align(self, texts: list[str]) -> list[pa.Array]:
+    def align(self, texts: pa.LargeStringArray) -> list[pa.Array]:
         """Columns of ``SCHEMA`` behind the document id."""
-        sides = self.sides(texts)
-        n = [np.array([len(x) // 4 for x in ids], np.int64) for ids in sides]
-        ids = [np.frombuffer(b"".join(x), "<u4").astype(np.int64) for x in sides]
+        (ids_a, n_a), (ids_b, n_b) = self.sides(texts)
+        ids, n = [ids_a.astype(np.int64), ids_b.astype(np.int64)], [n_a, n_b]
         ends = [np.cumsum(size[x]) for size, x in zip(self.sizes, ids, strict=True)]
         frames = [
             pd.DataFrame(
@@ -160,38 +209,35 @@ class Aligner:
         ]
         a, b = linked(*frames)
         n_links = np.bincount(frames[0]["doc"].to_numpy()[a], minlength=len(texts))
-        codes = ids[0][a] * self.b.size + ids[1][b]
-        shared = ends[0][np.isin(ends[0], ends[1], assume_unique=True)]
-        groups = [np.searchsorted(shared, end) for end in ends]
-        stops = np.cumsum(n[0])
-        total = np.concatenate([np.zeros(1, np.int64), ends[0]])[stops]
-        upto = np.searchsorted(shared, total, side="right")
+        codes = ids[0][a] * len(self.b.bytes) + ids[1][b]
+        last = shared(ends)
+        upto = np.concatenate([np.zeros(1, np.int64), np.cumsum(last[0])])[np.cumsum(n[0])]
         return [
             pa.array(n[0]), pa.array(n[1]), pa.array(np.diff(upto, prepend=0)),
             pa.array(n_links.astype(np.int64)),
-            pa.array(self.notation(ids, groups, n), pa.large_string()).cast(pa.string()),
+            pa.array(self.notation(ids, last, n), pa.large_string()).cast(pa.string()),
             pa.ListArray.from_arrays(
-                pa.array(np.concatenate([[0], np.cumsum(n_links)]).astype(np.int32)), pa.array(codes)
+                pa.array(np.concatenate([[0], np.cumsum(n_links)]).astype(np.int32)),
+                pa.array(codes.astype(np.int32)),
             ),
         ]
 
     def notation(
-        self, ids: list[np.ndarray], groups: list[np.ndarray], n: list[np.ndarray]
+        self, ids: list[np.ndarray], last: list[np.ndarray], n: list[np.ndarray]
     ) -> list[str]:
-        """Per text ``a1,a2|b1;a3|b2,b3``: ids of both sides, group by group."""
-        places = [
-            np.arange(len(groups[0])) + np.searchsorted(groups[1], groups[0], side="left"),
-            np.arange(len(groups[1])) + np.searchsorted(groups[0], groups[1], side="right"),
-        ]
+        """Per text ``a1,a2|b1;a3|b2,b3``: ids of both sides, group by group.
+
+        ``last`` tells of each token whether it ends a group.
+        """
+        group = [np.cumsum(x) - x for x in last]
+        ended = [np.flatnonzero(x) + 1 for x in last]
+        before = np.concatenate([np.zeros(1, np.int64), ended[1]])[group[0]]
+        places = [before + np.arange(len(before)), ended[0][group[1]] + np.arange(len(group[1]))]
+        marks = [last[0] * 1, last[1] * 2]
+        marks[1][np.cumsum(n[1])[n[1] > 0] - 1] = 3
         every = np.empty(len(ids[0]) + len(ids[1]), np.int64)
-        last = [np.ones(len(g), bool) for g in groups]
-        for k, g in enumerate(groups):
-            last[k][:-1] = g[1:] != g[:-1]
-        mark = [np.where(last[0], 1, 0), np.where(last[1], 2, 0)]
-        stops = np.cumsum(n[1])[n[1] > 0] - 1
-        mark[1][stops] = 3
         for k in (0, 1):
-            every[places[k]] = mark[k] * self.width + ids[k]
+            every[places[k]] = marks[k] * self.width + ids[k]
         spelled = list(map(self.spelled.__getitem__, every.tolist()))
         out, start = [], 0
         for stop in np.cumsum(n[0] + n[1]).tolist():
@@ -200,6 +246,14 @@ class Aligner:
         return out
 
 
+def shared(ends: list[np.ndarray]) -> list[np.ndarray]:
+    """Per side, of each token's end whether a token of the other side ends there too."""
+    at = [np.zeros(int(end[-1]) + 1 if len(end) else 1, bool) for end in ends]
+    for mark, end in zip(at, ends, strict=True):
+        mark[end] = True
+    return [at[1][ends[0]], at[0][ends[1]]]
+
+
 def linked(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Places of A and B tokens that overlap, in order of the text.
 
@@ -232,7 +286,8 @@ def alignments(
 
     ``vocabulary`` and ``model`` are the paths of a byte-level BPE file and a sentencepiece model,
     read by the driver. ``groups`` lists the ids of both sides, ``a1,a2|b1;a3|b2,b3``; ``links`` has a
-    number for each pair of tokens that overlap (see ``link_ids``), in order of the text.
+    number for each pair of tokens that overlap, in order of the text. The sizes of both vocabularies
+    may multiply to 2 ** 31 at most.
 
     Special tokens are plain text. Null and empty texts, and texts that one of the sides does not
     give back byte for byte, have no tokens: zeros, an empty text and no links. Rows and ids may
@@ -246,7 +301,7 @@ def alignments(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = ALIGNERS.get(key) or ALIGNERS.setdefault(key, Aligner(*shared.value))
         for batch in slices(batches, 1, CHUNK):
-            columns = aligner.align(strings(batch.column(1)).to_pylist())
+            columns = aligner.align(strings(batch.column(1)))
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=names)
 
     own = docs.select(
@@ -269,8 +324,8 @@ def link_counts(aligned: DataFrame, size_b: int) -> DataFrame:
     held = aligned.select(F.explode(F.array_distinct("links")).alias("link"))
     counted = held.groupBy("link").agg(F.count(F.lit(1)).alias("n_docs")).select(
         "link",
-        F.floor(F.col("link") / size_b).alias("a_id"),
-        (F.col("link") % size_b).alias("b_id"),
+        F.floor(F.col("link") / size_b).cast("int").alias("a_id"),
+        (F.col("link") % size_b).cast("int").alias("b_id"),
         "n_docs",
     )
     counted = written(counted, "links")
@@ -305,22 +360,32 @@ def _adding(table) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, n_docs, best = table.value
-        for batch in batches:
+        values = {"n_best": best, "count_sum": n_docs}
+        for batch in _portions(batches):
             lists = batch.column("links")
             size = np.diff(lists.offsets.to_numpy())
-            codes = lists.flatten().to_numpy()
-            distinct, place = np.unique(codes, return_inverse=True)
+            distinct, place = np.unique(lists.flatten().to_numpy(), return_inverse=True)
             at = np.minimum(np.searchsorted(keys, distinct), max(len(keys) - 1, 0))
             hit = keys[at] == distinct if len(keys) else np.zeros(len(distinct), bool)
-            values = {"n_best": best, "count_sum": n_docs}
-            row = np.repeat(np.arange(len(size)), size)
+            stops = np.cumsum(size)
             for name, column in values.items():
                 mine = np.zeros(len(distinct), np.int64)
                 mine[hit] = column[at[hit]]
                 running = np.concatenate([np.zeros(1, np.int64), np.cumsum(mine[place])])
-                stops = np.cumsum(size)
                 total = batch.column(name).to_numpy() + running[stops] - running[stops - size]
                 batch = batch.set_column(batch.schema.get_field_index(name), name, pa.array(total))
             yield batch
 
     return run
+
+
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that their rows have at most ``LOOKED_UP`` links, or are one row."""
+    for batch in batches:
+        start, total = 0, 0
+        for i, n in enumerate(batch.column("n_links").to_pylist()):
+            if total + n > LOOKED_UP and i > start:
+                yield batch.slice(start, i - start)
+                start, total = i, 0
+            total += n
+        yield batch.slice(start)

@@ -14,19 +14,21 @@ full length fill shorter ones, each a power of two long, so no sequence needs pa
 from __future__ import annotations
 
 import json
+import re
 import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from skytune.llm.bpe import split
 from skytune.llm.pretokens import WORD_END, byte_symbols
 from skytune.llm.ragged import slices, strings
+from skytune.llm.stretches import cut, spread
 
 #: Bytes of text that are encoded at once.
 CHUNK = 1 << 20
@@ -35,6 +37,9 @@ KEPT = 400_000
 #: A sequence id is the number of the task times this, plus a count inside the task.
 PER_TASK = 1 << 33
 
+#: Other characters have composed forms and classes that the library settles.
+BEYOND_LATIN = re.compile(r"[^\x00-\xff]").search
+
 SCHEMA = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, "
     "offset long, cost double"
@@ -44,8 +49,8 @@ SCHEMA = (
 class LibraryIds:
     """Ids that the public library gives, with a memory of stretches it has met.
 
-    Pre-tokens of a word-end vocabulary never cross white space, so the library sees each distinct
-    stretch between white space once. Words of ASCII letters go straight to its merges.
+    Pre-tokens of a word-end vocabulary never cross white space, so each distinct stretch between
+    spaces is encoded once. Words of Latin-1 characters go straight to its merges.
     """
 
     def __init__(self, vocabulary: str) -> None:
@@ -62,30 +67,29 @@ class LibraryIds:
         return packed(self.library.encode(text, add_special_tokens=False).ids)
 
     def learn(self, stretch: str) -> bytes:
-        if not stretch.isascii():
+        if BEYOND_LATIN(stretch):
             return self.whole(stretch)
         found = b""
         for word in WORD_END.findall(stretch.lower()):
             ids = self.known.get(word)
             if ids is None:
-                spelled = word.translate(self.symbols)
+                spelled = word.encode().decode("latin-1").translate(self.symbols)
                 ids = self.known[word] = packed([t.id for t in self.merges(spelled)])
             found += ids
         return found
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit numbers."""
+    def encode(self, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts behind each other, and how many each text has."""
         for memory in (self.known, self.stretches):
             if len(memory) > KEPT:
                 memory.clear()
-        cut = [None if any(name in t for name in self.added) else split(t) for t in texts]
-        for stretch in set().union(*filter(None, cut)) - self.stretches.keys():
-            self.stretches[stretch] = self.learn(stretch)
-        known = self.stretches.__getitem__
-        return [
-            self.whole(t) if c is None else b"".join(map(known, c))
-            for t, c in zip(texts, cut, strict=True)
-        ]
+        whole = np.zeros(len(texts), bool)
+        for name in self.added:
+            whole |= pc.match_substring(texts, name).to_numpy(zero_copy_only=False)
+        distinct, uncut, places, begins = cut(texts, whole)
+        known = self.stretches
+        known.update((s, self.learn(s)) for s in distinct if s not in known)
+        return spread([*map(known.__getitem__, distinct), *map(self.whole, uncut)], places, begins)
 
 
 def packed(ids: list[int]) -> bytes:
@@ -185,11 +189,13 @@ def pack(
         size = 0
         for batch in slices(batches, 1, CHUNK):
             listed = batch.column(0).to_pylist()
-            coded = encoder.encode(strings(batch.column(1)).to_pylist())
-            for doc_id, found in zip(listed, coded, strict=True):
+            flat, lengths = encoder.encode(strings(batch.column(1)))
+            raw, at = flat.tobytes(), 0
+            for doc_id, n in zip(listed, (4 * lengths).tolist(), strict=True):
                 doc_ids.append(doc_id)
-                ids.append(found + end)
-                size += len(found) // 4 + 1
+                ids.append(raw[at : at + n] + end)
+                at += n
+                size += n // 4 + 1
                 if size >= group_tokens:
                     made, used = pieces(doc_ids, ids, fresh)
                     yield made
