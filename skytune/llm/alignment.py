@@ -24,6 +24,7 @@ from pathlib import Path
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
@@ -38,7 +39,7 @@ from skytune.session import written
 #: Bytes of text that are aligned at once, and links that are looked up at once.
 CHUNK, LOOKED_UP = 1 << 20, 1 << 18
 #: Ids of so many stretches and of so many words are kept by a worker before it forgets them.
-KEPT, KEPT_WORDS = 500_000, 200_000
+KEPT, KEPT_WORDS = 300_000, 150_000
 #: Links whose counts a worker holds at once (13 bytes each).
 PORTION = 2_000_000
 
@@ -275,6 +276,20 @@ def linked(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
 ALIGNERS: dict[tuple[str, str], Aligner] = {}
 
 
+def aligner_for(key: tuple[str, str], shared: Broadcast) -> Aligner:
+    """This worker's aligner of the two files, whose contents were sent to it.
+
+    A function of the module, as functions sent to workers bring their own copies of variables.
+    """
+    if key not in ALIGNERS:
+        ALIGNERS[key] = Aligner(*shared.value)
+    return ALIGNERS[key]
+
+
+def forget_aligners() -> None:
+    ALIGNERS.clear()
+
+
 def alignments(
     docs: DataFrame,
     vocabulary: str,
@@ -299,7 +314,7 @@ def alignments(
     key = vocabulary, model
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = ALIGNERS.get(key) or ALIGNERS.setdefault(key, Aligner(*shared.value))
+        aligner = aligner_for(key, shared)
         for batch in slices(batches, 1, CHUNK):
             columns = aligner.align(strings(batch.column(1)))
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=names)
@@ -359,6 +374,7 @@ def _adding(table) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBat
     """A round: adds what the links of each row find in the broadcast table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_aligners()
         keys, n_docs, best = table.value
         values = {"n_best": best, "count_sum": n_docs}
         for batch in _portions(batches):

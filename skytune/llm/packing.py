@@ -20,15 +20,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from skytune.llm.bpe import split
 from skytune.llm.pretokens import WORD_END, byte_symbols
 from skytune.llm.ragged import slices, strings
-from skytune.llm.stretches import cut, spread
 
 #: Bytes of text that are encoded at once.
 CHUNK = 1 << 20
@@ -49,8 +48,8 @@ SCHEMA = (
 class LibraryIds:
     """Ids that the public library gives, with a memory of stretches it has met.
 
-    Pre-tokens of a word-end vocabulary never cross white space, so each distinct stretch between
-    spaces is encoded once. Words of Latin-1 characters go straight to its merges.
+    Pre-tokens of a word-end vocabulary never cross white space, so the library sees each distinct
+    stretch between white space once. Words of Latin-1 characters go straight to its merges.
     """
 
     def __init__(self, vocabulary: str) -> None:
@@ -70,7 +69,8 @@ class LibraryIds:
         if BEYOND_LATIN(stretch):
             return self.whole(stretch)
         found = b""
-        for word in WORD_END.findall(stretch.lower()):
+        lower = stretch.lower()
+        for word in [lower] if lower.isalpha() else WORD_END.findall(lower):
             ids = self.known.get(word)
             if ids is None:
                 spelled = word.encode().decode("latin-1").translate(self.symbols)
@@ -78,18 +78,21 @@ class LibraryIds:
             found += ids
         return found
 
-    def encode(self, texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts behind each other, and how many each text has."""
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit numbers."""
         for memory in (self.known, self.stretches):
             if len(memory) > KEPT:
                 memory.clear()
-        whole = np.zeros(len(texts), bool)
-        for name in self.added:
-            whole |= pc.match_substring(texts, name).to_numpy(zero_copy_only=False)
-        distinct, uncut, places, begins = cut(texts, whole)
+        cut = [
+            None if any(name in t for name in self.added) else split(t.lower() if t.isascii() else t)
+            for t in texts
+        ]
         known = self.stretches
-        known.update((s, self.learn(s)) for s in distinct if s not in known)
-        return spread([*map(known.__getitem__, distinct), *map(self.whole, uncut)], places, begins)
+        known.update((s, self.learn(s)) for s in set().union(*filter(None, cut)) - known.keys())
+        return [
+            self.whole(t) if c is None else b"".join(map(known.__getitem__, c))
+            for t, c in zip(texts, cut, strict=True)
+        ]
 
 
 def packed(ids: list[int]) -> bytes:
@@ -100,6 +103,16 @@ def packed(ids: list[int]) -> bytes:
 ENCODERS: dict[str, LibraryIds] = {}
 
 
+def encoder_for(path: str, shared: Broadcast) -> LibraryIds:
+    """This worker's encoder of the vocabulary file, whose content was sent to it.
+
+    A function of the module, as functions sent to workers bring their own copies of variables.
+    """
+    if path not in ENCODERS:
+        ENCODERS[path] = LibraryIds(shared.value)
+    return ENCODERS[path]
+
+
 def room_for(tokens: int, capacity: int) -> list[int]:
     """Lengths of sequences that hold ``tokens`` exactly: full ones, then falling powers of two."""
     rest = tokens % capacity
@@ -180,22 +193,18 @@ def pack(
         return pa.RecordBatch.from_arrays(columns, names=names), int(sequence.max()) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ENCODERS.get(vocabulary)
-        if encoder is None:
-            encoder = ENCODERS[vocabulary] = LibraryIds(shared.value)
+        encoder = encoder_for(vocabulary, shared)
         fresh = TaskContext.get().partitionId() * PER_TASK
         doc_ids: list[int | None] = []
         ids: list[bytes] = []
         size = 0
         for batch in slices(batches, 1, CHUNK):
             listed = batch.column(0).to_pylist()
-            flat, lengths = encoder.encode(strings(batch.column(1)))
-            raw, at = flat.tobytes(), 0
-            for doc_id, n in zip(listed, (4 * lengths).tolist(), strict=True):
+            coded = encoder.encode(strings(batch.column(1)).to_pylist())
+            for doc_id, found in zip(listed, coded, strict=True):
                 doc_ids.append(doc_id)
-                ids.append(raw[at : at + n] + end)
-                at += n
-                size += n // 4 + 1
+                ids.append(found + end)
+                size += len(found) // 4 + 1
                 if size >= group_tokens:
                     made, used = pieces(doc_ids, ids, fresh)
                     yield made
