@@ -340,6 +340,25 @@ landed AS (
   FROM plays WHERE event_id % 10 = 0)
 """
 
+# Landed tracks with the pull that holds them; the first pull of a track stores it.
+_PULLED = f"""
+{PLAYS},
+tracks_of AS (
+  SELECT event_id, track_name, streamable, played_at, played_at_uts, artist_name, album_name
+  FROM plays WHERE track_name IS NOT NULL
+  UNION ALL
+  SELECT event_id, track_name, streamable, NULL, NULL, artist_name, album_name
+  FROM plays WHERE event_id % 10 = 0),
+pulled AS (
+  SELECT DISTINCT t.* EXCLUDE (event_id), p.pull_day
+  FROM tracks_of t JOIN (VALUES ('2024-02-01', 1), ('2024-02-02', 2), ('2024-02-03', 3))
+    AS p(pull_day, number)
+  ON CASE number WHEN 1 THEN event_id % 3 <> 2 WHEN 2 THEN event_id % 3 <> 0
+    ELSE event_id % 5 = 0 END),
+stored AS (
+  SELECT * EXCLUDE (pull_day), min(pull_day) AS pull_day FROM pulled GROUP BY ALL)
+"""
+
 _AVERAGED = ("danceability", "energy", "valence", "tempo", "loudness", "speechiness",
              "acousticness", "instrumentalness", "liveness")
 
@@ -495,6 +514,24 @@ day_plays AS (
     AND epoch(TIMESTAMP '2024-01-10 22:59:59')::BIGINT)
 SELECT music_date, music_hour, has_weather_data, count(*) AS plays,
   sum(song_mood)::BIGINT AS song_mood_sum FROM day_plays GROUP BY 1, 2, 3""",
+    "incremental_plays": f"""WITH {_PULLED}
+SELECT * EXCLUDE (pull_day), timezone('Europe/Berlin', timezone('UTC',
+  make_timestamp(played_at_uts::BIGINT * 1000000)))::DATE AS local_date FROM stored""",
+    "load_manifest": f"""WITH {_PULLED},
+landed AS (SELECT pull_day, count(*) AS staged FROM pulled GROUP BY 1),
+new AS (SELECT pull_day, count(*) AS fresh, count(*) FILTER (played_at_uts IS NULL) AS undated
+  FROM stored GROUP BY 1)
+SELECT pull_day, staged, coalesce(fresh, 0) AS fresh, staged - coalesce(fresh, 0) AS known,
+  coalesce(undated, 0) AS undated
+FROM landed LEFT JOIN new USING (pull_day)""",
+    "incremental_mart": f"""WITH {_mart()},
+once AS (
+  SELECT DISTINCT m.Content_Name, m.Artist_Name, m.album_name, m.streamable,
+    p.played_at, p.played_at_uts, m.music_date, m.music_hour, m.has_weather_data, m.song_mood
+  FROM mart m JOIN plays p ON p.event_id = m.event_id
+    AND p.played_at = strftime(m.Event_Start_Timestamp, '%d %b %Y, %H:%M'))
+SELECT music_date, music_hour, has_weather_data, count(*) AS plays,
+  sum(song_mood)::BIGINT AS song_mood_sum FROM once GROUP BY 1, 2, 3""",
     "listening_hourly": f"""WITH {_matched()},
 hourly AS (
   SELECT user_id, play_date, play_hour, count(*) AS plays,

@@ -25,7 +25,7 @@ from skytune.functions.times import (
 from skytune.operators import picks
 from skytune.operators.reshape import positional_to_rows, to_records
 from skytune.operators.splitting import md5_bucket
-from skytune.plans import daily, listening, training
+from skytune.plans import daily, incremental, listening, training
 from skytune.plans.mart import combined_mood
 from skytune.plans.music import best_metadata, clean_plays, match_plays, music_mood, score_music
 from skytune.plans.staging import flatten_tracks, stage_plays, stage_weather_arrays
@@ -517,6 +517,45 @@ def _daily_result(mart: DataFrame) -> DataFrame:
     )
 
 
+# Three pulls that overlap: which events each of them holds.
+PULLS = {
+    "2024-02-01": lambda e: e % 3 != 2,
+    "2024-02-02": lambda e: e % 3 != 0,
+    "2024-02-03": lambda e: e % 5 == 0,
+}
+
+
+def _loaded_pulls(f: Frames) -> incremental.Store:
+    """Three overlapping pulls, each landed and loaded before the next."""
+    root = shared_folder(f.spark, "pulls")
+    names = ("landing", "plays", "filters", "manifest", "mart")
+    store = incremental.Store(*(f"{root}/{n}" for n in names))
+    pulls = adapters.music_pulls(f.plays, ["event_id"])
+    for day, holds in PULLS.items():
+        landed = pulls.where(holds(F.col("event_id"))).drop("event_id")
+        incremental.land_pull(landed, store, day)
+        incremental.load_pending(f.spark, store, f.tracks, f.readings, ZONE)
+    return store
+
+
+@query
+def incremental_plays(f: Frames) -> DataFrame:
+    """Plays stored by loads of overlapping pulls, by local day."""
+    return incremental.stored(f.spark, _loaded_pulls(f).plays, incremental.STORED)
+
+
+@query
+def load_manifest(f: Frames) -> DataFrame:
+    """What each load staged, stored as new, knew already and could not date."""
+    return incremental.stored(f.spark, _loaded_pulls(f).manifest, incremental.MANIFEST)
+
+
+@query
+def incremental_mart(f: Frames) -> DataFrame:
+    """The mart after loads that each rebuilt only the days they touched."""
+    return _daily_result(scans.scan_parquet(f.spark, _loaded_pulls(f).mart))
+
+
 # --- listening metrics ---------------------------------------------------------------
 
 
