@@ -115,7 +115,7 @@ def load_pull(spark: SparkSession, pull_day: str, store: Store, zone: str) -> di
     fresh_rows, undated = counts.first()
     if fresh_rows:
         for df, path in (
-            (filter_of(fresh, DAY, schemas.PLAYS.names), store.filters),
+            (filter_of(fresh, DAY, schemas.PLAYS.names).hint("rebalance", DAY), store.filters),
             (fresh.hint("rebalance", DAY), store.plays),
         ):
             df.write.mode("append").partitionBy(DAY).parquet(path)
