@@ -630,3 +630,6 @@ SELECT floor(actual)::DOUBLE AS actual_bin, count(*) AS n,
   round(avg(prediction), 6) AS mean_prediction, round(avg(prediction - actual), 6) AS mean_error
 FROM predicted GROUP BY 1""",
 }
+
+# Metadata by way of files is the same metadata.
+ORACLES["music_from_file"] = ORACLES["music_model"]

@@ -645,6 +645,20 @@ def metadata_csv(f: Frames) -> DataFrame:
     return scans.scan_metadata_csv(f.spark, path)
 
 
+@query
+def music_from_file(f: Frames) -> DataFrame:
+    """The model on metadata that two files of different column order brought into its table."""
+    root = shared_folder(f.spark, "metadata-load")
+    odd = F.pmod(F.xxhash64("track_id"), F.lit(2)) == 1
+    columns = f.tracks.columns
+    sinks.write_csv(f.tracks.where(odd), f"{root}/files/one")
+    sinks.write_csv(f.tracks.where(~odd).select(*reversed(columns)), f"{root}/files/two")
+    name = "stg_metadata_" + root.rsplit("-", 1)[1]
+    landed = scans.scan_metadata_csv(f.spark, f"{root}/files/*")
+    sinks.write_table(landed, name, f"{root}/table")
+    return music_mood(f.plays, scans.scan_table(f.spark, name), ["event_id"])
+
+
 @query
 def split_md5(f: Frames) -> DataFrame:
     bucket = md5_bucket(["event_id"])
