@@ -6,8 +6,8 @@ or subtracting its vector. The vector has two parts:
 
 * ``EXACT`` lanes of 64 bits, hashed from the whole paragraph, summed modulo 2**64. Two documents
   agree in them only if they hold the same paragraphs equally often (but for hash collisions).
-* ``NEAR`` lanes of 16 bits. Every run of eight bytes of the paragraph adds plus or minus one to
-  one lane that its hash names, modulo 2**16. Differences of such sums estimate how far two
+* ``NEAR`` lanes of 32 bits. Every run of eight bytes of the paragraph adds plus or minus one to
+  one lane that its hash names, modulo 2**32, which no text that fits into a row wraps. Differences of such sums estimate how far two
   multisets are apart, so this part tells likeness.
 """
 
@@ -28,7 +28,7 @@ from pyspark.sql.functions import pandas_udf
 from skytune.llm.ragged import M1, eight, flat, mix, slices, span_hashes, strings, times
 
 EXACT, NEAR, GRAM = 4, 256, 8
-BYTES = EXACT * 8 + NEAR * 2
+BYTES = EXACT * 8 + NEAR * 4
 CHUNK = 1 << 20
 
 
@@ -48,7 +48,7 @@ def paragraph_bounds(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def vectors(texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
-    """Exact lanes (uint64) and near lanes (uint16) of each text."""
+    """Exact lanes (uint64) and near lanes (uint32) of each text."""
     n = len(texts)
     data, at = flat(texts)
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
@@ -73,7 +73,7 @@ def vectors(texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
     lane = (g & np.uint64(NEAR - 1)).astype(np.int64)
     sign = 1.0 - 2.0 * ((g >> np.uint64(32)) & np.uint64(1)).astype(np.float64)
     near = np.bincount(owner * NEAR + lane, sign, minlength=n * NEAR).astype(np.int64)
-    return exact, near.astype(np.uint16).reshape(n, NEAR)
+    return exact, near.astype(np.uint32).reshape(n, NEAR)
 
 
 def add(one: bytes, other: bytes, sign: int = 1) -> bytes:
@@ -84,7 +84,7 @@ def add(one: bytes, other: bytes, sign: int = 1) -> bytes:
 
 
 def parts(value: bytes) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(value[: EXACT * 8], "<u8"), np.frombuffer(value[EXACT * 8 :], "<u2")
+    return np.frombuffer(value[: EXACT * 8], "<u8"), np.frombuffer(value[EXACT * 8 :], "<u4")
 
 
 def likeness(one: np.ndarray, other: np.ndarray) -> np.ndarray:
@@ -94,8 +94,8 @@ def likeness(one: np.ndarray, other: np.ndarray) -> np.ndarray:
     and d the squared lengths of both and of their difference, the value is
     (a + b - d) / (a + b + d), which for sets without repeats is the Jaccard likeness.
     """
-    a, b = one.astype(np.int16).astype(np.float64), other.astype(np.int16).astype(np.float64)
-    d = (one - other).astype(np.int16).astype(np.float64)
+    a, b = one.astype(np.int32).astype(np.float64), other.astype(np.int32).astype(np.float64)
+    d = (one - other).astype(np.int32).astype(np.float64)
     aa, bb, dd = ((x * x).sum(axis=1) for x in (a, b, d))
     total = aa + bb + dd
     value = np.divide(aa + bb - dd, total, out=np.ones_like(total), where=total > 0)
@@ -106,7 +106,7 @@ def printed(exact: np.ndarray, near: np.ndarray) -> list[str]:
     """The fingerprints as text."""
     raw = np.concatenate(
         [np.ascontiguousarray(exact.astype("<u8")).view(np.uint8).reshape(len(exact), -1),
-         np.ascontiguousarray(near.astype("<u2")).view(np.uint8).reshape(len(near), -1)], axis=1
+         np.ascontiguousarray(near.astype("<u4")).view(np.uint8).reshape(len(near), -1)], axis=1
     )
     return [base64.b85encode(row.tobytes()).decode() for row in raw]
 

@@ -195,6 +195,13 @@ def test_longest_matches_equal_a_search():
             at += len(s) + 1
 
 
+def test_likeness_of_long_runs():
+    made = ["a" * 65_543, "", "a" * 40_000 + "b" * 25_543, "a" * 65_543]
+    near = fingerprint.vectors(pa.array(made, pa.large_string()))[1]
+    empty, edited, same = fingerprint.likeness(near[[0, 0, 0]], near[1:])
+    assert empty == 0 and 0.6 < edited < 0.7 and same == 1
+
+
 def test_fingerprints_add_up():
     def of(text: str) -> bytes:
         exact, near = fingerprint.vectors(array(text))
