@@ -1,22 +1,23 @@
 """Toxicity by the nearest labelled examples, by exact cosine of TF-IDF vectors.
 
-Terms are lower-case words of letters and their first four to six bytes. Of these, the vocabulary
-takes the ones that labelled toxic texts hold more often than chance allows (by the likelihood
-ratio). Examples become entries of a block-max inverted index: postings by term, cut into blocks
-of entries, with the largest weight of each term and block. A query visits blocks by descending
-bound and stops when no block can hold a neighbour. Neighbours vote with the fourth power of
-their cosine; the share of toxic ones among examples without any term is the prior.
-
-``EXAMPLES`` bounds the labelled rows that are learned from, ``TERMS`` the vocabulary. Both, and
-so the index, are of the same size however large the corpus is. Every document is scored whole.
+Terms are all lower-case words of letters. A term weighs its logarithmic count, times its inverse
+document frequency over all documents, times one plus its likelihood ratio if labelled toxic texts
+hold it more often than others. Examples become entries of a block-max inverted index: postings by
+term, with the largest weight of each term and block of entries. Terms of many entries are a dense
+matrix, multiplied for some texts at once; with that part known, a text visits its best block, then
+all blocks whose bound reaches its k-th neighbour so far. Neighbours vote with the fourth power of
+their cosine.
+
+``EXAMPLES`` and ``EXAMPLE_BYTES`` bound the labelled rows that are learned from, and so the index,
+however large the corpus is. Documents are counted in whole, and every one is scored whole.
 """
 
 from __future__ import annotations
 
-import math
-from collections import Counter
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -25,26 +26,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skytune.llm.ragged import (
-    M3,
-    distinct,
-    flat,
-    mix,
-    slices,
-    span_hashes,
-    strings,
-    times,
-    word_bounds,
-)
+from skytune.llm.ragged import flat, slices, span_hashes, strings, word_bounds
 from skytune.session import release, written
 
-EXAMPLES, TERMS, NEIGHBOURS = 20_000, 1024, 25
-PREFIXES = (4, 5, 6)
-LEAST_TEXTS, LEAST_RATIO = 3, 15.0
-BLOCK = 64
+EXAMPLES, EXAMPLE_BYTES, NEIGHBOURS = 20_000, 64 << 20, 25
+#: A vote for the prior weighs as much as a neighbour of cosine 0.38.
+PRIOR_VOTE = 0.02
+BLOCK = 512
+#: At most so many terms, each in one of 32 entries or more, are kept dense.
+HEADS, HEAD_SHARE = 1024, 32
+#: Texts multiplied with the dense part at once.
+ROWS = 64
+#: Cosines come from single precision first; so far below the k-th, entries are looked at again.
+SLACK = 1e-5
 CHUNK = 1 << 20
-#: Scores of so many different vectors are kept by a worker.
-KEPT = 50_000
+#: Scores of so many different texts are kept by a task.
+KEPT = 20_000
 
 NO_LETTER = np.ones(256, bool)
 NO_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -56,210 +53,248 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(rest == 2, F.lit(False))
 
 
-def terms(texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and text number of every word and of its beginnings."""
+def term_counts(texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text number, hash and count of the different words of every text, ordered by both."""
     data, at = flat(strings(pc.utf8_lower(texts)))
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     starts, ends = word_bounds(padded, at, NO_LETTER)
     text = np.searchsorted(at, starts, "right") - 1
-    found, owner = [span_hashes(padded, starts, ends)], [text]
-    for n in PREFIXES:
-        long = ends - starts > n
-        head = starts[long]
-        found.append(mix(span_hashes(padded, head, head + n) ^ times(n, M3)))
-        owner.append(text[long])
-    return np.concatenate(found), np.concatenate(owner)
+    h = span_hashes(padded, starts, ends)
+    order = np.lexsort((h, text))
+    h, text = h[order], text[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
+    first = np.flatnonzero(new)
+    return text[first], h[first], np.diff(np.append(first, len(h)))
 
 
-def term_counts(examples: DataFrame) -> DataFrame:
-    """(term, n, toxic): texts that hold each term, and how many of them are toxic."""
+def places(h: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which hashes the sorted vocabulary holds, and their places there."""
+    if not len(vocabulary):
+        return np.zeros(len(h), bool), np.zeros(0, np.int64)
+    place = np.minimum(np.searchsorted(vocabulary, h), len(vocabulary) - 1)
+    known = vocabulary[place] == h
+    return known, place[known]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 0, CHUNK):
-            h, text = distinct(*terms(strings(batch.column(0))))
-            toxic = batch.column(1).to_numpy(zero_copy_only=False)
-            term, place = np.unique(h, return_inverse=True)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(term.view(np.int64)),
-                    pa.array(np.bincount(place, minlength=len(term))),
-                    pa.array(np.bincount(place, toxic[text], len(term)).astype(np.int64)),
-                ],
-                names=["term", "n", "toxic"],
-            )
 
-    made = examples.select("text", "toxic").mapInArrow(run, "term long, n long, toxic long")
-    return made.groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
+def ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """All numbers from each start up to before its end, behind each other."""
+    size = ends - starts
+    return np.repeat(ends - np.cumsum(size), size) + np.arange(size.sum())
 
 
-def telling_terms(examples: DataFrame, texts: int, toxic: int, most: int) -> np.ndarray:
-    """The vocabulary: at most ``most`` terms, those that tell most of the label, sorted."""
-    total, bad = F.lit(float(texts)), F.lit(float(toxic))
+def likelihood_ratio(n: np.ndarray, bad: np.ndarray, texts: int, toxic: int) -> np.ndarray:
+    """Of terms in ``n`` texts, ``bad`` of them toxic: the ratio where that is above chance."""
+    if not 0 < toxic < texts:
+        return np.zeros(len(n))
 
-    def part(seen: Column, expected: Column) -> Column:
-        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+    def part(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
+        return np.where(seen > 0, seen * np.log(np.maximum(seen, 1) / np.maximum(expected, 1e-300)), 0)
 
-    n, t = F.col("n"), F.col("toxic")
+    share = toxic / texts
     ratio = 2 * (
-        part(t, n * bad / total)
-        + part(n - t, n * (total - bad) / total)
-        + part(bad - t, (total - n) * bad / total)
-        + part(total - n - bad + t, (total - n) * (total - bad) / total)
-    )
-    rows = (
-        term_counts(examples)
-        .where((n >= LEAST_TEXTS) & (t * total > 3 * n * bad))
-        .select("term", ratio.alias("ratio"))
-        .where(F.col("ratio") >= LEAST_RATIO)
-        .orderBy(F.desc("ratio"), "term")
-        .limit(most)
-        .collect()
+        part(bad, n * share)
+        + part(n - bad, n * (1 - share))
+        + part(toxic - bad, (texts - n) * share)
+        + part(texts - n - toxic + bad, (texts - n) * (1 - share))
     )
-    return np.sort(np.array([r["term"] for r in rows], np.int64).view(np.uint64))
-
-
-def known_terms(
-    texts: pa.LargeStringArray, vocabulary: np.ndarray
-) -> list[tuple[tuple[int, int], ...]]:
-    """Of each text the vocabulary terms it holds, with their counts."""
-    out: list[tuple[tuple[int, int], ...]] = [()] * len(texts)
-    if not len(vocabulary):
-        return out
-    h, text = terms(texts)
-    place = np.minimum(np.searchsorted(vocabulary, h), len(vocabulary) - 1)
-    hit = vocabulary[place] == h
-    key, n = np.unique(text[hit] * len(vocabulary) + place[hit], return_counts=True)
-    text, place = np.divmod(key, len(vocabulary))
-    cuts = np.flatnonzero(np.diff(text)) + 1
-    if len(key):
-        for t, p, c in zip(
-            text[np.concatenate([[0], cuts])].tolist(),
-            np.split(place, cuts), np.split(n, cuts), strict=True,
-        ):
-            out[t] = tuple(zip(p.tolist(), c.tolist(), strict=True))
-    return out
+    return np.where(bad > n * share, np.maximum(ratio, 0), 0)
 
 
 @dataclass
 class Index:
-    """Block-max inverted index over different vectors of examples.
+    """Block-max inverted index over the vectors of examples.
 
-    Of entry i there are ``n[i]`` examples, ``toxic[i]`` of them toxic; ``first[i]`` is the least
-    id. Postings of term t lie between ``at[t, b]`` and ``at[t, b + 1]`` for block b.
+    ``worth`` is the weight of a term besides its count. Entry i is the example ``ids[i]``, toxic
+    or not, with the terms and weights (of length one) between ``at[i]`` and ``at[i + 1]``. What
+    is derived from them is made where it is needed, once in a worker.
     """
 
     vocabulary: np.ndarray
-    idf: np.ndarray
-    entry: np.ndarray
-    weight: np.ndarray
+    worth: np.ndarray
     at: np.ndarray
-    top: np.ndarray
-    n: np.ndarray
+    term: np.ndarray
+    weight: np.ndarray
+    ids: np.ndarray
     toxic: np.ndarray
-    first: np.ndarray
     prior: float
 
-    def vector(self, held: tuple[tuple[int, int], ...]) -> tuple[np.ndarray, np.ndarray]:
-        t = np.array([x for x, _ in held], np.int64)
-        w = np.array([1 + math.log(c) for _, c in held]) * self.idf[t]
-        return t, w / np.sqrt((w * w).sum())
-
-    def nearest(self, held: tuple[tuple[int, int], ...], k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Entries and cosines of the ``k`` nearest examples and all others just as near."""
-        t, q = self.vector(held)
-        bound = q @ self.top[t]
-        entries, cosines = [np.zeros(0, np.int64)], [np.zeros(0)]
-        least, enough = 0.0, False
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or (enough and bound[b] < least - 1e-9):
-                break
-            found = np.zeros(BLOCK)
-            for x, w in zip(t.tolist(), q.tolist(), strict=True):
-                own = slice(self.at[x, b], self.at[x, b + 1])
-                found[self.entry[own] - b * BLOCK] += w * self.weight[own]
-            hit = np.flatnonzero(found > 0)
-            entries.append(hit + b * BLOCK)
-            cosines.append(found[hit])
-            every, cosine = np.concatenate(entries), np.concatenate(cosines)
-            order = np.argsort(-cosine, kind="stable")
-            have = np.cumsum(self.n[every[order]])
-            enough = bool(len(have)) and have[-1] >= k
-            if enough:
-                least = float(cosine[order][np.searchsorted(have, k)])
-        every, cosine = np.concatenate(entries), np.concatenate(cosines)
-        near = cosine >= least - 1e-9
-        return every[near], np.minimum(cosine[near], 1.0)
-
-    def score(self, held: tuple[tuple[int, int], ...], k: int) -> tuple[float, list[dict]]:
-        """Share of toxic votes, and the nearest entries as evidence."""
-        if not held:
-            return self.prior, []
-        entries, cosines = self.nearest(held, k)
-        votes = cosines**4
-        yes = float((votes * self.toxic[entries]).sum()) + self.prior
-        every = float((votes * self.n[entries]).sum()) + 1.0
-        best = np.lexsort((self.first[entries], -cosines))[:3]
-        shown = [
-            {"doc_id": int(self.first[e]), "cosine": float(c),
-             "toxic": float(self.toxic[e] / self.n[e])}
-            for e, c in zip(entries[best], cosines[best], strict=True)
-        ]
-        return yes / every, shown
+    @cached_property
+    def blocks(self) -> int:
+        return -(-len(self.ids) // BLOCK)
+
+    @cached_property
+    def head_of(self) -> np.ndarray:
+        """Of each term its column in the dense part, -1 for others."""
+        df = np.bincount(self.term, minlength=len(self.vocabulary))
+        often = np.argsort(-df, kind="stable")[:HEADS]
+        often = np.sort(often[df[often] * HEAD_SHARE >= max(len(self.ids), HEAD_SHARE + 1)])
+        column = np.full(len(self.vocabulary), -1, np.int32)
+        column[often] = np.arange(len(often))
+        return column
+
+    @cached_property
+    def dense(self) -> np.ndarray:
+        """Frequent terms by entries, which are padded to whole blocks."""
+        out = np.zeros((int(self.head_of.max(initial=-1)) + 1, self.blocks * BLOCK), np.float32)
+        column = self.head_of[self.term]
+        entry = np.repeat(np.arange(len(self.ids)), np.diff(self.at))
+        own = column >= 0
+        out[column[own], entry[own]] = self.weight[own]
+        return out
+
+    @cached_property
+    def postings(self) -> tuple[np.ndarray, ...]:
+        """Of rare terms: where the pairs (term, block) of each term start, block, largest weight
+        and first posting of each pair, and entry and weight of each posting."""
+        rare = np.flatnonzero(self.head_of[self.term] < 0)
+        rare = rare[np.argsort(self.term[rare], kind="stable")]
+        entry = (np.searchsorted(self.at, rare, "right") - 1).astype(np.int32)
+        term, weight = self.term[rare], self.weight[rare]
+        block = entry // BLOCK
+        new = np.ones(len(rare), bool)
+        new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
+        first = np.flatnonzero(new)
+        top = np.maximum.reduceat(weight, first) if len(first) else weight
+        pairs = np.searchsorted(term[first], np.arange(len(self.vocabulary) + 1))
+        return pairs, block[first], top, np.append(first, len(rare)), entry, weight
+
+    def vectors(self, texts: pa.LargeStringArray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Known terms of each text and their weights, of length one together."""
+        text, h, count = term_counts(texts)
+        known, term = places(h, self.vocabulary)
+        text = text[known]
+        weight = (1 + np.log(count[known])) * self.worth[term]
+        size = np.sqrt(np.bincount(text, weight * weight, len(texts)))
+        weight = weight / size[text]
+        cuts = np.searchsorted(text, np.arange(len(texts) + 1)).tolist()
+        return [(term[a:b], weight[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+    def nearest(
+        self, queries: list[tuple[np.ndarray, np.ndarray]], k: int
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Of each vector the entries and cosines of its ``k`` nearest examples, falling, and of
+        all others just as near. Entries that share no term are never near."""
+        whole = np.zeros(len(self.vocabulary))
+        for start in range(0, len(queries), ROWS):
+            part = queries[start : start + ROWS]
+            often = np.zeros((len(part), len(self.dense)), np.float32)
+            for i, (term, weight) in enumerate(part):
+                column = self.head_of[term]
+                often[i, column[column >= 0]] = weight[column >= 0]
+            known = often @ self.dense
+            for i, (term, weight) in enumerate(part):
+                whole[term] = weight
+                yield self._nearest(term, weight, known[i], whole, k)
+                whole[term] = 0
+
+    def _nearest(
+        self, term: np.ndarray, weight: np.ndarray, known: np.ndarray, whole: np.ndarray, k: int
+    ) -> tuple[np.ndarray, np.ndarray]:
+        pair_at, pair_block, pair_top, first, entry, posted = self.postings
+        size = pair_at[term + 1] - pair_at[term]
+        pair = ranges(pair_at[term], pair_at[term + 1])
+        factor = np.repeat(weight, size)
+        bound = known.reshape(self.blocks, BLOCK).max(1, initial=0) + np.bincount(
+            pair_block[pair], factor * pair_top[pair], self.blocks
+        )
+        cosine = np.zeros(len(known))
+        done = np.zeros(self.blocks, bool)
+
+        def visit(these: np.ndarray) -> float:
+            """Add the cosines of these blocks; the k-th largest so far."""
+            own = these[pair_block[pair]]
+            a, b = first[pair[own]], first[pair[own] + 1]
+            at = ranges(a, b)
+            cosine[:] += np.bincount(
+                entry[at], np.repeat(factor[own], b - a) * posted[at], len(cosine)
+            )
+            cosine.reshape(self.blocks, BLOCK)[these] += known.reshape(self.blocks, BLOCK)[these]
+            done[these] = True
+            return float(np.partition(cosine, -k)[-k]) if k <= len(cosine) else 0.0
+
+        if self.blocks:
+            best = np.zeros(self.blocks, bool)
+            best[bound.argmax()] = True
+            least = visit(best)
+            rest = (bound > 0) & (bound >= least - SLACK) & ~done
+            if rest.any():
+                least = visit(rest)
+            near = np.flatnonzero((cosine > 0) & (cosine >= least - SLACK))
+        else:
+            near = np.zeros(0, np.int64)
+        size = self.at[near + 1] - self.at[near]
+        own = ranges(self.at[near], self.at[near + 1])
+        exact = np.bincount(
+            np.repeat(np.arange(len(near)), size), whole[self.term[own]] * self.weight[own], len(near)
+        )
+        order = np.lexsort((near, -exact))
+        near, exact = near[order], exact[order]
+        if len(near) > k:
+            near, exact = near[exact >= exact[k - 1] - 1e-9], exact[exact >= exact[k - 1] - 1e-9]
+        return near, np.minimum(exact, 1.0)
+
+    def score(self, texts: pa.LargeStringArray, k: int) -> Iterator[tuple[float, list[dict]]]:
+        """Of each text its share of toxic votes, and the nearest examples as evidence."""
+        for entries, cosines in self.nearest(self.vectors(texts), k):
+            votes = cosines**4
+            yes = float(votes @ self.toxic[entries]) + PRIOR_VOTE * self.prior
+            best = np.lexsort((self.ids[entries], -cosines))[:3]
+            yield yes / (float(votes.sum()) + PRIOR_VOTE), [
+                {"doc_id": int(self.ids[e]), "cosine": float(c), "toxic": float(self.toxic[e])}
+                for e, c in zip(entries[best], cosines[best], strict=True)
+            ]
 
 
 def build_index(
-    vocabulary: np.ndarray, rows: list[tuple[int, int, tuple[tuple[int, int], ...]]]
+    ids: np.ndarray,
+    toxic: np.ndarray,
+    at: np.ndarray,
+    term: np.ndarray,
+    count: np.ndarray,
+    vocabulary: np.ndarray,
+    documents: int,
+    df: np.ndarray,
 ) -> Index:
-    """The index of examples given as (id, toxic, held terms with counts)."""
-    total = len(rows)
-    df = Counter(t for _, _, held in rows for t, _ in held)
-    size = len(vocabulary)
-    idf = np.array([math.log((1 + total) / (1 + df[t])) + 1 for t in range(size)])
-    plain = [y for _, y, held in rows if not held]
-    prior = (sum(plain) + sum(y for _, y, _ in rows) / max(total, 1)) / (len(plain) + 1)
-    entries: dict[tuple, list] = {}
-    for i, y, held in rows:
-        if held:
-            e = entries.setdefault(held, [0, 0, i])
-            e[0], e[1], e[2] = e[0] + 1, e[1] + y, min(e[2], i)
-    keys = sorted(entries)
-    blocks = -(-len(keys) // BLOCK)
-    n, toxic, first = (np.array([entries[k][j] for k in keys], np.int64) for j in range(3))
-    index = Index(vocabulary, idf, np.zeros(0, np.int64), np.zeros(0), np.zeros((size, 1), int),
-                  np.zeros((size, blocks)), n, toxic, first, float(prior))
-    term, entry, weight = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
-    for i, key in enumerate(keys):
-        t, w = index.vector(key)
-        term.append(t)
-        entry.append(np.full(len(t), i))
-        weight.append(w)
-    term, entry, weight = (np.concatenate(x) for x in (term, entry, weight))
-    order = np.lexsort((entry, term))
-    term, entry, weight = term[order], entry[order], weight[order]
-    slot = term * (blocks + 1) + entry // BLOCK
-    edges = np.arange(size)[:, None] * (blocks + 1) + np.arange(blocks + 1)[None, :]
-    index.entry, index.weight = entry, weight
-    index.at = np.searchsorted(slot, edges)
-    np.maximum.at(index.top, (term, entry // BLOCK), weight)
-    return index
+    """The index of examples whose terms and counts lie between ``at[i]`` and ``at[i + 1]``.
 
+    ``df`` tells how many of all ``documents`` hold each term of the vocabulary.
+    """
+    size = np.diff(at)
+    owner = np.repeat(np.arange(len(ids)), size)
+    n = np.bincount(term, minlength=len(vocabulary))
+    bad = np.bincount(term, toxic[owner], len(vocabulary))
+    idf = np.log((1 + documents) / (1 + df)) + 1
+    worth = idf * (1 + likelihood_ratio(n, bad, len(ids), int(toxic.sum())))
+    plain = size == 0
+    prior = (toxic[plain].sum() + toxic.sum() / max(len(ids), 1)) / (plain.sum() + 1)
+    weight = (1 + np.log(count)) * worth[term]
+    weight = weight / np.sqrt(np.bincount(owner, weight * weight, len(ids)))[owner]
+    # Entries with the same weightiest term lie together, so that whole blocks are unlike a text.
+    lead = np.full(len(ids), len(vocabulary))
+    order = np.lexsort((-weight, owner))
+    lead[~plain] = term[order[at[:-1][~plain]]]
+    kept = np.lexsort((ids, lead))
+    kept = kept[~plain[kept]]
+    own = ranges(at[:-1][kept], at[1:][kept])
+    return Index(
+        vocabulary, worth, np.concatenate([[0], np.cumsum(size[kept])]),
+        term[own].astype(np.int32), weight[own].astype(np.float32),
+        ids[kept], toxic[kept].astype(float), float(prior),
+    )
 
-def learn(
-    docs: DataFrame, labels: DataFrame, train: Column, examples: int = EXAMPLES, most: int = TERMS
-) -> Index:
-    """Index of at most ``examples`` labelled documents for which ``train`` holds.
 
-    They are those of the least hashes of their ids. Equal texts count once, as toxic if any
-    is. Labels without an id, a value or a document are not used.
-    """
-    spark = docs.sparkSession
+def examples_of(
+    docs: DataFrame, labels: DataFrame, train: Column, most: int, most_bytes: int
+) -> DataFrame:
+    """(doc_id, toxic, text) of the labelled texts to learn from, written once."""
     usable = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(
         F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()
     )
     chosen = (
         usable.where(train)
         .orderBy(F.xxhash64("doc_id"), "doc_id", F.desc("toxic"))
-        .limit(examples)
+        .limit(most)
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
@@ -269,40 +304,90 @@ def learn(
         own.groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic")),
         "examples",
     )
-    n, bad = shown.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    vocabulary = np.zeros(0, np.uint64)
-    if 0 < bad < n:
-        vocabulary = telling_terms(shown, n, bad, most)
-    shared = spark.sparkContext.broadcast(vocabulary)
+    place = F.xxhash64("doc_id")
+    sizes = shown.select(place.alias("place"), F.octet_length("text").alias("size")).toArrow()
+    rank, size = (sizes.column(i).to_numpy() for i in range(2))  # at most ``most`` rows
+    rank, size = np.sort(rank), size[np.argsort(rank)]
+    fitting = int(np.searchsorted(np.cumsum(size, dtype=np.int64), most_bytes, "right"))
+    if fitting == len(rank):
+        return shown
+    cut = shown.where(place < F.lit(int(rank[fitting])))
+    cut._written_to = shown._written_to
+    return cut
+
+
+def document_counts(docs: DataFrame, vocabulary: np.ndarray) -> tuple[int, np.ndarray]:
+    """The number of all documents, and of those that hold each term of the vocabulary."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        found, rows = np.zeros(len(known), np.int64), 0
+        for batch in slices(batches, 0, CHUNK):
+            rows += batch.num_rows
+            _, h, _ = term_counts(strings(batch.column(0)))
+            found += np.bincount(places(h, known)[1], minlength=len(known))
+        held = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(held, -1)), pa.array(np.append(found[held], rows))],
+            names=["place", "n"],
+        )
+
+    counts = docs.select("text").mapInArrow(run, "place long, n long")
+    rows = counts.groupBy("place").agg(F.sum("n").alias("n")).toArrow()  # a row for each term
+    place, n = (rows.column(i).to_numpy() for i in range(2))
+    df = np.zeros(len(vocabulary), np.int64)
+    df[place[place >= 0]] = n[place >= 0]
+    return int(n[place < 0].sum()), df
+
+
+def learn(
+    docs: DataFrame,
+    labels: DataFrame,
+    train: Column,
+    examples: int = EXAMPLES,
+    example_bytes: int = EXAMPLE_BYTES,
+) -> Index:
+    """Index of labelled documents for which ``train`` holds, with counts of all documents.
+
+    They are at most ``examples`` rows of at most ``example_bytes`` bytes of text, those of the
+    least hashes of their ids. Equal texts count once, as toxic if any is. Labels without an id,
+    a value or a document are not used.
+    """
+    shown = examples_of(docs, labels, train, examples, example_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 2, CHUNK):
-            held = known_terms(strings(batch.column(2)), shared.value)
+            text, h, count = term_counts(strings(batch.column(2)))
+            at = pa.array(np.searchsorted(text, np.arange(batch.num_rows + 1)), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1),
-                 pa.array([[t for t, _ in h] for h in held], pa.list_(pa.int32())),
-                 pa.array([[c for _, c in h] for h in held], pa.list_(pa.int32()))],
+                 pa.ListArray.from_arrays(at, pa.array(h.view(np.int64))),
+                 pa.ListArray.from_arrays(at, pa.array(count.astype(np.int32)))],
                 names=["doc_id", "toxic", "terms", "counts"],
             )
 
-    vectors = shown.select("doc_id", "toxic", "text").mapInArrow(
-        run, "doc_id long, toxic int, terms array<int>, counts array<int>"
-    )
-    rows = [
-        (r["doc_id"], r["toxic"], tuple(zip(r["terms"], r["counts"], strict=True)))
-        for r in vectors.orderBy("doc_id").collect()  # at most ``examples`` short rows
-    ]
+    rows = shown.select(F.col("doc_id").cast("long"), "toxic", "text").mapInArrow(
+        run, "doc_id long, toxic int, terms array<long>, counts array<int>"
+    ).toArrow()  # words of bounded texts
     release(shown)
-    return build_index(vocabulary, rows)
+    ids, toxic = (rows.column(i).to_numpy() for i in range(2))
+    size = pc.list_value_length(rows.column(2)).to_numpy()
+    terms = pc.list_flatten(rows.column(2)).to_numpy().view(np.uint64)
+    count = pc.list_flatten(rows.column(3)).to_numpy()
+    vocabulary, term = np.unique(terms, return_inverse=True)
+    at = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+    total, df = document_counts(docs, vocabulary) if len(ids) else (0, np.zeros(0, np.int64))
+    return build_index(ids, toxic, at, term, count, vocabulary, total, df)
 
 
 def scores(docs: DataFrame, labels: DataFrame, train: Column, **options: int) -> DataFrame:
     """Per row: (doc_id, score, evidence).
 
     ``labels`` has (doc_id, toxic); ``train`` picks those to learn from. Nothing but the text goes
-    into a score. Texts without vocabulary terms, null and empty ones too, get the prior, as do
-    all texts if there is nothing to learn from (it is zero then). Rows and ids may repeat, ids
-    may be null.
+    into a score. Texts without a word of any example, null and empty ones too, get the prior, as
+    do all texts if there is nothing to learn from (it is zero then). Rows and ids may repeat, ids
+    may be null. Very long texts are scored whole. An empty table gives no row.
     """
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return _scored(own, docs, labels, train, **options).select(
@@ -313,7 +398,10 @@ def scores(docs: DataFrame, labels: DataFrame, train: Column, **options: int) ->
 def drop_toxic(
     docs: DataFrame, labels: DataFrame, train: Column, threshold: float = 0.3, **options: int
 ) -> DataFrame:
-    """``docs`` with the same columns, without rows that score ``threshold`` or more."""
+    """``docs`` with the same columns, without rows that score ``threshold`` or more.
+
+    An empty table stays empty; see ``scores`` for other odd rows.
+    """
     scored = _scored(docs, docs, labels, train, **options).where(F.col("score") < threshold)
     return scored.select(*(F.col(f"kept{i}").alias(c) for i, c in enumerate(docs.columns)))
 
@@ -336,15 +424,16 @@ def _scored(
     place = rows.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[tuple, tuple[float, list[dict]]] = {}
+        seen: dict[bytes, tuple[float, list[dict]]] = {}
         for batch in slices(batches, place, CHUNK):
-            made = []
-            for held in known_terms(strings(batch.column(place)), index.value.vocabulary):
-                if held not in seen:
-                    if len(seen) > KEPT:
-                        seen.clear()
-                    seen[held] = index.value.score(held, neighbours)
-                made.append(seen[held])
+            texts = strings(batch.column(place))
+            keys = [hashlib.blake2b(t.as_buffer() or b"", digest_size=16).digest() for t in texts]
+            if len(seen) > KEPT:
+                seen.clear()
+            fresh = {key: i for i, key in enumerate(keys) if key not in seen}
+            found = index.value.score(texts.take(pa.array(list(fresh.values()), pa.int64())), neighbours)
+            seen.update(zip(fresh, found, strict=True))
+            made = [seen[key] for key in keys]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array([s for s, _ in made], pa.float64()),
                  pa.array([e for _, e in made], kind)],

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -116,30 +117,96 @@ def test_neighbours_and_half_copies(spark):
 # --- toxicity ------------------------------------------------------------------------
 
 
-def test_nearest_equals_all_cosines():
+def plain_index(texts: list[str], toxic: list[int], corpus: list[str]) -> tuple[dict, list[dict]]:
+    """Worth of every term and the unit vectors of the texts, by counting one by one."""
+    found = [Counter(re.findall(r"[a-z]+", t)) for t in texts]
+    everywhere = Counter(w for t in corpus for w in set(re.findall(r"[a-z]+", t)))
+    total, bad = len(texts), sum(toxic)
+    worth = {}
+    for w in {w for f in found for w in f}:
+        cells = [[0, 0], [0, 0]]
+        for f, y in zip(found, toxic, strict=True):
+            cells[w in f][y] += 1
+        ratio = 0.0
+        if cells[1][1] * total > sum(cells[1]) * bad:
+            for has in (0, 1):
+                for y in (0, 1):
+                    expected = sum(cells[has]) * (bad if y else total - bad) / total
+                    if cells[has][y]:
+                        ratio += 2 * cells[has][y] * math.log(cells[has][y] / expected)
+        worth[w] = (math.log((1 + len(corpus)) / (1 + everywhere[w])) + 1) * (1 + ratio)
+    return worth, [plain_vector(t, worth) for t in texts]
+
+
+def plain_vector(text: str, worth: dict) -> dict:
+    own = {w: (1 + math.log(c)) * worth[w]
+           for w, c in Counter(re.findall(r"[a-z]+", text)).items() if w in worth}
+    size = math.sqrt(sum(x * x for x in own.values()))
+    return {w: x / size for w, x in own.items()}
+
+
+@pytest.mark.parametrize("heads", [0, 8, 1024])
+def test_nearest_equals_all_cosines(spark, monkeypatch, heads):
+    monkeypatch.setattr(toxicity, "HEADS", heads)
+    monkeypatch.setattr(toxicity, "BLOCK", 16)
+    monkeypatch.setattr(toxicity, "ROWS", 7)
     rnd = random.Random(3)
-    rows = []
-    for i in range(400):
-        held = tuple(sorted((t, rnd.randint(1, 3)) for t in rnd.sample(range(30), rnd.randint(0, 4))))
-        rows.append((i, int(any(t < 5 for t, _ in held)), held))
-    index = toxicity.build_index(np.arange(30, dtype=np.uint64), rows)
-    dense = np.zeros((len(index.n), 30))
-    for t in range(30):
-        for b in range(index.top.shape[1]):
-            own = slice(index.at[t, b], index.at[t, b + 1])
-            dense[index.entry[own], t] = index.weight[own]
-    for _, _, held in rows[:80]:
-        if not held:
-            continue
-        t, q = index.vector(held)
-        cosine = dense[:, t] @ q
-        order = np.argsort(-cosine)
-        place = np.searchsorted(np.cumsum(index.n[order]), 25)
-        least = cosine[order[min(place, len(order) - 1)]]
-        want = {int(i) for i in np.flatnonzero((cosine >= max(least - 1e-9, 1e-12)))}
-        entries, cosines = index.nearest(held, 25)
-        assert set(entries.tolist()) == want
-        assert np.allclose(cosines, np.minimum(cosine[entries], 1))
+    names = ["".join(rnd.choices("abcdefgh", k=rnd.randint(1, 5))) for _ in range(300)]
+    texts = [" ".join(rnd.choices(names[: rnd.choice([9, 300])], k=rnd.randint(1, 40))) for _ in range(400)]
+    texts = list(dict.fromkeys(texts))
+    toxic = [int(names[5] in t.split() or rnd.random() < 0.1) for t in texts]
+    corpus = texts + [" ".join(rnd.choices(names, k=9)) for _ in range(100)]
+    worth, vectors = plain_index(texts, toxic, corpus)
+    docs = documents(ship_package(spark), list(enumerate(corpus)))
+    marked = spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic long")
+    index = toxicity.learn(docs, marked, F.lit(True))
+    queries = [*corpus[-60:], *texts[:40], "nothing-known 123 xyz", ""]
+    for query, (entries, cosines) in zip(
+        queries, index.nearest(index.vectors(array(*queries)), 25), strict=True
+    ):
+        q = plain_vector(query, worth) if set(re.findall("[a-z]+", query)) & set(worth) else {}
+        every = {i: sum(x * v.get(w, 0.0) for w, x in q.items()) for i, v in enumerate(vectors)}
+        shared = sorted((c for c in every.values() if c > 0), reverse=True)
+        least = shared[24] if len(shared) >= 25 else 0.0
+        got = dict(zip(index.ids[entries].tolist(), cosines.tolist(), strict=True))
+        assert {i for i, c in every.items() if c > least + 1e-6} <= set(got)
+        assert all(every[i] > max(0, least - 1e-6) and abs(every[i] - c) < 1e-6 for i, c in got.items())
+
+
+def test_learned_texts_are_bounded_in_bytes(spark):
+    docs, labels = toxic_rows(300)
+    frame = documents(ship_package(spark), docs)
+    marked = spark.createDataFrame(labels, "doc_id long, toxic long")
+    size = sum(len(t) for _, t in docs)
+    assert len(toxicity.learn(frame, marked, F.lit(True)).ids) == 300
+    some = toxicity.learn(frame, marked, F.lit(True), example_bytes=size // 2)
+    assert 140 <= len(some.ids) <= 150
+    assert len(toxicity.learn(frame, marked, F.lit(True), examples=40).ids) == 40
+    assert len(toxicity.learn(frame, marked, F.lit(True), example_bytes=5).ids) == 0
+
+
+def test_copies_of_toxic_examples_are_their_evidence(spark):
+    """Also of examples whose words tell nothing by themselves."""
+    docs, labels = toxic_rows(200)
+    rnd = random.Random(6)
+    own = " ".join("".join(rnd.choices("klmno", k=6)) for _ in range(30))
+    docs = [*docs, (1000, own), (1001, own.upper()), (1002, f"{own} more"), *((2000 + i, "") for i in range(3))]
+    marked = spark.createDataFrame([*labels, (1000, 1)], "doc_id long, toxic long")
+    rows = toxicity.scores(documents(ship_package(spark), docs), marked, F.col("doc_id") != 7).collect()
+    got = {r.doc_id: r for r in rows}
+    for i in (1000, 1001, 1002):
+        assert got[i].evidence[0].doc_id == 1000 and got[i].evidence[0].cosine > 0.9
+        assert got[i].score > 0.8
+    assert got[2000].evidence == [] and got[2000].score < 0.3
+
+
+def test_toxicity_of_empty_tables(spark):
+    frame = documents(ship_package(spark), toxic_rows(30)[0])
+    marked = spark.createDataFrame(toxic_rows(30)[1], "doc_id long, toxic long")
+    assert toxicity.scores(frame.where("false"), marked, F.lit(True)).count() == 0
+    left = toxicity.drop_toxic(frame.where("false"), marked, F.lit(True))
+    assert left.columns == frame.columns and left.count() == 0
+    assert toxicity.drop_toxic(frame, marked.where("false"), F.lit(True)).count() == 30
 
 
 def toxic_rows(n: int = 400) -> tuple[list, list]:
@@ -165,7 +232,7 @@ def test_held_out_labels_are_told(spark):
         assert 0 <= r.score <= 1
         if zlib.crc32(str(r.doc_id).encode()) % 4 == 2:
             assert (r.score >= 0.3) == bool(truth[r.doc_id])
-            assert bool(r.evidence) == bool(truth[r.doc_id])
+            assert r.evidence[0].toxic == truth[r.doc_id]
 
 
 def test_toxicity_of_odd_rows_and_labels(spark):
