@@ -34,9 +34,9 @@ EXAMPLES, EXAMPLE_BYTES, NEIGHBOURS = 20_000, 64 << 20, 25
 PRIOR_VOTE = 0.02
 BLOCK = 512
 #: At most so many terms, each in one of 32 entries or more, are kept dense.
-HEADS, HEAD_SHARE = 1024, 32
+HEADS, HEAD_SHARE = 512, 32
 #: Texts multiplied with the dense part at once.
-ROWS = 64
+ROWS = 256
 #: Cosines come from single precision first; so far below the k-th, entries are looked at again.
 SLACK = 1e-5
 CHUNK = 1 << 20
@@ -198,31 +198,42 @@ class Index:
         bound = known.reshape(self.blocks, BLOCK).max(1, initial=0) + np.bincount(
             pair_block[pair], factor * pair_top[pair], self.blocks
         )
-        cosine = np.zeros(len(known))
-        done = np.zeros(self.blocks, bool)
-
-        def visit(these: np.ndarray) -> float:
-            """Add the cosines of these blocks; the k-th largest so far."""
-            own = these[pair_block[pair]]
-            a, b = first[pair[own]], first[pair[own] + 1]
+        blocks = known.reshape(self.blocks, BLOCK)
+
+        def visit(these: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Entries of these blocks that share a term, and their cosines."""
+            if these.all():
+                a, b, own = first[pair_at[term]], first[pair_at[term + 1]], weight
+            else:
+                some = these[pair_block[pair]]
+                a, b, own = first[pair[some]], first[pair[some] + 1], factor[some]
             at = ranges(a, b)
-            cosine[:] += np.bincount(
-                entry[at], np.repeat(factor[own], b - a) * posted[at], len(cosine)
-            )
-            cosine.reshape(self.blocks, BLOCK)[these] += known.reshape(self.blocks, BLOCK)[these]
-            done[these] = True
-            return float(np.partition(cosine, -k)[-k]) if k <= len(cosine) else 0.0
-
+            slot = entry[at]
+            if not these.all():
+                slot = (np.cumsum(these) - 1)[slot // BLOCK] * BLOCK + slot % BLOCK
+            cosine = blocks[these].ravel()
+            own = np.repeat(own.astype(np.float32), b - a) * posted[at]
+            cosine = cosine + np.bincount(slot, own, len(cosine))
+            near = np.flatnonzero(cosine >= max(least - SLACK, 1e-12))
+            return np.flatnonzero(these)[near // BLOCK] * BLOCK + near % BLOCK, cosine[near]
+
+        def kth(cosine: np.ndarray) -> float:
+            return float(np.partition(cosine, -k)[-k]) if len(cosine) >= k else 0.0
+
+        near, cosine, least = np.zeros(0, np.int64), np.zeros(0), 0.0
         if self.blocks:
             best = np.zeros(self.blocks, bool)
             best[bound.argmax()] = True
-            least = visit(best)
-            rest = (bound > 0) & (bound >= least - SLACK) & ~done
-            if rest.any():
-                least = visit(rest)
-            near = np.flatnonzero((cosine > 0) & (cosine >= least - SLACK))
-        else:
-            near = np.zeros(0, np.int64)
+            near, cosine = visit(best)
+            least = kth(cosine)
+            rest = (bound > 0) & (bound >= least - SLACK) & ~best
+            if 2 * rest.sum() >= self.blocks:  # all of them at once cost less
+                near, cosine = visit(np.ones(self.blocks, bool))
+            elif rest.any():
+                more, theirs = visit(rest)
+                near, cosine = np.append(near, more), np.append(cosine, theirs)
+            least = kth(cosine)
+        near = near[cosine >= least - SLACK]
         size = self.at[near + 1] - self.at[near]
         own = ranges(self.at[near], self.at[near + 1])
         exact = np.bincount(
@@ -261,25 +272,29 @@ def build_index(
     ``df`` tells how many of all ``documents`` hold each term of the vocabulary.
     """
     size = np.diff(at)
-    owner = np.repeat(np.arange(len(ids)), size)
+    owner = np.repeat(np.arange(len(ids), dtype=np.int32), size)
     n = np.bincount(term, minlength=len(vocabulary))
     bad = np.bincount(term, toxic[owner], len(vocabulary))
     idf = np.log((1 + documents) / (1 + df)) + 1
     worth = idf * (1 + likelihood_ratio(n, bad, len(ids), int(toxic.sum())))
     plain = size == 0
     prior = (toxic[plain].sum() + toxic.sum() / max(len(ids), 1)) / (plain.sum() + 1)
-    weight = (1 + np.log(count)) * worth[term]
-    weight = weight / np.sqrt(np.bincount(owner, weight * weight, len(ids)))[owner]
+    weight = (1 + np.log(count, dtype=np.float32)) * worth.astype(np.float32)[term]
+    long = np.sqrt(np.bincount(owner, np.square(weight), len(ids))).astype(np.float32)
+    weight /= long[owner]
     # Entries with the same weightiest term lie together, so that whole blocks are unlike a text.
     lead = np.full(len(ids), len(vocabulary))
-    order = np.lexsort((-weight, owner))
-    lead[~plain] = term[order[at[:-1][~plain]]]
+    if len(weight):
+        most = np.zeros(len(ids), np.float32)
+        most[~plain] = np.maximum.reduceat(weight, at[:-1][~plain])
+        best = np.flatnonzero(weight == most[owner])[::-1]
+        lead[owner[best]] = term[best]
     kept = np.lexsort((ids, lead))
     kept = kept[~plain[kept]]
     own = ranges(at[:-1][kept], at[1:][kept])
     return Index(
         vocabulary, worth, np.concatenate([[0], np.cumsum(size[kept])]),
-        term[own].astype(np.int32), weight[own].astype(np.float32),
+        term[own].astype(np.int32), weight[own],
         ids[kept], toxic[kept].astype(float), float(prior),
     )
 
@@ -375,7 +390,10 @@ def learn(
     size = pc.list_value_length(rows.column(2)).to_numpy()
     terms = pc.list_flatten(rows.column(2)).to_numpy().view(np.uint64)
     count = pc.list_flatten(rows.column(3)).to_numpy()
-    vocabulary, term = np.unique(terms, return_inverse=True)
+    del rows
+    vocabulary = np.unique(terms)
+    term = np.searchsorted(vocabulary, terms).astype(np.int32)
+    del terms
     at = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
     total, df = document_counts(docs, vocabulary) if len(ids) else (0, np.zeros(0, np.int64))
     return build_index(ids, toxic, at, term, count, vocabulary, total, df)
