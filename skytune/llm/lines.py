@@ -1,21 +1,24 @@
 """Repeated lines: which lines of which documents go, as run-length coded keep bitmaps.
 
-Keys are hashed to 128 bits, dealt by range of (hash, document), so a line that a third of all
-documents hold is spread over many tasks, and sorted by document and position inside. Each task
-counts the documents of its part of a key; the partial counts of a key then meet. Hashes are
-written once, without texts; texts are read again only to apply the bitmaps. DataFrame functions
-only.
+Keys are hashed to 128 bits and written once, without texts. They are dealt by range and sorted by
+document and position inside, so the first holder of a key comes first, its number of documents
+follows from ranks in the same order, and no key is joined with its lines again. Keys of more lines
+than a task should hold are told beforehand by their counts; they are few, so they are sent to the
+lines instead. Texts are read again only to apply the bitmaps. DataFrame functions only.
 """
 
 from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skytune.session import written
 
+#: Lines of one key that are never too many for a task.
+FEW = 1000
+
 WHITE = " \t\n\x0b\x0c\r"
 
 
@@ -68,6 +71,7 @@ def line_drops(
     min_chars: int = 40,
     min_docs: int = 5,
     partitions: int | None = None,
+    share: int | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -76,20 +80,33 @@ def line_drops(
     Keys of at least ``min_chars`` code points found in at least ``min_docs`` documents lose all
     their lines except in the largest id that holds them. Rows with equal ids count as one
     document. Rows without an id neither count nor lose lines. An empty table gives no row.
+
+    Keys of more than ``share`` lines, a quarter of a task's part by default, stay where they are.
     """
     n = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = written(keyed_lines(docs, min_chars, id_col, text_col), "lines")
+    most = share or max(keyed.count() // (4 * n), FEW)
+    key = ["h1", "h2"]
+    many = keyed.groupBy(*key).agg(F.count(F.lit(1)).alias("lines")).where(F.col("lines") > most)
+    hot = F.broadcast(written(many.select(*key), "hot_lines"))  # at most 4 * n keys, by ``most``
+    last = F.col("doc").desc()
     dealt = (
-        keyed.repartitionByRange(n, "h1", "h2", F.col("doc").desc())
-        .sortWithinPartitions("h1", "h2", F.col("doc").desc(), "pos")
+        keyed.join(hot, key, "left_anti")
+        .repartitionByRange(n, *key)
+        .sortWithinPartitions(*key, last, "pos")
     )
-    holders = dealt.groupBy("h1", "h2", "doc").agg(F.count(F.lit(1)).alias("lines"))
+    same = Window.partitionBy(*key)
+    ranked = dealt.withColumn("holder", F.dense_rank().over(same.orderBy(last)))
+    counted = ranked.withColumn("docs", F.max("holder").over(same))
+    lost = counted.where((F.col("docs") >= min_docs) & (F.col("holder") > 1))
+    own = keyed.join(hot, key)
     common = (
-        holders.groupBy("h1", "h2")
+        own.select(*key, "doc").distinct().groupBy(*key)
         .agg(F.count(F.lit(1)).alias("docs"), F.max("doc").alias("keeper"))
         .where(F.col("docs") >= min_docs)
     )
-    lost = dealt.join(common, ["h1", "h2"]).where(F.col("doc") != F.col("keeper"))
+    beside = own.join(F.broadcast(common), key).where(F.col("doc") != F.col("keeper"))
+    lost = lost.select("doc", "mark", "pos").union(beside.select("doc", "mark", "pos"))
     return lost.groupBy("doc", "mark").agg(
         runs_of(F.sort_array(F.collect_set("pos"))).alias("drops")
     )

@@ -105,6 +105,25 @@ def test_lines_equal_the_plain_version(spark):
     assert sorted(map(tuple, got), key=key) == sorted(kept_lines(ODD), key=key)
 
 
+@pytest.mark.parametrize("share", [1, 3, 40])
+def test_lines_of_frequent_keys_equal_the_plain_version(spark, share):
+    rnd = random.Random(share)
+    own = [f"Line {i} that is long enough to count as one, of {i % 3} kinds" for i in range(12)]
+    weights = [200, 60, *[3] * 10]
+    rows = [(i % 150, "\n".join(rnd.choices([*own, "short"], [*weights, 9], k=rnd.randint(0, 9)))) for i in range(150)]
+    rows += [(500, "\n".join([own[3]] * 90)), (None, own[0])]
+    got = lines.line_report(documents(spark, rows), share=share, partitions=5).collect()
+    key = lambda r: (r[0] is None, r[0] or 0, r[1:])
+    assert sorted(map(tuple, got), key=key) == sorted(kept_lines(rows), key=key)
+
+
+def test_lines_meet_by_range_alone(spark):
+    """No line key is hash-partitioned but in its counts, and no Python runs."""
+    plan = lines.line_drops(documents(spark), partitions=4)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning(h1" in plan and "Python" not in plan and "Arrow" not in plan
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
 def test_lines_equal_the_sql_twin(spark):
     tables = "/root/testdata/sf0.001"
     db = duckdb.connect()
