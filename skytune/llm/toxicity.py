@@ -41,7 +41,7 @@ ROWS = 256
 SLACK = 1e-5
 CHUNK = 1 << 20
 #: Scores of so many different texts are kept by a task.
-KEPT = 20_000
+KEPT = 5_000
 
 NO_LETTER = np.ones(256, bool)
 NO_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -105,15 +105,15 @@ def likelihood_ratio(n: np.ndarray, bad: np.ndarray, texts: int, toxic: int) ->
 class Index:
     """Block-max inverted index over the vectors of examples.
 
-    ``worth`` is the weight of a term besides its count. Entry i is the example ``ids[i]``, toxic
-    or not, with the terms and weights (of length one) between ``at[i]`` and ``at[i + 1]``. What
-    is derived from them is made where it is needed, once in a worker.
+    ``worth`` is the weight of a term besides its count. Term t is in the entries between ``at[t]``
+    and ``at[t + 1]``, with those weights; entry i is the example ``ids[i]``, toxic or not, and its
+    weights are of length one together. What is derived is made once in a worker, in little memory.
     """
 
     vocabulary: np.ndarray
     worth: np.ndarray
     at: np.ndarray
-    term: np.ndarray
+    entry: np.ndarray
     weight: np.ndarray
     ids: np.ndarray
     toxic: np.ndarray
@@ -126,7 +126,7 @@ class Index:
     @cached_property
     def head_of(self) -> np.ndarray:
         """Of each term its column in the dense part, -1 for others."""
-        df = np.bincount(self.term, minlength=len(self.vocabulary))
+        df = np.diff(self.at)
         often = np.argsort(-df, kind="stable")[:HEADS]
         often = np.sort(often[df[often] * HEAD_SHARE >= max(len(self.ids), HEAD_SHARE + 1)])
         column = np.full(len(self.vocabulary), -1, np.int32)
@@ -137,27 +137,21 @@ class Index:
     def dense(self) -> np.ndarray:
         """Frequent terms by entries, which are padded to whole blocks."""
         out = np.zeros((int(self.head_of.max(initial=-1)) + 1, self.blocks * BLOCK), np.float32)
-        column = self.head_of[self.term]
-        entry = np.repeat(np.arange(len(self.ids)), np.diff(self.at))
-        own = column >= 0
-        out[column[own], entry[own]] = self.weight[own]
+        for t in np.flatnonzero(self.head_of >= 0).tolist():
+            own = slice(self.at[t], self.at[t + 1])
+            out[self.head_of[t], self.entry[own]] = self.weight[own]
         return out
 
     @cached_property
-    def postings(self) -> tuple[np.ndarray, ...]:
-        """Of rare terms: where the pairs (term, block) of each term start, block, largest weight
-        and first posting of each pair, and entry and weight of each posting."""
-        rare = np.flatnonzero(self.head_of[self.term] < 0)
-        rare = rare[np.argsort(self.term[rare], kind="stable")]
-        entry = (np.searchsorted(self.at, rare, "right") - 1).astype(np.int32)
-        term, weight = self.term[rare], self.weight[rare]
-        block = entry // BLOCK
-        new = np.ones(len(rare), bool)
-        new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
-        first = np.flatnonzero(new)
-        top = np.maximum.reduceat(weight, first) if len(first) else weight
-        pairs = np.searchsorted(term[first], np.arange(len(self.vocabulary) + 1))
-        return pairs, block[first], top, np.append(first, len(rare)), entry, weight
+    def pairs(self) -> tuple[np.ndarray, ...]:
+        """Of the pairs (term, block): first of each term, block, largest weight, first posting."""
+        block = (self.entry // BLOCK).astype(np.int32)
+        new = np.ones(len(block), bool)
+        new[1:] = block[1:] != block[:-1]
+        new[self.at[:-1]] = True
+        first = np.flatnonzero(new).astype(np.int32)
+        top = np.maximum.reduceat(self.weight, first) if len(first) else self.weight
+        return np.searchsorted(first, self.at), block[first], top, np.append(first, len(block))
 
     def vectors(self, texts: pa.LargeStringArray) -> list[tuple[np.ndarray, np.ndarray]]:
         """Known terms of each text and their weights, of length one together."""
@@ -175,7 +169,6 @@ class Index:
     ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Of each vector the entries and cosines of its ``k`` nearest examples, falling, and of
         all others just as near. Entries that share no term are never near."""
-        whole = np.zeros(len(self.vocabulary))
         for start in range(0, len(queries), ROWS):
             part = queries[start : start + ROWS]
             often = np.zeros((len(part), len(self.dense)), np.float32)
@@ -184,14 +177,15 @@ class Index:
                 often[i, column[column >= 0]] = weight[column >= 0]
             known = often @ self.dense
             for i, (term, weight) in enumerate(part):
-                whole[term] = weight
-                yield self._nearest(term, weight, known[i], whole, k)
-                whole[term] = 0
+                yield self._nearest(term, weight, known[i], k)
 
     def _nearest(
-        self, term: np.ndarray, weight: np.ndarray, known: np.ndarray, whole: np.ndarray, k: int
+        self, term: np.ndarray, weight: np.ndarray, known: np.ndarray, k: int
     ) -> tuple[np.ndarray, np.ndarray]:
-        pair_at, pair_block, pair_top, first, entry, posted = self.postings
+        pair_at, pair_block, pair_top, first = self.pairs
+        column = self.head_of[term]
+        head, heavy = column[column >= 0], weight[column >= 0]
+        term, weight = term[column < 0], weight[column < 0]
         size = pair_at[term + 1] - pair_at[term]
         pair = ranges(pair_at[term], pair_at[term + 1])
         factor = np.repeat(weight, size)
@@ -200,45 +194,43 @@ class Index:
         )
         blocks = known.reshape(self.blocks, BLOCK)
 
-        def visit(these: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            """Entries of these blocks that share a term, and their cosines."""
+        def visit(these: np.ndarray) -> tuple[np.ndarray, ...]:
+            """Entries of these blocks that may be near, cosines, and the part of rare terms."""
             if these.all():
-                a, b, own = first[pair_at[term]], first[pair_at[term + 1]], weight
+                a, b, own = self.at[term], self.at[term + 1], weight
             else:
                 some = these[pair_block[pair]]
                 a, b, own = first[pair[some]], first[pair[some] + 1], factor[some]
             at = ranges(a, b)
-            slot = entry[at]
+            slot = self.entry[at]
             if not these.all():
                 slot = (np.cumsum(these) - 1)[slot // BLOCK] * BLOCK + slot % BLOCK
             cosine = blocks[these].ravel()
-            own = np.repeat(own.astype(np.float32), b - a) * posted[at]
-            cosine = cosine + np.bincount(slot, own, len(cosine))
+            shared = np.bincount(slot, np.repeat(own, b - a) * self.weight[at], len(cosine))
+            cosine = cosine + shared
             near = np.flatnonzero(cosine >= max(least - SLACK, 1e-12))
-            return np.flatnonzero(these)[near // BLOCK] * BLOCK + near % BLOCK, cosine[near]
+            where = np.flatnonzero(these)[near // BLOCK] * BLOCK + near % BLOCK
+            return where, cosine[near], shared[near]
 
         def kth(cosine: np.ndarray) -> float:
             return float(np.partition(cosine, -k)[-k]) if len(cosine) >= k else 0.0
 
-        near, cosine, least = np.zeros(0, np.int64), np.zeros(0), 0.0
+        near, cosine, rare, least = np.zeros(0, np.int64), np.zeros(0), np.zeros(0), 0.0
         if self.blocks:
             best = np.zeros(self.blocks, bool)
             best[bound.argmax()] = True
-            near, cosine = visit(best)
+            near, cosine, rare = visit(best)
             least = kth(cosine)
             rest = (bound > 0) & (bound >= least - SLACK) & ~best
             if 2 * rest.sum() >= self.blocks:  # all of them at once cost less
-                near, cosine = visit(np.ones(self.blocks, bool))
+                near, cosine, rare = visit(np.ones(self.blocks, bool))
             elif rest.any():
-                more, theirs = visit(rest)
-                near, cosine = np.append(near, more), np.append(cosine, theirs)
+                both = zip((near, cosine, rare), visit(rest), strict=True)
+                near, cosine, rare = (np.concatenate(x) for x in both)
             least = kth(cosine)
-        near = near[cosine >= least - SLACK]
-        size = self.at[near + 1] - self.at[near]
-        own = ranges(self.at[near], self.at[near + 1])
-        exact = np.bincount(
-            np.repeat(np.arange(len(near)), size), whole[self.term[own]] * self.weight[own], len(near)
-        )
+        own = cosine >= least - SLACK
+        near, rare = near[own], rare[own]
+        exact = rare + (self.dense[head[:, None], near].astype(float) * heavy[:, None]).sum(0)
         order = np.lexsort((near, -exact))
         near, exact = near[order], exact[order]
         if len(near) > k:
@@ -291,11 +283,13 @@ def build_index(
         lead[owner[best]] = term[best]
     kept = np.lexsort((ids, lead))
     kept = kept[~plain[kept]]
-    own = ranges(at[:-1][kept], at[1:][kept])
+    rank = np.full(len(ids), -1, np.int32)
+    rank[kept] = np.arange(len(kept), dtype=np.int32)
+    entry = rank[owner]
+    order = np.lexsort((entry, term))
     return Index(
-        vocabulary, worth, np.concatenate([[0], np.cumsum(size[kept])]),
-        term[own].astype(np.int32), weight[own],
-        ids[kept], toxic[kept].astype(float), float(prior),
+        vocabulary, worth, np.concatenate([[0], np.cumsum(n)]).astype(np.int32), entry[order],
+        weight[order], ids[kept], toxic[kept].astype(float), float(prior),
     )
 
 
