@@ -532,6 +532,19 @@ once AS (
     AND p.played_at = strftime(m.Event_Start_Timestamp, '%d %b %Y, %H:%M'))
 SELECT music_date, music_hour, has_weather_data, count(*) AS plays,
   sum(song_mood)::BIGINT AS song_mood_sum FROM once GROUP BY 1, 2, 3""",
+    "incremental_daily_music": f"""WITH {_music()},
+once AS (
+  SELECT DISTINCT m.track_name, m.artist_name, m.album_name, m.streamable, p.played_at,
+    p.played_at_uts, m.play_date AS date, m.music_mood, m.music_mood_category
+  FROM music m JOIN plays p ON p.event_id = m.event_id
+  WHERE m.play_date IS NOT NULL AND p.played_at IS NOT NULL),
+labels AS (
+  SELECT date, music_mood_category AS dominant_music_mood_category FROM once GROUP BY 1, 2
+  QUALIFY row_number() OVER (PARTITION BY date ORDER BY count(*) DESC, music_mood_category) = 1)
+SELECT date, count(*) AS plays, round(avg(music_mood), 6) AS avg_music_mood,
+  min(music_mood) AS min_music_mood, max(music_mood) AS max_music_mood,
+  any_value(dominant_music_mood_category) AS dominant_music_mood_category
+FROM once JOIN labels USING (date) GROUP BY 1""",
     "listening_hourly": f"""WITH {_matched()},
 hourly AS (
   SELECT user_id, play_date, play_hour, count(*) AS plays,
@@ -552,6 +565,8 @@ SELECT user_id, play_date, play_minute, count(*) AS plays, max(cumulative_plays)
 FROM running GROUP BY 1, 2, 3""",
     "listening_features_hour": _averages("user_id, play_date, play_hour"),
     "listening_features_day": _averages("user_id, play_date"),
+    "late_features_hour": _averages("user_id, play_date, play_hour"),
+    "late_features_day": _averages("user_id, play_date"),
     "listening_deviation": f"""WITH {_music()},
 daily AS (
   SELECT user_id, play_date, count(*) AS plays, avg(music_mood) AS mood

@@ -3,7 +3,7 @@
 Every pull lands in a folder of its own, and a load reads only that. Pulls overlap, so plays are
 compared with those stored before: only with days that the pull touches, and only those that a
 Bloom filter of the day cannot rule out. New plays are appended, so stored files are never rewritten,
-and only the days they fall on are built anew in the mart.
+and only the days they fall on are built anew in the mart and among the partial roll-ups.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from skytune.functions.times import local_date, parse_played_at
 from skytune.operators.seen import filter_of, unseen
 from skytune.plans.mart import combined_mood
 from skytune.plans.music import music_mood
+from skytune.plans.rollups import store_music_days
 from skytune.plans.staging import stage_plays
 from skytune.plans.weather import hourly_weather_mood
 from skytune.session import release, written
@@ -38,13 +39,14 @@ MANIFEST = "staged long, fresh long, known long, undated long, pull_day string"
 
 @dataclass(frozen=True)
 class Store:
-    """Folders of landed pulls, stored plays, their filters, the manifest and the mart."""
+    """Folders of landed pulls, stored plays, their filters, the manifest, the mart and roll-ups."""
 
     landing: str
     plays: str
     filters: str
     manifest: str
     mart: str
+    rollups: str
 
 
 def land_pull(pulls: DataFrame, store: Store, pull_day: str) -> None:
@@ -129,13 +131,18 @@ def load_pull(spark: SparkSession, pull_day: str, store: Store, zone: str) -> di
 def rebuild_days(
     spark: SparkSession, days: Sequence, store: Store, metadata: DataFrame, readings: DataFrame
 ) -> None:
-    """Build some days of the mart anew from stored plays; other days keep their files."""
+    """Build some days of the mart and the roll-ups anew from stored plays.
+
+    Other days keep their files. The scored plays are written once, as both are built from them.
+    """
     known = [d for d in days if d is not None]
     if not known:
         return
     plays = stored(spark, store.plays, STORED).where(_among(known))
-    music = music_mood(plays, metadata, [DAY])
+    music = written(music_mood(plays, metadata, [DAY]), "music-days")
     write_days(combined_mood(music, hourly_weather_mood(readings), [DAY]), store.mart, DAY)
+    store_music_days(music, store.rollups, DAY)
+    release(music)
 
 
 def load_pending(

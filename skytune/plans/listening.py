@@ -8,6 +8,8 @@ user), however many plays one user has.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -101,6 +103,28 @@ def average_features(matched: DataFrame, grain: str = "hour") -> DataFrame:
     )
 
 
+def feature_partials(matched: DataFrame) -> DataFrame:
+    """Plays, and sum and number of known values of each audio feature, per user and hour."""
+    sums = {"matched_plays": F.count(F.lit(1))}
+    for name in AVERAGED:
+        value = known(F.col(name))
+        sums |= {f"_sum_{name}": F.sum(value), f"_n_{name}": F.count(value)}
+    return (
+        matched.where(F.col("matched_with_metadata") & F.col("played_at_ts").isNotNull())
+        .groupBy(*USER_HOUR)
+        .agg(*(c.alias(n) for n, c in sums.items()))
+    )
+
+
+def folded_features(partials: DataFrame, grain: str = "hour") -> DataFrame:
+    """What ``average_features`` gives over all rows that the partials stand for."""
+    groups = {"hour": USER_HOUR, "day": USER_DAY}[grain]
+    means = (
+        F.try_divide(F.sum(f"_sum_{c}"), F.sum(f"_n_{c}")).alias(f"avg_{c}") for c in AVERAGED
+    )
+    return partials.groupBy(*groups).agg(F.sum("matched_plays").alias("matched_plays"), *means)
+
+
 def baseline_deviation(music: DataFrame, days: int = 7) -> DataFrame:
     """z-score of a user's daily plays and mood against the ``days`` active days before.
 
@@ -129,21 +153,30 @@ def baseline_deviation(music: DataFrame, days: int = 7) -> DataFrame:
     )
 
 
-def _rolled_up(df: DataFrame, label: str, mood: str, extra: str | None = None) -> DataFrame:
-    """Per ``date``: rows, mean, least and greatest mood, and the label of most rows (a
-    tie goes to the first in the alphabet).
+def label_partials(
+    df: DataFrame, label: str, mood: str, extra: str | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Per ``date`` and label: rows, sum, least and greatest mood. There are only a handful.
 
-    One pass: partial sums per date and label, of which there are only a handful, are
-    folded again per date, so the source is neither read twice nor gathered by day.
+    Partials of different rows merge by ``merged_labels``; columns in ``keep`` hold them apart.
     """
     sums = {"_n": F.count(F.lit(1)), "_s": F.sum(mood), "_lo": F.min(mood), "_hi": F.max(mood)}
     if extra:
         sums |= {"_xs": F.sum(extra), "_xn": F.count(extra)}
-    per_label = (
-        df.where(F.col("date").isNotNull())
-        .groupBy("date", label)
-        .agg(*(c.alias(n) for n, c in sums.items()))
-    )
+    dated = df.where(F.col("date").isNotNull())
+    return dated.groupBy(*keep, "date", label).agg(*(c.alias(n) for n, c in sums.items()))
+
+
+def merged_labels(partials: DataFrame, label: str) -> DataFrame:
+    """Partials of several loads or stored days as one per date and label."""
+    how = {"_lo": F.min, "_hi": F.max}
+    sums = [n for n in ("_n", "_s", "_lo", "_hi", "_xs", "_xn") if n in partials.columns]
+    return partials.groupBy("date", label).agg(*(how.get(n, F.sum)(n).alias(n) for n in sums))
+
+
+def folded_labels(per_label: DataFrame, label: str, mood: str, extra: str | None = None) -> DataFrame:
+    """Per ``date``: rows, mean, least and greatest mood, and the label of most rows (a tie goes
+    to the first in the alphabet), from one partial per date and label."""
     folded = {
         "rows": F.sum("_n"),
         f"avg_{mood}": F.sum("_s") / F.sum("_n"),
@@ -156,6 +189,12 @@ def _rolled_up(df: DataFrame, label: str, mood: str, extra: str | None = None) -
     return per_label.groupBy("date").agg(*(c.alias(n) for n, c in folded.items()))
 
 
+def _rolled_up(df: DataFrame, label: str, mood: str, extra: str | None = None) -> DataFrame:
+    """One pass: partial sums per date and label are folded again per date, so the source is
+    neither read twice nor gathered by day."""
+    return folded_labels(label_partials(df, label, mood, extra), label, mood, extra)
+
+
 def daily_weather(weather: DataFrame) -> DataFrame:
     """Weather mood and temperature per day."""
     rolled = _rolled_up(weather, "weather_mood_category", "weather_mood", "temperature_2m")

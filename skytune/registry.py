@@ -25,7 +25,7 @@ from skytune.functions.times import (
 from skytune.operators import picks
 from skytune.operators.reshape import positional_to_rows, to_records
 from skytune.operators.splitting import md5_bucket
-from skytune.plans import daily, incremental, listening, training
+from skytune.plans import daily, incremental, listening, rollups, training
 from skytune.plans.mart import combined_mood
 from skytune.plans.music import best_metadata, clean_plays, match_plays, music_mood, score_music
 from skytune.plans.staging import flatten_tracks, stage_plays, stage_weather_arrays
@@ -36,7 +36,7 @@ from skytune.plans.weather import (
     with_daily_context,
     with_trend_and_context,
 )
-from skytune.session import prepare, shared_folder, written
+from skytune.session import prepare, release, shared_folder, written
 from skytune.sources import measures, scans, sinks
 from skytune.streaming import hourly
 
@@ -528,7 +528,7 @@ PULLS = {
 def _loaded_pulls(f: Frames) -> incremental.Store:
     """Three overlapping pulls, each landed and loaded before the next."""
     root = shared_folder(f.spark, "pulls")
-    names = ("landing", "plays", "filters", "manifest", "mart")
+    names = ("landing", "plays", "filters", "manifest", "mart", "rollups")
     store = incremental.Store(*(f"{root}/{n}" for n in names))
     pulls = adapters.music_pulls(f.plays, ["event_id"])
     for day, holds in PULLS.items():
@@ -556,6 +556,13 @@ def incremental_mart(f: Frames) -> DataFrame:
     return _daily_result(scans.scan_parquet(f.spark, _loaded_pulls(f).mart))
 
 
+@query
+def incremental_daily_music(f: Frames) -> DataFrame:
+    """Music mood per day from partial roll-ups, of which loads replaced those they touched."""
+    partials = scans.scan_parquet(f.spark, _loaded_pulls(f).rollups)
+    return _rounded(rollups.music_days(partials))
+
+
 # --- listening metrics ---------------------------------------------------------------
 
 
@@ -591,6 +598,38 @@ def listening_features_day(f: Frames) -> DataFrame:
     return _rounded(listening.average_features(f.matched(), "day"))
 
 
+# Loads in turn and the events each brings: on time, two late ones, and the first late one again.
+LOADS = [
+    ("on-time", lambda e: e % 7 != 3),
+    ("late", lambda e: e % 14 == 3),
+    ("later", lambda e: e % 14 == 10),
+    ("late", lambda e: e % 14 == 3),
+]
+
+
+def _late_partials(f: Frames) -> DataFrame:
+    """Feature partials of all loads, two of which hold plays of days loaded before."""
+    path = shared_folder(f.spark, "features")
+    matched = written(f.matched(), "matched")
+    for load, holds in LOADS:
+        partials = listening.feature_partials(matched.where(holds(F.col("event_id"))))
+        rollups.store_load(partials, path, load, "play_date")
+    release(matched)
+    return rollups.stored_loads(f.spark, path, partials.schema, "play_date")
+
+
+@query
+def late_features_hour(f: Frames) -> DataFrame:
+    """Feature means per user and hour, merged from the partials of late loads."""
+    return _rounded(listening.folded_features(_late_partials(f), "hour"))
+
+
+@query
+def late_features_day(f: Frames) -> DataFrame:
+    """Feature means per user and day, merged from the same partials."""
+    return _rounded(listening.folded_features(_late_partials(f), "day"))
+
+
 @query
 def listening_deviation(f: Frames) -> DataFrame:
     return _rounded(listening.baseline_deviation(f.music(["user_id"])), 4)

@@ -15,7 +15,7 @@ ZONE = "Europe/Berlin"
 
 
 def _store(tmp_path):
-    return Store(*(str(tmp_path / n) for n in ("landing", "plays", "filters", "manifest", "mart")))
+    return Store(*(str(tmp_path / n) for n in ("landing", "plays", "filters", "manifest", "mart", "rollups")))
 
 
 def _pull(spark, *plays):
