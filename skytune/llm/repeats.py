@@ -14,7 +14,9 @@ shard, which sorts their suffixes into a run-length Burrows-Wheeler transform. L
 with the neighbouring suffix are compared byte by byte at run ends only; in between, a match is one
 byte shorter than at the place before, so streaming over the text gives the length of the longest
 match that starts at each byte. Cores with more contexts than a shard may hold are split further:
-their windows are dealt by a hash of each window.
+their windows are dealt by hash. Windows count as equal there if their cores agree, and the hashes
+of the whole window and of both its halves: windows that differ, differ in a half, so at least two
+64-bit hashes besides the core's tell them apart.
 """
 
 from __future__ import annotations
@@ -289,8 +291,12 @@ def context_bytes(listed: DataFrame, length: int) -> DataFrame:
 
 
 def window_hashes(listed: DataFrame, length: int) -> DataFrame:
-    """(doc, mark, start, h, single) of each window of the listed contexts."""
-    schema = "doc long, mark long, start long, h long, single boolean"
+    """(doc, mark, start, core, h, h1, h2, single) of each window of the listed contexts.
+
+    ``h`` is the hash of the window, ``h1`` and ``h2`` are those of its halves.
+    """
+    schema = "doc long, mark long, start long, core long, h long, h1 long, h2 long, single boolean"
+    half = length // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 2, CHUNK):
@@ -299,15 +305,17 @@ def window_hashes(listed: DataFrame, length: int) -> DataFrame:
             items = batch.column(3)
             text = np.repeat(np.arange(batch.num_rows), np.diff(items.offsets.to_numpy()))
             part = items.flatten()
-            start, count = (part.field(f).to_numpy() for f in ("start", "count"))
+            start, count, core = (part.field(f).to_numpy() for f in ("start", "count", "core"))
             single = part.field("single").to_numpy(zero_copy_only=False)
             every = np.repeat(start - (np.cumsum(count) - count), count) + np.arange(count.sum())
-            text, single = np.repeat(text, count), np.repeat(single, count)
+            text, single, core = (np.repeat(x, count) for x in (text, single, core))
             here = at[text] + every
             rows = pa.array(text)
+            spans = ((here, here + length), (here, here + half), (here + half, here + length))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(every),
-                 pa.array(span_hashes(padded, here, here + length).view(np.int64)),
+                 pa.array(core),
+                 *(pa.array(span_hashes(padded, a, b).view(np.int64)) for a, b in spans),
                  pa.array(single)],
                 names=[x.split()[0] for x in schema.split(", ")],
             )
@@ -357,8 +365,9 @@ def repeated_windows(docs: DataFrame, length: int) -> DataFrame:
         window_hashes(with_items(docs, per_text(sent.where(F.col("kinds") > MOST), *columns), "inner"), length),
         "windows",
     )
-    common = windows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    dealt = windows.where("single").join(common, "h").select(
+    same = ["core", "h", "h1", "h2"]
+    common = windows.groupBy(*same).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    dealt = windows.where("single").join(common, same).select(
         "doc", "mark", "start", F.lit(1).cast("long").alias("count")
     )
     settled = told.where(~F.col("single")).select("doc", "mark", "start", "count")
