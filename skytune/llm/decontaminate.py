@@ -3,8 +3,9 @@
 Tokens are stretches between white space without the marks at their ends, in lower case (ASCII and
 Latin-1 letters). In a template, a token that starts with a digit is a number, a unit of measure
 behind a number a unit, and a capitalised token inside a sentence a name. Windows are runs of five
-template tokens; a window with fewer than two plain words keeps the literal tokens instead. Texts
-of fewer tokens are one window.
+template tokens; a window with fewer than two plain words keeps the literal tokens instead. An item of
+fewer tokens is too short for a template: it is one window of literal tokens, and is looked for
+among all such windows of its size.
 
 Capitals tell names apart only in part: a name may open a sentence, and a copy may be in other
 case. So every text is read in four ways, and the best share of an item counts: with names inside
@@ -24,7 +25,7 @@ it never drops a match.
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from copy import copy
 
 import numpy as np
@@ -141,27 +142,37 @@ class Templates:
         return out
 
     def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Hash, text and first token of each window."""
+        """Hash, text and first token of each window; a shorter text is one literal window."""
         h, text, start = shingles(self, WINDOW)
         plain = np.concatenate([[0], np.cumsum(self.kind == 0)])
         size = np.minimum(WINDOW, self.counts[text])
-        few = plain[start + size] - plain[start] < np.minimum(2, size)
+        few = (size < WINDOW) | (plain[start + size] - plain[start] < 2)
         if few.any():
-            made, self.hashes = self.hashes, self.literal
-            h = np.where(few, mix(shingles(self, WINDOW)[0] ^ M3), h)
-            self.hashes = made
+            h = np.where(few, self.literal_windows(WINDOW)[0], h)
         return h, text, start
 
+    def literal_windows(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same of each run of ``size`` literal tokens."""
+        made, self.hashes = self.hashes, self.literal
+        h, text, start = shingles(self, size)
+        self.hashes = made
+        return mix(h ^ M3), text, start
 
-def window_rows(texts: DataFrame, bitmap: np.ndarray | None) -> DataFrame:
+
+def window_rows(
+    texts: DataFrame, bitmap: np.ndarray | None, short: Sequence[int] = ()
+) -> DataFrame:
     """(id, mark, h): the different windows of each row of (id, mark, text) that the bitmap lets by.
 
-    Without a bitmap they are (id, mark, reading, h), told apart by reading.
+    Literal windows of the sizes in ``short`` are among them. Without a bitmap they are
+    (id, mark, reading, h), told apart by reading.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 2, CHUNK):
-            made = [t.windows()[:2] for t in Templates(strings(batch.column(2))).readings()]
+            templates = Templates(strings(batch.column(2)))
+            made = [t.windows()[:2] for t in templates.readings()]
+            made += [templates.literal_windows(size)[:2] for size in short]
             if bitmap is None:
                 made = [distinct(h, text) for h, text in made]
             else:
@@ -183,6 +194,18 @@ def window_rows(texts: DataFrame, bitmap: np.ndarray | None) -> DataFrame:
     return texts.mapInArrow(run, f"id long, mark long, {told}h long")
 
 
+def short_sizes(items: DataFrame) -> list[int]:
+    """Numbers of tokens of the items that are shorter than a window; at most four."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 2, CHUNK):
+            counts = np.unique(Templates(strings(batch.column(2))).counts)
+            few = counts[(counts > 0) & (counts < WINDOW)]
+            yield pa.RecordBatch.from_arrays([pa.array(few, pa.int64())], names=["size"])
+
+    return sorted(r[0] for r in items.mapInArrow(run, "size long").distinct().collect())
+
+
 def rare_windows(items: DataFrame, share: float) -> DataFrame:
     """(item, h): of each item the rarest windows of each reading, one of which a match must hold."""
     every = window_rows(items, None).select(F.col("id").alias("item"), "reading", "h").distinct()
@@ -253,7 +276,8 @@ def fitting_share(doc: Templates, item: Templates, least: float = 0.0) -> float:
     may be put in or left out inside a copy. A share below ``least`` may be given as zero.
     """
     want, _, at = item.windows()
-    have, _, place = doc.windows()
+    own = len(item.kind)
+    have, _, place = doc.literal_windows(own) if 0 < own < WINDOW else doc.windows()
     order = np.lexsort((place, have))
     have, place = have[order], place[order]
     low, high = np.searchsorted(have, want), np.searchsorted(have, want, "right")
@@ -304,7 +328,8 @@ def found_items(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) ->
         F.col("item_id").cast("long").alias("id"), F.lit(0).cast("long").alias("mark"), "text"
     )
     rare = written(rare_windows(items, share), "windows")
-    seen = window_rows(docs.select(F.col("doc").alias("id"), "mark", "text"), bitmap_of(rare))
+    named = docs.select(F.col("doc").alias("id"), "mark", "text")
+    seen = window_rows(named, bitmap_of(rare), short_sizes(items))
     pairs = written(
         seen.join(rare, "h").select(F.col("id").alias("doc"), "mark", "item").distinct(), "pairs"
     )

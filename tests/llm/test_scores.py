@@ -345,6 +345,31 @@ def test_a_copy_behind_a_variant_goes(spark):
     assert {r.doc_id for r in got if r.contaminated} == {1, 2}
 
 
+def test_short_items_are_found_inside_documents(spark):
+    rnd = random.Random(21)
+    word = lambda: rnd.choice(["Paris", "of", "france.", "CAPITAL", "(the)", "5", "km", "12", "Élan", "x"])
+    items = [(i, " ".join(word() for _ in range(1 + i % 4))) for i in range(24)]
+    items += [(90, "capital of France"), (91, "..."), (92, ITEM)]
+    docs = [*ODD, (900, "What is the capital of France? Nobody knows."), (901, f"x {ITEM}"), (902, "capital of Spain")]
+    docs += [(1000 + i, " ".join(word() for _ in range(rnd.randint(0, 9)))) for i in range(60)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.contamination(documents(ship_package(spark), docs), benchmark).collect()
+
+    def tokens(text):
+        cut = (re.sub(r"^[^0-9A-Za-z\x80-\U0010ffff]+|[^0-9A-Za-z\x80-\U0010ffff]+$", "", w) for w in re.split(r"[ \t-\r]+", text or ""))
+        return [w.lower() for w in cut if w]
+
+    def holds(text, item):
+        have, want = tokens(text), tokens(item)
+        return bool(want) and any(have[i : i + len(want)] == want for i in range(len(have)))
+
+    short = [(j, t) for j, t in items if j != 92]
+    want = Counter((i, tuple(sorted(j for j, t in short if holds(text, t)))) for i, text in docs)
+    assert Counter((r.doc_id, tuple(j for j in r["items"] if j != 92)) for r in got) == want
+    held = {r.doc_id: list(r["items"]) for r in got}
+    assert 90 in held[900] and 92 in held[901] and 90 not in held[902]
+
+
 @pytest.mark.parametrize("bits", [1 << 22, 1024])
 def test_contamination_equals_all_pairs(spark, monkeypatch, bits):
     monkeypatch.setattr(decontaminate, "BITS", bits)
