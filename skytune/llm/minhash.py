@@ -31,6 +31,8 @@ SKETCH = tuple(f"b{i}" for i in range(BITS // 64))
 EDGES = 500_000
 #: Members that one copy of a pivot's set is compared with.
 PER_PIVOT = 256
+#: Bitmaps of candidate ids, and the bits of one (what the bitmap functions use).
+BITMAPS, BITMAP_BITS = 128, 32768
 
 
 def superminhash(h: np.ndarray, text: np.ndarray, n: int, m: int) -> np.ndarray:
@@ -321,6 +323,27 @@ def near_groups(
     )
 
 
+def maybe_among(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """``rows`` whose id may be among ``ids`` (id); none of those that are is left out.
+
+    Each id sets one bit of ``BITMAPS`` bitmaps of fixed size, so at most half a megabyte is
+    broadcast however many ids there are, and texts of most other rows are not shuffled.
+    """
+    def place(name: str) -> tuple[Column, Column]:
+        h = F.xxhash64(name)
+        return F.pmod(h, F.lit(BITMAPS)), F.pmod(F.shiftrightunsigned(h, 20), F.lit(BITMAP_BITS))
+
+    group, bit = place("id")
+    bits = ids.select(group.alias("_group"), bit.alias("_bit")).groupBy("_group").agg(
+        F.bitmap_construct_agg("_bit").alias("_bits")
+    )
+    group, bit = place(column)
+    byte = F.hex(F.substring("_bits", (F.floor(bit / 8) + 1).cast("int"), F.lit(1)))
+    is_set = F.getbit(F.conv(byte, 16, 10).cast("int"), (bit % 8).cast("int")) == 1
+    met = rows.withColumn("_group", group).join(F.broadcast(bits), "_group").where(is_set)
+    return met.select(*(F.col(f"`{c}`") for c in rows.columns))
+
+
 def _links(own: DataFrame, first: DataFrame, k: int, percent: int) -> DataFrame:
     """(node, component) of class representatives that are linked with others."""
     keyed = first.select(
@@ -329,7 +352,8 @@ def _links(own: DataFrame, first: DataFrame, k: int, percent: int) -> DataFrame:
     ).distinct()
     shared = written(_mixed(keyed), "buckets")
     ids = shared.select(F.col("rep").alias("id")).distinct()
-    texts = own.join(ids, own["doc_id"] == ids["id"]).select("id", "text")
+    near = maybe_among(own, "doc_id", ids)
+    texts = near.join(ids, near["doc_id"] == ids["id"]).select("id", "text")
     sets = written(set_bytes(texts, k), "sets")
     sketches = sets.select(F.col("id").alias("rep"), *SKETCH)
     left = written(shared.join(sketches, "rep"), "buckets")

@@ -83,6 +83,15 @@ def test_long_chains_are_one_component(spark, monkeypatch, most):
     assert got == {**{i: 0 for i in range(1, 61)}, 101: 100}
 
 
+def test_the_bitmap_of_ids_loses_none(spark):
+    rows = spark.range(20000).selectExpr("id - 500 as doc_id", "'t' as text")
+    ids = spark.range(20000).where("id % 40 = 7").selectExpr("id - 500 as id")
+    got = {r[0] for r in minhash.maybe_among(rows, "doc_id", ids).collect()}
+    want = {r[0] for r in ids.collect()}
+    assert want <= got and len(got) < 2 * len(want)
+    assert minhash.maybe_among(rows, "doc_id", ids.limit(0)).count() == 0
+
+
 def test_near_groups_of_odd_rows(spark):
     docs = documents(ship_package(spark))
     rows = minhash.near_groups(docs).collect()
