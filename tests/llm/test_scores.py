@@ -475,7 +475,7 @@ def test_model_beats_the_base_on_held_out_documents(spark):
 
 def test_every_operator_has_one_query():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_pipeline_equals_its_plain_stages(spark):
