@@ -526,15 +526,21 @@ PULLS = {
 
 
 def _loaded_pulls(f: Frames) -> incremental.Store:
-    """Three overlapping pulls, each landed and loaded before the next."""
+    """Three overlapping pulls, each landed and loaded before the next.
+
+    Documents, metadata and readings are derived from the tables once, not by every load.
+    """
     root = shared_folder(f.spark, "pulls")
     names = ("landing", "plays", "filters", "manifest", "mart", "rollups")
     store = incremental.Store(*(f"{root}/{n}" for n in names))
-    pulls = adapters.music_pulls(f.plays, ["event_id"])
+    pulls = written(adapters.music_pulls(f.plays, ["event_id"]), "pull-documents")
+    best = written(best_metadata(f.tracks), "best-metadata")
+    readings = written(f.readings, "readings")
     for day, holds in PULLS.items():
         landed = pulls.where(holds(F.col("event_id"))).drop("event_id")
         incremental.land_pull(landed, store, day)
-        incremental.load_pending(f.spark, store, f.tracks, f.readings, ZONE)
+        incremental.load_pending(f.spark, store, best, readings, ZONE)
+    release(pulls, best, readings)
     return store
 
 

@@ -6,7 +6,7 @@ from pathlib import Path
 from conftest import TABLES, executed
 from pyspark.sql import functions as F
 
-from skytune import adapters
+from skytune import adapters, registry
 from skytune.plans import incremental
 from skytune.plans.incremental import Store, land_pull, load_pending, load_pull, pending, scan_pulls
 from skytune.schemas import MUSIC_PULL, PLAYS
@@ -107,3 +107,35 @@ def test_only_touched_days_of_the_mart_are_rebuilt(spark, tmp_path):
     kept = {p: t for p, t in _files(store.mart).items() if "2024-01-10" in p}
     load_pending(spark, store, tracks, readings, ZONE)
     assert kept.items() <= _files(store.mart).items() and before
+
+
+def test_queries_of_loads_derive_their_input_once(spark, monkeypatch):
+    """Every load reads copies of the documents, metadata and readings, not the tables again."""
+    read = []
+
+    def files(df):
+        return [f for f in df.inputFiles() if f.startswith(f"file://{TABLES}")]
+
+    def noted(land):
+        return lambda pulls, store, day: (read.extend(files(pulls)), land(pulls, store, day))
+
+    def noted_load(load):
+        def run(spark, store, tracks, readings, zone):
+            read.extend(files(tracks) + files(readings))
+            return load(spark, store, tracks, readings, zone)
+
+        return run
+
+    monkeypatch.setattr(incremental, "land_pull", noted(land_pull))
+    monkeypatch.setattr(incremental, "load_pending", noted_load(load_pending))
+    assert registry.QUERIES["load_manifest"](spark, TABLES).count() == 3
+    assert read == []
+
+
+def test_hours_are_formatted_after_the_distinct(spark):
+    """A filter on the time of a reading does not go below the distinct hours."""
+    readings = adapters.readings(adapters.events(spark, TABLES))
+    dated = readings.where(F.to_date("timestamp").isNotNull())
+    plan = dated._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Aggregate"):]
+    assert "date_format" in plan and "date_format" not in below
