@@ -3,8 +3,8 @@
 A document is the set of its word shingles. Equal sets become one class. Classes that share a band
 of their signatures meet in a bucket. In each bucket a few pivots are compared with all other
 members, then more, until whatever is left of a bucket is one group already. Only members of
-different groups are compared, by size and by the bits of longer signatures first, and on their
-full sets where those leave a link possible.
+different groups are compared, once even if they share many buckets: by size and by the bits of
+longer signatures first, and on their full sets where those leave a link possible.
 """
 
 from __future__ import annotations
@@ -344,11 +344,38 @@ def maybe_among(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     return met.select(*(F.col(f"`{c}`") for c in rows.columns))
 
 
+def pivots_of(members: DataFrame, each: int) -> DataFrame:
+    """The first members of each bucket, columns named ``_a``, and all bands they are pivots in."""
+    order = Window.partitionBy("bucket").orderBy("rep")
+    first = members.withColumn("place", F.row_number().over(order)).where(F.col("place") <= each)
+    bands = F.collect_list("band").over(Window.partitionBy("rep"))
+    return first.select(
+        "bucket", bands.alias("bands_a"),
+        *(F.col(c).alias(f"{c}_a") for c in ("rep", "n", "label", "keys", *SKETCH)),
+    )
+
+
+def meetings(pivots: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of pivots and members that may be linked; each pair once.
+
+    Likely pairs share many buckets. They are paired in the first one that has the pivot as a pivot.
+    """
+    close = 100 * F.least("n", "n_a") >= percent * F.greatest("n", "n_a")
+    shared = F.filter("bands_a", lambda i: F.get("keys_a", i) == F.get("keys", i))
+    return (
+        pivots.join(members, "bucket")
+        .where((F.col("rep_a") < F.col("rep")) & (F.col("label_a") != F.col("label")))
+        .where(close & likely(percent))
+        .where(F.array_min(shared) == F.col("band"))
+        .select(F.col("rep_a").alias("a"), F.col("rep").alias("b"))
+    )
+
+
 def _links(own: DataFrame, first: DataFrame, k: int, percent: int) -> DataFrame:
     """(node, component) of class representatives that are linked with others."""
     keyed = first.select(
         "rep", F.col("n_shingles").alias("n"), F.col("rep").alias("label"),
-        F.explode("keys").alias("bucket"),
+        "keys", F.posexplode("keys").alias("band", "bucket"),
     ).distinct()
     shared = written(_mixed(keyed), "buckets")
     ids = shared.select(F.col("rep").alias("id")).distinct()
@@ -362,19 +389,8 @@ def _links(own: DataFrame, first: DataFrame, k: int, percent: int) -> DataFrame:
     labels: DataFrame | None = None
     pivots_each = 1
     while True:
-        order = Window.partitionBy("bucket").orderBy("rep")
-        pivots = left.withColumn("place", F.row_number().over(order)).where(
-            F.col("place") <= pivots_each
-        ).select("bucket", *(F.col(c).alias(f"{c}_a") for c in ("rep", "n", "label", *SKETCH)))
-        close = 100 * F.least("n", "n_a") >= percent * F.greatest("n", "n_a")
-        pairs = written(
-            pivots.join(left, "bucket")
-            .where((F.col("rep_a") < F.col("rep")) & (F.col("label_a") != F.col("label")))
-            .where(close & likely(percent))
-            .select(F.col("rep_a").alias("a"), F.col("rep").alias("b"))
-            .distinct(),
-            "pairs",
-        )
+        pivots = pivots_of(left, pivots_each)
+        pairs = written(meetings(pivots, left, percent), "pairs")
         found = written(linked(pairs, sets, percent), "links")
         links = found if links is None else links.unionByName(found)
         release(pairs, labels)
@@ -385,7 +401,10 @@ def _links(own: DataFrame, first: DataFrame, k: int, percent: int) -> DataFrame:
                 pivots.select("bucket", F.col("rep_a").alias("rep")), ["bucket", "rep"], "left_anti"
             )
             .join(labels, F.col("rep") == F.col("node"), "left")
-            .select("rep", "n", F.coalesce("component", "rep").alias("label"), "bucket", *SKETCH)
+            .select(
+                "rep", "n", F.coalesce("component", "rep").alias("label"), "keys", "band", "bucket",
+                *SKETCH,
+            )
         )
         after = written(_mixed(rest), "buckets")
         release(left)

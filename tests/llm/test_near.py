@@ -74,6 +74,19 @@ def test_a_hot_pivot_is_split(spark, monkeypatch):
     )
 
 
+def test_a_pair_meets_once_however_many_buckets_it_shares(spark):
+    sketch = ", ".join(f"0L as {b}" for b in minhash.SKETCH)
+    members = spark.range(5).selectExpr(
+        "id as rep", "10L as n", "id as label", "array(1L, 2L, 3L + (id + 1) div 3, 9L) as keys",
+        *sketch.split(", "),
+    ).selectExpr("*", "posexplode(keys) as (band, bucket)")
+    for each in (1, 2, 5):
+        pairs = minhash.meetings(minhash.pivots_of(members, each), members, 85).collect()
+        got = {(r.a, r.b) for r in pairs}
+        assert len(pairs) == len(got)
+        assert got >= {(a, b) for a in range(each) for b in range(a + 1, 5)}
+
+
 @pytest.mark.parametrize("most", [500_000, 9])
 def test_long_chains_are_one_component(spark, monkeypatch, most):
     monkeypatch.setattr(minhash, "EDGES", most)
