@@ -7,6 +7,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from brute import ODD, documents
 from hypothesis import given, settings
@@ -108,3 +109,25 @@ def test_empty_table(spark):
 def test_round_trip_columns(spark):
     row = bpe.round_trip(documents(ship_package(spark), [(1, "Hello hello")]), WORD_VOCABULARY).first()
     assert row.decoded == "hello</w> hello</w>" and row.ids[0] == row.ids[1]
+
+
+def test_few_whole_texts_go_to_a_worker_at_once(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    rows = ship_package(spark).range(0, 9000, 1, 1).mapInArrow(sizes, "n long").collect()
+    assert sum(r.n for r in rows) == 9000 and max(r.n for r in rows) <= 2000
+
+
+def test_line_dedup_frees_the_workers_first(spark, monkeypatch):
+    import corpus_pipeline
+
+    freed = []
+
+    def noted(session, plain=corpus_pipeline.free_workers):
+        freed.append(plain(session))
+
+    monkeypatch.setattr(corpus_pipeline, "free_workers", noted)
+    docs = documents(ship_package(spark), [(1, "a"), (2, None)])
+    assert corpus_pipeline.line_dedup(spark, docs, "").count() == 2 and len(freed) == 1
