@@ -31,6 +31,8 @@ SKETCH = tuple(f"b{i}" for i in range(BITS // 64))
 EDGES = 500_000
 #: Members that one copy of a pivot's set is compared with.
 PER_PIVOT = 256
+#: Rows that are worth a task of their own.
+ROWS = 10_000
 #: Bitmaps of candidate ids, and the bits of one (what the bitmap functions use).
 BITMAPS, BITMAP_BITS = 128, 32768
 
@@ -74,6 +76,15 @@ def superminhash(h: np.ndarray, text: np.ndarray, n: int, m: int) -> np.ndarray:
     return registers.reshape(n, m)
 
 
+def in_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` in as few tasks as ``rows`` rows need, but one for each core.
+
+    Partitions are put together whole and one after the other, so rows dealt to the same one stay
+    next to each other, in order.
+    """
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS)))
+
+
 def set_digests(h: np.ndarray, text: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Two sums over hashed elements that tell sets apart."""
     out = []
@@ -182,6 +193,7 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     dealt = pivots.unionByName(members).repartition("a", "part").sortWithinPartitions(
         "a", "part", F.col("b").asc_nulls_first()
     )
+    dealt = in_tasks(dealt, pairs.count())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivot = np.zeros(0, np.uint64)
@@ -305,11 +317,10 @@ def near_groups(
     signed = written(signatures(own, k, bands, rows), "signatures")
     with_words = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     digest = ["d1", "d2", "n_shingles"]
-    classes = written(
-        with_words.groupBy(*digest).agg(F.min("doc_id").alias("rep")), "classes"
-    )
+    met = with_words.groupBy(*digest).agg(F.min("doc_id").alias("rep"))
+    classes = written(in_tasks(met, signed.count()), "classes")
     first = with_words.withColumn("rep", F.col("doc_id")).join(classes, [*digest, "rep"])
-    labels = _links(own, first, k, percent)
+    labels = _links(own, first, k, percent, classes.count() * bands)
     named = classes.join(labels, classes["rep"] == labels["node"], "left").select(
         *digest, F.coalesce("component", "rep").alias("_component")
     )
@@ -345,13 +356,13 @@ def maybe_among(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
 
 
 def pivots_of(members: DataFrame, each: int) -> DataFrame:
-    """The first members of each bucket, columns named ``_a``, and all bands they are pivots in."""
+    """The first members of each bucket, columns named ``_a``, and all buckets they are pivots in."""
     order = Window.partitionBy("bucket").orderBy("rep")
     first = members.withColumn("place", F.row_number().over(order)).where(F.col("place") <= each)
-    bands = F.collect_list("band").over(Window.partitionBy("rep"))
+    every = F.collect_list("bucket").over(Window.partitionBy("rep"))
     return first.select(
-        "bucket", bands.alias("bands_a"),
-        *(F.col(c).alias(f"{c}_a") for c in ("rep", "n", "label", "keys", *SKETCH)),
+        "bucket", every.alias("buckets_a"),
+        *(F.col(c).alias(f"{c}_a") for c in ("rep", "n", "label", *SKETCH)),
     )
 
 
@@ -359,38 +370,43 @@ def meetings(pivots: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """(a, b) of pivots and members that may be linked; each pair once.
 
     Likely pairs share many buckets. They are paired in the first one that has the pivot as a pivot.
+    No condition has a lambda, which Spark would not compile, and with it the loop over all pairs.
     """
     close = 100 * F.least("n", "n_a") >= percent * F.greatest("n", "n_a")
-    shared = F.filter("bands_a", lambda i: F.get("keys_a", i) == F.get("keys", i))
+    first = F.get(F.array_intersect("buckets_a", "keys"), F.lit(0))
     return (
         pivots.join(members, "bucket")
         .where((F.col("rep_a") < F.col("rep")) & (F.col("label_a") != F.col("label")))
         .where(close & likely(percent))
-        .where(F.array_min(shared) == F.col("band"))
+        .where(first == F.col("bucket"))
         .select(F.col("rep_a").alias("a"), F.col("rep").alias("b"))
     )
 
 
-def _links(own: DataFrame, first: DataFrame, k: int, percent: int) -> DataFrame:
-    """(node, component) of class representatives that are linked with others."""
+def _links(own: DataFrame, first: DataFrame, k: int, percent: int, rows: int) -> DataFrame:
+    """(node, component) of class representatives that are linked with others.
+
+    ``rows`` is the number of their places in buckets.
+    """
     keyed = first.select(
         "rep", F.col("n_shingles").alias("n"), F.col("rep").alias("label"),
         "keys", F.posexplode("keys").alias("band", "bucket"),
     ).distinct()
-    shared = written(_mixed(keyed), "buckets")
+    shared = written(in_tasks(_mixed(keyed), rows), "buckets")
+    rows = shared.count()
     ids = shared.select(F.col("rep").alias("id")).distinct()
     near = maybe_among(own, "doc_id", ids)
     texts = near.join(ids, near["doc_id"] == ids["id"]).select("id", "text")
     sets = written(set_bytes(texts, k), "sets")
     sketches = sets.select(F.col("id").alias("rep"), *SKETCH)
-    left = written(shared.join(sketches, "rep"), "buckets")
+    left = written(in_tasks(shared.join(sketches, "rep"), rows), "buckets")
     release(shared)
     links: DataFrame | None = None
     labels: DataFrame | None = None
     pivots_each = 1
     while True:
         pivots = pivots_of(left, pivots_each)
-        pairs = written(meetings(pivots, left, percent), "pairs")
+        pairs = written(in_tasks(meetings(pivots, left, percent), rows), "pairs")
         found = written(linked(pairs, sets, percent), "links")
         links = found if links is None else links.unionByName(found)
         release(pairs, labels)
@@ -406,13 +422,13 @@ def _links(own: DataFrame, first: DataFrame, k: int, percent: int) -> DataFrame:
                 *SKETCH,
             )
         )
-        after = written(_mixed(rest), "buckets")
+        after = written(in_tasks(_mixed(rest), rows), "buckets")
         release(left)
-        left = after
-        if left.isEmpty():
+        left, rows = after, after.count()
+        if not rows:
             release(left, sets)
             return labels
-        pivots_each *= 16
+        pivots_each *= 64
 
 
 def _mixed(members: DataFrame) -> DataFrame:

@@ -87,6 +87,35 @@ def test_a_pair_meets_once_however_many_buckets_it_shares(spark):
         assert got >= {(a, b) for a in range(each) for b in range(a + 1, 5)}
 
 
+def test_few_rows_take_few_tasks_and_compiled_conditions(spark, monkeypatch):
+    spark = ship_package(spark)
+    cores = spark.sparkContext.defaultParallelism
+    assert minhash.in_tasks(spark.range(0, 90, 1, 50), 90).rdd.getNumPartitions() == min(cores, 50)
+    assert minhash.in_tasks(spark.range(0, 90, 1, 50), 10**9).rdd.getNumPartitions() == 50
+    tasks, plans = [], []
+
+    def noted(df, purpose, plain=minhash.written):
+        if purpose == "pairs":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        if purpose in ("classes", "buckets", "pairs", "links"):
+            tasks.append(df.rdd.getNumPartitions())
+        return plain(df, purpose)
+
+    monkeypatch.setattr(minhash, "written", noted)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", str(3 * cores))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        docs = family(60, seed=9)
+        minhash.near_groups(documents(spark, docs), percent=85, rows=4)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert max(tasks) <= cores
+    assert plans and not any("lambda" in plan for plan in plans)
+
+
 @pytest.mark.parametrize("most", [500_000, 9])
 def test_long_chains_are_one_component(spark, monkeypatch, most):
     monkeypatch.setattr(minhash, "EDGES", most)
