@@ -31,7 +31,7 @@ from skytune.llm.ragged import slices, strings
 
 #: Bytes of text that are encoded at once.
 CHUNK = 1 << 20
-#: Ids of so many words and stretches are kept by a worker before it forgets them.
+#: Of so many words and stretches ids are kept by a worker, and as many of those met before them.
 KEPT = 400_000
 #: A sequence id is the number of the task times this, plus a count inside the task.
 PER_TASK = 1 << 33
@@ -49,7 +49,9 @@ class LibraryIds:
     """Ids that the public library gives, with a memory of stretches it has met.
 
     Pre-tokens of a word-end vocabulary never cross white space, so the library sees each distinct
-    stretch between white space once. Words of Latin-1 characters go straight to its merges.
+    stretch between white space once. Words of Latin-1 characters go straight to its merges. A word
+    has the ids of the stretch that is this word alone, so one memory holds both. When it is full, it
+    becomes the older one; what is met again there is taken over, the rest goes with the next change.
     """
 
     def __init__(self, vocabulary: str) -> None:
@@ -60,35 +62,41 @@ class LibraryIds:
         self.added = [t["content"] for t in json.loads(vocabulary)["added_tokens"]]
         self.symbols = dict(enumerate(byte_symbols()))
         self.known: dict[str, bytes] = {}
-        self.stretches: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return packed(self.library.encode(text, add_special_tokens=False).ids)
 
+    def word(self, word: str) -> bytes:
+        ids = self.known.get(word)
+        if ids is None:
+            ids = self.older.get(word)
+            if ids is None:
+                spelled = word.encode().decode("latin-1").translate(self.symbols)
+                ids = packed([t.id for t in self.merges(spelled)])
+            self.known[word] = ids
+        return ids
+
     def learn(self, stretch: str) -> bytes:
-        if BEYOND_LATIN(stretch):
+        if not stretch.isascii() and BEYOND_LATIN(stretch):
             return self.whole(stretch)
-        found = b""
         lower = stretch.lower()
-        for word in [lower] if lower.isalpha() else WORD_END.findall(lower):
-            ids = self.known.get(word)
-            if ids is None:
-                spelled = word.encode().decode("latin-1").translate(self.symbols)
-                ids = self.known[word] = packed([t.id for t in self.merges(spelled)])
-            found += ids
-        return found
+        if lower.isalpha():
+            return self.word(lower)
+        return b"".join(map(self.word, WORD_END.findall(lower)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
-        for memory in (self.known, self.stretches):
-            if len(memory) > KEPT:
-                memory.clear()
+        if len(self.known) > KEPT:
+            self.known, self.older = {}, self.known
         cut = [
             None if any(name in t for name in self.added) else split(t.lower() if t.isascii() else t)
             for t in texts
         ]
-        known = self.stretches
-        known.update((s, self.learn(s)) for s in set().union(*filter(None, cut)) - known.keys())
+        known, older = self.known, self.older
+        for s in set().union(*filter(None, cut)) - known.keys():
+            ids = older.get(s)
+            known[s] = self.learn(s) if ids is None else ids
         return [
             self.whole(t) if c is None else b"".join(map(known.__getitem__, c))
             for t, c in zip(texts, cut, strict=True)

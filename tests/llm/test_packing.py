@@ -44,6 +44,25 @@ def test_ids_of_the_library(word_library):
     assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == want
 
 
+def test_words_met_again_are_not_forgotten(word_library, monkeypatch):
+    monkeypatch.setattr(packing, "KEPT", 10)
+    encoder = packing.LibraryIds(Path(WORD_VOCABULARY).read_text("utf-8"))
+    asked = Counter()
+    plain = encoder.merges
+
+    def noted(word):
+        asked[word] += 1
+        return plain(word)
+
+    encoder.merges = noted
+    for i in range(9):
+        text = "river Stone bridge, " + " ".join(f"{a}q{'x' * i}" for a in "abcdefgh")
+        want = word_library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == want
+        assert len(encoder.known) + len(encoder.older) < 60
+    assert asked["river"] == asked["stone"] == asked["bridge"] == 1
+
+
 def check_pieces(rows, documents, library, capacity: int) -> None:
     """Every id lies in one piece; sequences are gapless and need no padding."""
     ids_of = defaultdict(list)
