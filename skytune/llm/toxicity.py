@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skytune.llm.ragged import flat, slices, span_hashes, strings, word_bounds
-from skytune.session import release, written
+from skytune.session import release, sent, written
 
 EXAMPLES, EXAMPLE_BYTES, NEIGHBOURS = 20_000, 64 << 20, 25
 #: A vote for the prior weighs as much as a neighbour of cosine 0.38.
@@ -107,7 +107,8 @@ class Index:
 
     ``worth`` is the weight of a term besides its count. Term t is in the entries between ``at[t]``
     and ``at[t + 1]``, with those weights; entry i is the example ``ids[i]``, toxic or not, and its
-    weights are of length one together. What is derived is made once in a worker, in little memory.
+    weights are of length one together. What is derived is made once in a task, in little memory, and
+    goes with it, as an idle worker keeps its broadcasts.
     """
 
     vocabulary: np.ndarray
@@ -153,6 +154,11 @@ class Index:
         top = np.maximum.reduceat(self.weight, first) if len(first) else self.weight
         return np.searchsorted(first, self.at), block[first], top, np.append(first, len(block))
 
+    def forget(self) -> None:
+        """Drop what is derived; it is made again when it is needed."""
+        for name in ("blocks", "head_of", "dense", "pairs"):
+            vars(self).pop(name, None)
+
     def vectors(self, texts: pa.LargeStringArray) -> list[tuple[np.ndarray, np.ndarray]]:
         """Known terms of each text and their weights, of length one together."""
         text, h, count = term_counts(texts)
@@ -427,7 +433,7 @@ def _scored(
     **bounds: int,
 ) -> DataFrame:
     """The columns of ``rows`` as kept0, kept1 and so on, with score and evidence of ``text``."""
-    index = docs.sparkSession.sparkContext.broadcast(learn(docs, labels, train, **bounds))
+    index = sent(docs.sparkSession, learn(docs, labels, train, **bounds))
     kind = pa.list_(
         pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.float64())])
     )
@@ -437,20 +443,23 @@ def _scored(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, tuple[float, list[dict]]] = {}
-        for batch in slices(batches, place, CHUNK):
-            texts = strings(batch.column(place))
-            keys = [hashlib.blake2b(t.as_buffer() or b"", digest_size=16).digest() for t in texts]
-            if len(seen) > KEPT:
-                seen.clear()
-            fresh = {key: i for i, key in enumerate(keys) if key not in seen}
-            found = index.value.score(texts.take(pa.array(list(fresh.values()), pa.int64())), neighbours)
-            seen.update(zip(fresh, found, strict=True))
-            made = [seen[key] for key in keys]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([s for s, _ in made], pa.float64()),
-                 pa.array([e for _, e in made], kind)],
-                names=[*kept, "score", "evidence"],
-            )
+        try:
+            for batch in slices(batches, place, CHUNK):
+                texts = strings(batch.column(place))
+                keys = [hashlib.blake2b(t.as_buffer() or b"", digest_size=16).digest() for t in texts]
+                if len(seen) > KEPT:
+                    seen.clear()
+                fresh = {key: i for i, key in enumerate(keys) if key not in seen}
+                some = texts.take(pa.array(list(fresh.values()), pa.int64()))
+                seen.update(zip(fresh, index.value.score(some, neighbours), strict=True))
+                made = [seen[key] for key in keys]
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array([s for s, _ in made], pa.float64()),
+                     pa.array([e for _, e in made], kind)],
+                    names=[*kept, "score", "evidence"],
+                )
+        finally:
+            index.value.forget()
 
     schema = T.StructType(
         [T.StructField(k, f.dataType) for k, f in zip(kept, rows.schema.fields, strict=True)]

@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 
 from skytune.llm import bpe, pretokens, tokencount
 from skytune.llm.queries import BYTE_VOCABULARY, WORD_VOCABULARY
-from skytune.session import ship_package
+from skytune.session import free_workers, sent, ship_package
 
 TRICKY = "abcABC 's'll  \n\t\r\x0b\x1c\x1f\x85\xa0  　​́eéÉßΣσς漢字ÅÅİ😀👍🏽½²0123<|endoftext|><|startoftext|>!?.,-_\"\x00"
 
@@ -131,3 +131,20 @@ def test_line_dedup_frees_the_workers_first(spark, monkeypatch):
     monkeypatch.setattr(corpus_pipeline, "free_workers", noted)
     docs = documents(ship_package(spark), [(1, "a"), (2, None)])
     assert corpus_pipeline.line_dedup(spark, docs, "").count() == 2 and len(freed) == 1
+
+
+def test_line_dedup_runs_no_python(spark, monkeypatch):
+    import corpus_pipeline
+
+    docs = documents(ship_package(spark), [(1, "a"), (2, None)])
+
+    def refused(*args):
+        raise AssertionError("Python on the executors")
+
+    with monkeypatch.context() as held:
+        held.setattr(type(docs), "mapInArrow", refused)
+        assert corpus_pipeline.line_dedup(spark, docs, "").count() == 2
+    value = sent(spark, [1, 2])
+    free_workers(spark)
+    got = spark.range(2).rdd.map(lambda r: value.value[r.id]).collect()
+    assert got == [1, 2]  # a job that still needs it gets it again
