@@ -5,8 +5,8 @@ document frequency over all documents, times one plus its likelihood ratio if la
 hold it more often than others. Examples become entries of a block-max inverted index: postings by
 term, with the largest weight of each term and block of entries. Terms of many entries are a dense
 matrix, multiplied for some texts at once; with that part known, a text visits its best block, then
-all blocks whose bound reaches its k-th neighbour so far. Neighbours vote with the fourth power of
-their cosine.
+all blocks whose bound reaches its k-th neighbour so far. Where bounds spare few blocks, the next
+texts visit all of them at once. Neighbours vote with the fourth power of their cosine.
 
 ``EXAMPLES`` and ``EXAMPLE_BYTES`` bound the labelled rows that are learned from, and so the index,
 however large the corpus is. Documents are counted in whole, and every one is scored whole.
@@ -27,19 +27,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skytune.llm.ragged import flat, slices, span_hashes, strings, word_bounds
-from skytune.session import release, sent, written
+from skytune.session import give_back, release, sent, written
 
 EXAMPLES, EXAMPLE_BYTES, NEIGHBOURS = 20_000, 64 << 20, 25
 #: A vote for the prior weighs as much as a neighbour of cosine 0.38.
 PRIOR_VOTE = 0.02
 BLOCK = 512
 #: At most so many terms, each in one of 32 entries or more, are kept dense.
-HEADS, HEAD_SHARE = 512, 32
+HEADS, HEAD_SHARE = 256, 32
 #: Texts multiplied with the dense part at once.
-ROWS = 256
+ROWS = 128
+#: Groups that a block is cut into; their best entries tell how near the k-th is at least.
+GROUPS = 8
+#: Bounds cost about as much as a third of the postings. After a text where they spare less than a
+#: third of the blocks, so many texts go without.
+UNBOUND = 31
 #: Cosines come from single precision first; so far below the k-th, entries are looked at again.
 SLACK = 1e-5
 CHUNK = 1 << 20
+#: Examples whose weights are made at once.
+PART = 1000
 #: Scores of so many different texts are kept by a task.
 KEPT = 5_000
 
@@ -79,8 +86,18 @@ def places(h: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """All numbers from each start up to before its end, behind each other."""
-    size = ends - starts
-    return np.repeat(ends - np.cumsum(size), size) + np.arange(size.sum())
+    some = ends > starts
+    starts, ends = starts[some], ends[some]
+    step = np.ones((ends - starts).sum(), np.int64)
+    if len(step):
+        step[0] = starts[0]
+        step[np.cumsum(ends - starts)[:-1]] = starts[1:] - ends[:-1] + 1
+    return np.cumsum(step, out=step)
+
+
+def kth(values: np.ndarray, k: int) -> float:
+    """The k-th largest value, zero if there are fewer."""
+    return float(np.partition(values, -k)[-k]) if len(values) >= k else 0.0
 
 
 def likelihood_ratio(n: np.ndarray, bad: np.ndarray, texts: int, toxic: int) -> np.ndarray:
@@ -175,6 +192,7 @@ class Index:
     ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Of each vector the entries and cosines of its ``k`` nearest examples, falling, and of
         all others just as near. Entries that share no term are never near."""
+        unbound = 0
         for start in range(0, len(queries), ROWS):
             part = queries[start : start + ROWS]
             often = np.zeros((len(part), len(self.dense)), np.float32)
@@ -183,57 +201,85 @@ class Index:
                 often[i, column[column >= 0]] = weight[column >= 0]
             known = often @ self.dense
             for i, (term, weight) in enumerate(part):
-                yield self._nearest(term, weight, known[i], k)
-
-    def _nearest(
+                column = self.head_of[term]
+                rare = column < 0
+                head, heavy = column[~rare], weight[~rare]
+                term, weight = term[rare], weight[rare]
+                if unbound:
+                    unbound -= 1
+                    found = self._visit_all(term, weight, known[i], k)
+                else:
+                    found, spared = self._visit_bounded(term, weight, known[i], k)
+                    unbound = 0 if 3 * spared > self.blocks else UNBOUND
+                yield self._best(*found, head, heavy, k)
+
+    def _visit_all(
         self, term: np.ndarray, weight: np.ndarray, known: np.ndarray, k: int
-    ) -> tuple[np.ndarray, np.ndarray]:
+    ) -> tuple[np.ndarray, ...]:
+        """Entries that may be near, their cosines, and the part of rare terms in them.
+
+        The k-th best of the bests of groups is no better than the k-th of all.
+        """
+        a, b = self.at[term], self.at[term + 1]
+        at = ranges(a, b)
+        rare = np.bincount(self.entry[at], np.repeat(weight, b - a) * self.weight[at], len(known))
+        cosine = known + rare
+        least = kth(cosine.reshape(GROUPS * self.blocks, BLOCK // GROUPS).max(1), k)
+        near = np.flatnonzero(cosine >= max(least - SLACK, 1e-12))
+        return near, cosine[near], rare[near]
+
+    def _visit_bounded(
+        self, term: np.ndarray, weight: np.ndarray, known: np.ndarray, k: int
+    ) -> tuple[tuple[np.ndarray, ...], int]:
+        """The same from blocks whose bounds reach the k-th, and how many blocks that spares."""
         pair_at, pair_block, pair_top, first = self.pairs
-        column = self.head_of[term]
-        head, heavy = column[column >= 0], weight[column >= 0]
-        term, weight = term[column < 0], weight[column < 0]
         size = pair_at[term + 1] - pair_at[term]
         pair = ranges(pair_at[term], pair_at[term + 1])
         factor = np.repeat(weight, size)
-        bound = known.reshape(self.blocks, BLOCK).max(1, initial=0) + np.bincount(
+        blocks = known.reshape(self.blocks, BLOCK)
+        bound = blocks.max(1, initial=0) + np.bincount(
             pair_block[pair], factor * pair_top[pair], self.blocks
         )
-        blocks = known.reshape(self.blocks, BLOCK)
 
-        def visit(these: np.ndarray) -> tuple[np.ndarray, ...]:
-            """Entries of these blocks that may be near, cosines, and the part of rare terms."""
-            if these.all():
-                a, b, own = self.at[term], self.at[term + 1], weight
-            else:
-                some = these[pair_block[pair]]
-                a, b, own = first[pair[some]], first[pair[some] + 1], factor[some]
+        def visit(these: np.ndarray, least: float) -> tuple[np.ndarray, ...]:
+            some = these[pair_block[pair]]
+            a, b = first[pair[some]], first[pair[some] + 1]
             at = ranges(a, b)
             slot = self.entry[at]
-            if not these.all():
-                slot = (np.cumsum(these) - 1)[slot // BLOCK] * BLOCK + slot % BLOCK
+            slot = (np.cumsum(these) - 1)[slot // BLOCK] * BLOCK + slot % BLOCK
             cosine = blocks[these].ravel()
-            shared = np.bincount(slot, np.repeat(own, b - a) * self.weight[at], len(cosine))
-            cosine = cosine + shared
+            rare = np.bincount(slot, np.repeat(factor[some], b - a) * self.weight[at], len(cosine))
+            cosine = cosine + rare
             near = np.flatnonzero(cosine >= max(least - SLACK, 1e-12))
             where = np.flatnonzero(these)[near // BLOCK] * BLOCK + near % BLOCK
-            return where, cosine[near], shared[near]
-
-        def kth(cosine: np.ndarray) -> float:
-            return float(np.partition(cosine, -k)[-k]) if len(cosine) >= k else 0.0
-
-        near, cosine, rare, least = np.zeros(0, np.int64), np.zeros(0), np.zeros(0), 0.0
-        if self.blocks:
-            best = np.zeros(self.blocks, bool)
-            best[bound.argmax()] = True
-            near, cosine, rare = visit(best)
-            least = kth(cosine)
-            rest = (bound > 0) & (bound >= least - SLACK) & ~best
-            if 2 * rest.sum() >= self.blocks:  # all of them at once cost less
-                near, cosine, rare = visit(np.ones(self.blocks, bool))
-            elif rest.any():
-                both = zip((near, cosine, rare), visit(rest), strict=True)
-                near, cosine, rare = (np.concatenate(x) for x in both)
-            least = kth(cosine)
+            return where, cosine[near], rare[near]
+
+        if not self.blocks:
+            return (np.zeros(0, np.int64), np.zeros(0), np.zeros(0)), 0
+        best = np.zeros(self.blocks, bool)
+        best[bound.argmax()] = True
+        found = visit(best, 0.0)
+        least = kth(found[1], k)
+        rest = (bound > 0) & (bound >= least - SLACK) & ~best
+        spared = self.blocks - 1 - int(rest.sum())
+        if 2 * rest.sum() >= self.blocks:  # all of them at once cost less
+            found = self._visit_all(term, weight, known, k)
+        elif rest.any():
+            both = zip(found, visit(rest, least), strict=True)
+            found = tuple(np.concatenate(x) for x in both)
+        return found, spared
+
+    def _best(
+        self,
+        near: np.ndarray,
+        cosine: np.ndarray,
+        rare: np.ndarray,
+        head: np.ndarray,
+        heavy: np.ndarray,
+        k: int,
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Of entries that may be near those that are, and their cosines in double precision."""
+        least = kth(cosine, k)
         own = cosine >= least - SLACK
         near, rare = near[own], rare[own]
         exact = rare + (self.dense[head[:, None], near].astype(float) * heavy[:, None]).sum(0)
@@ -272,14 +318,16 @@ def build_index(
     size = np.diff(at)
     owner = np.repeat(np.arange(len(ids), dtype=np.int32), size)
     n = np.bincount(term, minlength=len(vocabulary))
-    bad = np.bincount(term, toxic[owner], len(vocabulary))
+    bad = np.bincount(term[toxic[owner] == 1], minlength=len(vocabulary))
     idf = np.log((1 + documents) / (1 + df)) + 1
     worth = idf * (1 + likelihood_ratio(n, bad, len(ids), int(toxic.sum())))
     plain = size == 0
     prior = (toxic[plain].sum() + toxic.sum() / max(len(ids), 1)) / (plain.sum() + 1)
     weight = (1 + np.log(count, dtype=np.float32)) * worth.astype(np.float32)[term]
-    long = np.sqrt(np.bincount(owner, np.square(weight), len(ids))).astype(np.float32)
-    weight /= long[owner]
+    for first in range(0, len(ids), PART):
+        own = slice(at[first], at[min(first + PART, len(ids))])
+        each = owner[own] - first
+        weight[own] /= np.sqrt(np.bincount(each, np.square(weight[own]))).astype(np.float32)[each]
     # Entries with the same weightiest term lie together, so that whole blocks are unlike a text.
     lead = np.full(len(ids), len(vocabulary))
     if len(weight):
@@ -292,10 +340,18 @@ def build_index(
     rank = np.full(len(ids), -1, np.int32)
     rank[kept] = np.arange(len(kept), dtype=np.int32)
     entry = rank[owner]
-    order = np.lexsort((entry, term))
+    del owner
+    ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+    placed, heavy = np.empty_like(entry), np.empty_like(weight)
+    share = len(term) // 8 + 1  # sorted by parts, which takes an eighth of the memory
+    cuts = np.unique(np.append(np.searchsorted(ends, np.arange(0, len(term), share)), len(n)))
+    for lo, hi in zip(cuts, cuts[1:], strict=False):
+        some = np.flatnonzero((term >= lo) & (term < hi))
+        some = some[np.lexsort((entry[some], term[some]))]
+        own = slice(ends[lo], ends[hi])
+        placed[own], heavy[own] = entry[some], weight[some]
     return Index(
-        vocabulary, worth, np.concatenate([[0], np.cumsum(n)]).astype(np.int32), entry[order],
-        weight[order], ids[kept], toxic[kept].astype(float), float(prior),
+        vocabulary, worth, ends, placed, heavy, ids[kept], toxic[kept].astype(float), float(prior)
     )
 
 
@@ -386,14 +442,18 @@ def learn(
         run, "doc_id long, toxic int, terms array<long>, counts array<int>"
     ).toArrow()  # words of bounded texts
     release(shown)
-    ids, toxic = (rows.column(i).to_numpy() for i in range(2))
+    ids, toxic = (rows.column(i).to_numpy().copy() for i in range(2))
     size = pc.list_value_length(rows.column(2)).to_numpy()
-    terms = pc.list_flatten(rows.column(2)).to_numpy().view(np.uint64)
-    count = pc.list_flatten(rows.column(3)).to_numpy()
-    del rows
-    vocabulary = np.unique(terms)
-    term = np.searchsorted(vocabulary, terms).astype(np.int32)
-    del terms
+    hashes = [part.flatten().to_numpy().view(np.uint64) for part in rows.column(2).chunks]
+    vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint64), *map(np.unique, hashes)]))
+    term, count = np.empty(int(size.sum()), np.int32), np.empty(int(size.sum()), np.int32)
+    cut = 0
+    for part, n in zip(hashes, rows.column(3).chunks, strict=True):
+        term[cut : cut + len(part)] = np.searchsorted(vocabulary, part)
+        count[cut : cut + len(part)] = n.flatten().to_numpy()
+        cut += len(part)
+    rows = hashes = part = n = None
+    give_back()
     at = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
     total, df = document_counts(docs, vocabulary) if len(ids) else (0, np.zeros(0, np.int64))
     return build_index(ids, toxic, at, term, count, vocabulary, total, df)
@@ -434,6 +494,7 @@ def _scored(
 ) -> DataFrame:
     """The columns of ``rows`` as kept0, kept1 and so on, with score and evidence of ``text``."""
     index = sent(docs.sparkSession, learn(docs, labels, train, **bounds))
+    give_back()
     kind = pa.list_(
         pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.float64())])
     )
@@ -460,6 +521,7 @@ def _scored(
                 )
         finally:
             index.value.forget()
+            give_back()
 
     schema = T.StructType(
         [T.StructField(k, f.dataType) for k, f in zip(kept, rows.schema.fields, strict=True)]

@@ -173,6 +173,48 @@ def test_nearest_equals_all_cosines(spark, monkeypatch, heads):
         assert all(every[i] > max(0, least - 1e-6) and abs(every[i] - c) < 1e-6 for i, c in got.items())
 
 
+def made_index(texts: int, words: int, each: int, seed: int = 5) -> toxicity.Index:
+    """An index of texts of ``each`` different words of ``words``, built without Spark."""
+    rnd = np.random.default_rng(seed)
+    term = np.sort(rnd.random((texts, words)).argpartition(each)[:, :each], axis=1).ravel().astype(np.int32)
+    vocabulary, term = np.unique(term, return_inverse=True)
+    return toxicity.build_index(
+        np.arange(texts), rnd.integers(0, 2, texts).astype(np.int32), np.arange(0, texts * each + 1, each),
+        term.astype(np.int32), rnd.integers(1, 9, len(term)).astype(np.int32),
+        vocabulary.astype(np.uint64), texts, np.bincount(term),
+    )
+
+
+def test_texts_go_without_bounds_that_spare_nothing(monkeypatch):
+    monkeypatch.setattr(toxicity, "HEADS", 4)
+    monkeypatch.setattr(toxicity, "BLOCK", 16)
+    index = made_index(500, 60, 20)
+    rnd = np.random.default_rng(6)
+    queries = [(np.sort(rnd.choice(60, 20, False)), np.full(20, 20**-0.5)) for _ in range(64)]
+    bounded = []
+    plain = toxicity.Index._visit_bounded
+    monkeypatch.setattr(toxicity.Index, "_visit_bounded", lambda *a: bounded.append(1) or plain(*a))
+    found = list(index.nearest(queries, 25))
+    assert len(bounded) == 2  # one text of 32
+    monkeypatch.setattr(toxicity, "UNBOUND", 0)
+    for (a, x), (b, y) in zip(found, index.nearest(queries, 25), strict=True):
+        assert a.tolist() == b.tolist() and np.allclose(x, y, rtol=0, atol=1e-12)
+    assert len(bounded) == 2 + 64
+
+
+def test_index_is_built_in_bounded_memory():
+    plain, sorted_at_once = np.lexsort, []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(np, "lexsort", lambda keys: sorted_at_once.append(len(keys[0])) or plain(keys))
+        index = made_index(2000, 500, 100)
+    assert len(index.entry) == 200_000
+    assert max(sorted_at_once) <= 40_000  # postings are sorted by parts, not all at once
+    for t in range(len(index.vocabulary)):
+        assert (np.diff(index.entry[index.at[t] : index.at[t + 1]]) > 0).all()
+    sizes = np.bincount(index.entry, index.weight.astype(float) ** 2)
+    assert np.allclose(sizes, 1, atol=1e-5)
+
+
 def test_learned_texts_are_bounded_in_bytes(spark):
     docs, labels = toxic_rows(300)
     frame = documents(ship_package(spark), docs)
