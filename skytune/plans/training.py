@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 from operator import or_
 
@@ -18,6 +18,9 @@ from skytune.operators.splitting import split
 
 TREES = 200
 SEED = 42
+#: Sums of the nodes that grow in one pass over the rows. A row adds to a place of every feature in
+#: every tree, so sums far beyond a processor's cache make each addition a read from memory.
+SUMS_MB = 6
 
 
 def with_combined_target(mart: DataFrame, name: str = "combined_mood") -> DataFrame:
@@ -60,6 +63,7 @@ class Trained:
     target: str
     test: DataFrame
     lacking: int = 0
+    used: list[str] = field(default_factory=list)
 
     def predictions(self) -> DataFrame:
         """Actual against predicted, on the held-out rows."""
@@ -68,8 +72,9 @@ class Trained:
 
     def importances(self) -> DataFrame:
         """One row per feature, most important first (as many rows as columns)."""
-        weights = self.model.stages[-1].featureImportances.toArray()
-        rows = [(n, float(w)) for n, w in zip(self.features, weights)]
+        weights = self.model.stages[-1].featureImportances.toArray().tolist()
+        known = dict(zip(self.used or self.features, weights, strict=True))
+        rows = [(n, known.get(n, 0.0)) for n in self.features]
         frame = self.test.sparkSession.createDataFrame(rows, "feature string, importance double")
         return frame.orderBy(F.desc("importance"), "feature")
 
@@ -101,6 +106,39 @@ def completed(df: DataFrame, columns: Sequence[str], missing: str) -> tuple[Data
     return (df.where(~absent) if lacking else df), lacking
 
 
+def splitting_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """The columns that a tree can split by: not constant, no copy of an earlier one in every row.
+
+    Of equal gains a tree takes the first column, so the others never occur in it: leaving them out
+    gives the same trees. Columns without any value stay. If no column is left, it is the first one.
+    """
+    value = {c: F.col(f"`{c}`").cast("double") for c in columns}
+    kinds = {"least": F.min, "most": F.max, "total": F.sum}
+    facts = df.agg(
+        *(f(value[c]).alias(f"{k}{i}") for i, c in enumerate(columns) for k, f in kinds.items())
+    ).first()
+    alike: dict[tuple, list[str]] = {}
+    for i, c in enumerate(columns):
+        least, most, total = (facts[f"{k}{i}"] for k in kinds)
+        if least is None or least != most:
+            alike.setdefault((least, most, total), []).append(c)
+    pairs = [
+        (a, b)
+        for (least, *_), same in alike.items()
+        if least is not None
+        for i, b in enumerate(same)
+        for a in same[:i]
+    ]
+    copies: set[str] = set()
+    if pairs:
+        equal = df.agg(
+            *(F.bool_and(value[a].eqNullSafe(value[b])).alias(str(i)) for i, (a, b) in enumerate(pairs))
+        ).first()
+        copies = {b for i, (_, b) in enumerate(pairs) if equal[str(i)]}
+    kept = {c for same in alike.values() for c in same} - copies
+    return [c for c in columns if c in kept] or list(columns[:1])
+
+
 def train_mood(
     df: DataFrame,
     target: str,
@@ -119,27 +157,29 @@ def train_mood(
     the result has their number. Bagging follows partitions, so rows go to a fixed number of them
     by their key and are sorted there: the fit is the same on any cluster.
     ``depth`` has to be stated: the library the results are compared with grows trees
-    without a bound, Spark stops at 30.
+    without a bound, Spark stops at 30. Features that no tree can split by are not given to the
+    forest (see ``splitting_columns``) and have no importance.
     """
     timed = with_hour(df, stamp)
     features = feature_names(timed, target, [*exclude, *row_key])
     complete, lacking = completed(timed, [*features, target], missing)
     train, test = split(complete, row_key)
+    used = splitting_columns(train, features)
     steps = [
-        VectorAssembler(inputCols=features, outputCol="features"),
+        VectorAssembler(inputCols=used, outputCol="features"),
         RandomForestRegressor(
             featuresCol="features",
             labelCol=target,
             numTrees=trees,
             maxDepth=depth,
             featureSubsetStrategy="all",
-            maxMemoryInMB=1024,
+            maxMemoryInMB=SUMS_MB,
             seed=seed,
         ),
     ]
     dealt = train.repartition(partitions, *row_key).sortWithinPartitions(*row_key)
-    model = Pipeline(stages=steps).fit(dealt.select(*features, target))
-    return Trained(model, features, target, test, lacking)
+    model = Pipeline(stages=steps).fit(dealt.select(*used, target))
+    return Trained(model, features, target, test, lacking, used)
 
 
 def regression_metrics(predictions: DataFrame) -> DataFrame:

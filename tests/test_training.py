@@ -46,6 +46,41 @@ def test_forest_learns_and_survives_saving(spark, data, tmp_path):
     assert again.select("id", "prediction").exceptAll(before.select("id", "prediction")).isEmpty()
 
 
+def test_columns_that_no_tree_can_split_by_are_left_out(data, monkeypatch):
+    wide = data.withColumns(
+        {
+            "again": F.col("x"),
+            "same": F.lit(7),
+            "turned": F.lit(9.9) - F.col("x"),
+            "clock": F.hour("at"),
+        }
+    )
+    names = ["x", "noise", "again", "same", "turned", "clock", "hour"]
+    timed = training.with_hour(wide, "at")
+    assert training.splitting_columns(timed, names) == ["x", "noise", "turned", "clock"]
+    # nothing to split by, no row, no value at all
+    assert training.splitting_columns(timed, ["same"]) == ["same"]
+    assert training.splitting_columns(timed.where("false"), names) == names
+    void = timed.withColumn("void", F.lit(None).cast("double"))
+    assert training.splitting_columns(void, ["same", "void"]) == ["void"]
+
+    def fit():
+        return training.train_mood(wide, "y", "at", ["id"], "drop", trees=20, depth=5)
+
+    def shown(trained):
+        scored = trained.model.transform(trained.test).select("id", "prediction")
+        return sorted(scored.collect()), dict(trained.importances().collect())
+
+    few = fit()
+    assert few.used == ["x", "noise", "turned", "clock"]
+    monkeypatch.setattr(training, "splitting_columns", lambda df, columns: list(columns))
+    monkeypatch.setattr(training, "SUMS_MB", 1024)
+    every = fit()
+    assert every.used == every.features == few.features
+    (scores, weights), (all_scores, all_weights) = shown(few), shown(every)
+    assert scores == all_scores and weights == pytest.approx(all_weights, rel=1e-9)
+
+
 def test_metrics_and_bins(rows):
     df = rows("actual double, prediction double", (1.0, 2.0), (3.0, 3.0), (-0.5, 0.5))
     got = training.regression_metrics(df).first()
