@@ -14,12 +14,12 @@ full length fill shorter ones, each a power of two long, so no sequence needs pa
 from __future__ import annotations
 
 import json
-import re
 import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,8 +36,8 @@ KEPT = 400_000
 #: A sequence id is the number of the task times this, plus a count inside the task.
 PER_TASK = 1 << 33
 
-#: Other characters have composed forms and classes that the library settles.
-BEYOND_LATIN = re.compile(r"[^\x00-\xff]").search
+#: Pre-tokens, and what stands between stretches.
+WORD_OR_BREAK = regex.compile(WORD_END.pattern + r"|\n")
 
 SCHEMA = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, "
@@ -72,37 +72,61 @@ class LibraryIds:
         if ids is None:
             ids = self.older.get(word)
             if ids is None:
-                spelled = word.encode().decode("latin-1").translate(self.symbols)
+                plain = word.isascii() and word.isprintable()  # such bytes are their own symbols
+                spelled = word if plain else word.encode().decode("latin-1").translate(self.symbols)
                 ids = packed([t.id for t in self.merges(spelled)])
             self.known[word] = ids
         return ids
 
-    def learn(self, stretch: str) -> bytes:
-        if not stretch.isascii() and BEYOND_LATIN(stretch):
-            return self.whole(stretch)
-        lower = stretch.lower()
-        if lower.isalpha():
-            return self.word(lower)
-        return b"".join(map(self.word, WORD_END.findall(lower)))
+    def learn(self, stretches: list[str]) -> None:
+        """Remember the ids of new stretches; words of all of them are found at once."""
+        text = "\n".join(stretches)
+        if not latin(text):
+            for s in stretches:
+                if not latin(s):
+                    self.known[s] = self.whole(s)
+            stretches = [s for s in stretches if latin(s)]
+            text = "\n".join(stretches)
+        if not stretches:
+            return
+        words = WORD_OR_BREAK.findall(text.lower() + "\n")
+        ids_of = {w: self.word(w) for w in set(words) - {"\n"}} | {"\n": b""}
+        found = [ids_of[w] for w in words]
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        ends = np.cumsum(size)[size == 0].tolist()
+        ids = b"".join(found)
+        cuts = zip([0, *ends], ends, strict=False)
+        self.known.update(zip(stretches, [ids[a:b] for a, b in cuts], strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
         if len(self.known) > KEPT:
             self.known, self.older = {}, self.known
         cut = [
-            None if any(name in t for name in self.added) else split(t.lower() if t.isascii() else t)
+            None if any(name in t for name in self.added) else split(t.lower() if latin(t) else t)
             for t in texts
         ]
         known, older = self.known, self.older
-        for s in set().union(*filter(None, cut)) - known.keys():
-            ids = older.get(s)
-            known[s] = self.learn(s) if ids is None else ids
+        fresh = set().union(*filter(None, cut)).difference(known)  # ``-`` would visit all of the memory
+        again = {s: older[s] for s in fresh if s in older}
+        known.update(again)
+        self.learn(list(fresh.difference(again)))
         return [
             self.whole(t) if c is None else b"".join(map(known.__getitem__, c))
             for t, c in zip(texts, cut, strict=True)
         ]
 
 
+def latin(text: str) -> bool:
+    """Whether all characters are Latin-1; others have composed forms and classes that the library
+    settles."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 def packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 

@@ -63,6 +63,20 @@ def test_words_met_again_are_not_forgotten(word_library, monkeypatch):
     assert asked["river"] == asked["stone"] == asked["bridge"] == 1
 
 
+def test_stretches_are_learned_at_once_and_in_lower_case(word_library):
+    encoder = packing.LibraryIds(Path(WORD_VOCABULARY).read_text("utf-8"))
+    texts = [
+        "Ärger ärger ÄRGER, it's\x85IT'S\x1fx9 x9,ª µ\x00\x7f 's' <|ENDOFTEXT|>",
+        "Ärger Ωmega ωΣ, e\u0301Ä ÄRGER,",
+        "", " \n", "ÿ <|endoftext|> ÿ",
+    ]
+    want = [e.ids for e in word_library.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts[:1])] == want[:1]
+    assert "ärger" in encoder.known and not {"Ärger", "ÄRGER", "ÄRGER,"} & encoder.known.keys()
+    # a second batch of known and new stretches, some of which the library settles
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == want
+
+
 def check_pieces(rows, documents, library, capacity: int) -> None:
     """Every id lies in one piece; sequences are gapless and need no padding."""
     ids_of = defaultdict(list)
