@@ -65,10 +65,11 @@ def term_counts(texts: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray, np.
     data, at = flat(strings(pc.utf8_lower(texts)))
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     starts, ends = word_bounds(padded, at, NO_LETTER)
-    text = np.searchsorted(at, starts, "right") - 1
     h = span_hashes(padded, starts, ends)
-    order = np.lexsort((h, text))
-    h, text = h[order], text[order]
+    cuts = np.searchsorted(starts, at)
+    text = np.repeat(np.arange(len(texts)), np.diff(cuts))
+    for a, b in zip(cuts.tolist(), cuts[1:].tolist(), strict=False):  # many short sorts cost least
+        h[a:b].sort()
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
     first = np.flatnonzero(new)
@@ -86,13 +87,10 @@ def places(h: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """All numbers from each start up to before its end, behind each other."""
-    some = ends > starts
-    starts, ends = starts[some], ends[some]
-    step = np.ones((ends - starts).sum(), np.int64)
-    if len(step):
-        step[0] = starts[0]
-        step[np.cumsum(ends - starts)[:-1]] = starts[1:] - ends[:-1] + 1
-    return np.cumsum(step, out=step)
+    size = np.maximum(ends - starts, 0)
+    out = np.repeat(starts - (np.cumsum(size) - size), size)
+    out += np.arange(len(out))
+    return out
 
 
 def kth(values: np.ndarray, k: int) -> float:
@@ -222,7 +220,9 @@ class Index:
         """
         a, b = self.at[term], self.at[term + 1]
         at = ranges(a, b)
-        rare = np.bincount(self.entry[at], np.repeat(weight, b - a) * self.weight[at], len(known))
+        share = np.repeat(weight, b - a)
+        share *= self.weight.take(at)
+        rare = np.bincount(self.entry.take(at), share, len(known))
         cosine = known + rare
         least = kth(cosine.reshape(GROUPS * self.blocks, BLOCK // GROUPS).max(1), k)
         near = np.flatnonzero(cosine >= max(least - SLACK, 1e-12))
@@ -397,7 +397,7 @@ def document_counts(docs: DataFrame, vocabulary: np.ndarray) -> tuple[int, np.nd
         for batch in slices(batches, 0, CHUNK):
             rows += batch.num_rows
             _, h, _ = term_counts(strings(batch.column(0)))
-            found += np.bincount(places(h, known)[1], minlength=len(known))
+            found += np.bincount(places(np.sort(h), known)[1], minlength=len(known))  # near lookups
         held = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(held, -1)), pa.array(np.append(found[held], rows))],

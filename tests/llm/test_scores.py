@@ -563,3 +563,23 @@ def test_run_chains_the_stages(spark, monkeypatch):
     monkeypatch.setattr(corpus_pipeline, "STAGES", halves)
     rows = corpus_pipeline.run(spark, TABLES).collect()
     assert {r.doc_id for r in rows} == {i for i in range(200) if i % 2 and i % 3}
+
+
+def test_words_are_counted_without_one_sort_of_all_texts(monkeypatch):
+    texts = ["", "b a B", "", "Ünter a a", "a", "", "x1y x-x ."]
+    want = []
+    for i, t in enumerate(texts):
+        words = re.findall(r"[a-z\x80-\U0010ffff]+", t.lower())
+        data = [np.frombuffer(w.encode() + bytes(8), np.uint8) for w in words]
+        hashes = [
+            int(toxicity.span_hashes(d, np.array([0]), np.array([len(d) - 8]))[0]) for d in data
+        ]
+        want += [(i, h, n) for h, n in sorted(Counter(hashes).items())]
+    monkeypatch.delattr(np, "lexsort")
+    found = toxicity.term_counts(pa.array(texts, pa.large_string()))
+    assert list(zip(*(x.tolist() for x in found), strict=True)) == want
+    text, h, count = toxicity.term_counts(pa.array(["", " "], pa.large_string()))
+    assert len(text) == len(h) == len(count) == 0
+    starts, ends = np.array([5, 3, 9, 0]), np.array([7, 3, 4, 2])
+    assert toxicity.ranges(starts, ends).tolist() == [5, 6, 0, 1]
+    assert toxicity.ranges(starts[:0], ends[:0]).tolist() == []
