@@ -7,13 +7,14 @@ from dataclasses import dataclass, field
 from functools import reduce
 from operator import or_
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from skytune.operators.forest import fit_forest
 from skytune.operators.splitting import split
 
 TREES = 200
@@ -29,6 +30,12 @@ def with_combined_target(mart: DataFrame, name: str = "combined_mood") -> DataFr
     return mart.withColumn(name, (F.col("song_mood") + F.col("weather_mood")) / 2)
 
 
+def training_columns(df: DataFrame, stamp: str, row_key: Sequence[str]) -> DataFrame:
+    """What training reads of a frame: its numbers, the time and the row key."""
+    wanted = {*numeric_columns(df), stamp, *row_key}
+    return df.select(*(F.col(f"`{c}`") for c in df.columns if c in wanted))
+
+
 def with_hour(df: DataFrame, stamp: str) -> DataFrame:
     parsed = df.withColumn(stamp, F.to_timestamp(F.col(f"`{stamp}`")))
     return parsed.withColumn("hour", F.hour(F.col(f"`{stamp}`")))
@@ -165,20 +172,18 @@ def train_mood(
     complete, lacking = completed(timed, [*features, target], missing)
     train, test = split(complete, row_key)
     used = splitting_columns(train, features)
-    steps = [
-        VectorAssembler(inputCols=used, outputCol="features"),
-        RandomForestRegressor(
-            featuresCol="features",
-            labelCol=target,
-            numTrees=trees,
-            maxDepth=depth,
-            featureSubsetStrategy="all",
-            maxMemoryInMB=SUMS_MB,
-            seed=seed,
-        ),
-    ]
+    learner = RandomForestRegressor(
+        featuresCol="features",
+        labelCol=target,
+        numTrees=trees,
+        maxDepth=depth,
+        featureSubsetStrategy="all",
+        maxMemoryInMB=SUMS_MB,
+        seed=seed,
+    )
     dealt = train.repartition(partitions, *row_key).sortWithinPartitions(*row_key)
-    model = Pipeline(stages=steps).fit(dealt.select(*used, target))
+    forest = fit_forest(dealt.select(*used, target), used, learner, train.count())
+    model = PipelineModel([VectorAssembler(inputCols=used, outputCol="features"), forest])
     return Trained(model, features, target, test, lacking, used)
 
 

@@ -732,9 +732,11 @@ def residual_bins(f: Frames) -> DataFrame:
 
 
 def _combined_model(f: Frames) -> training.Trained:
-    # Trees read their input many times, so it is written once.
-    mart = written(training.with_combined_target(f.mart()), "training-mart")
-    return training.train_mood(mart, "combined_mood", "Event_Start_Timestamp", ["event_id"], "drop")
+    # Training reads its input many times, so it is written once.
+    mart = training.with_combined_target(f.mart())
+    stamp, key = "Event_Start_Timestamp", ["event_id"]
+    needed = written(training.training_columns(mart, stamp, key), "training-mart")
+    return training.train_mood(needed, "combined_mood", stamp, key, "drop")
 
 
 @query
