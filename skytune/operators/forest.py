@@ -4,8 +4,9 @@ The trees are those of Spark's ``RandomForestRegressor`` (all features in every
 variance): the same thresholds to choose from, its own draws, sums added in the same order. Spark
 keeps a row with its 200 draws as a kilobyte of objects, which large inputs read back from disk in
 each of a hundred passes. Here a row takes a byte per feature and per draw, and a level is one pass:
-a task sums a few trees over all rows in arrays that stay near the processor, picks their splits,
-and returns no more than those.
+a task sums a few trees over all rows in arrays that stay near the processor and picks their splits.
+Of two sides of a split only the one with fewer rows is summed, the other is what it leaves of the
+whole, so sums may differ from Spark's in their last digits.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ from skytune.session import delete, release, setting, shared_folder, ship_packag
 BINS = 32
 #: As many rows fit in memory as Spark keeps them, and its own fit has less to start.
 FEW_ROWS = 100_000
-#: Deeper trees have too many places for the arrays of nodes.
-DEEPEST = 12
+#: A task keeps sums of a level's nodes, which double with the depth.
+DEEPEST = 8
 #: Rows whose values make one row of a file.
 BLOCK = 256
 #: Rows that a task sums at once.
@@ -179,20 +180,25 @@ def _packed(
 class Forest:
     """What is known of the trees, nodes numbered from the root through the levels.
 
-    ``feature`` is -1 where a node has no split (yet), ``slot`` the place of a node among those
-    of its tree that grow now, or -1. ``parent`` and ``impurity`` are of the nodes that grow, by slot.
+    ``feature`` is -1 where a node has no split (yet). Nodes that grow now have a place in their
+    tree: first those that rows are added to, which ``slot`` has (-1 for others), ``summed`` of them;
+    then those of ``rest``, with the place of their sibling and that of their parent a level before.
+    ``parent`` and ``impurity`` are by place, what the parent's split told of a node.
     """
 
     feature: np.ndarray
     split: np.ndarray
     slot: np.ndarray
+    summed: list[int]
+    rest: list[np.ndarray]
     impurity: list[np.ndarray]
     parent: list[np.ndarray]
     level: int
+    last: bool
 
 
 def _nodes(forest: Forest, tree: int, bins: np.ndarray, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The rows of ``hit`` that are in a growing node, and its slot."""
+    """The rows of ``hit`` that are in a node to sum, and its slot."""
     flat, start = bins.ravel(), hit * bins.shape[1]
     feature, split = forest.feature[tree], forest.split[tree]
     node = np.zeros(len(hit), np.int64)
@@ -290,13 +296,16 @@ def best_splits(
     return feature, at, gain[feature, n, at], impurity, parent, *sides
 
 
-SPLIT_COLUMNS = ("tree", "slot", "feature", "split")
-SPLIT_NUMBERS = (
-    "gain", "impurity", *(f"{k}_{s}" for k in ("node", "left", "right") for s in ("n", "sum", "squares"))
-)
-SPLIT_SCHEMA = ", ".join(
-    [*(f"{c} bigint" for c in SPLIT_COLUMNS), *(f"{c} double" for c in SPLIT_NUMBERS)]
-)
+#: A tree of a level: what was found by place, and its sums for the next level.
+LEVEL_SCHEMA = "group int, tree int, found binary, sums binary"
+
+
+def _whole(summed: np.ndarray, rest: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """Sums of all places: the rest is what siblings leave of the parents."""
+    sibling, parent = rest.T
+    left = before[:, :, parent] - summed[:, :, sibling]
+    left[:, 1:] = np.where(left[:, :1] > 0, left[:, 1:], 0.0)  # no row, no remainder
+    return np.concatenate([summed, left], axis=2)
 
 
 def _grown(
@@ -309,42 +318,50 @@ def _grown(
         forest: Forest = shared.value
         # Sums are kept by part and added in the order of the parts, as their rows come in any.
         parts: dict[int, dict[int, Sums]] = {}
-        trees: Sequence[int] = ()
+        before: dict[int, np.ndarray] = {}
+        group, trees = 0, range(0)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            trees = groups[batch.column("group")[0].as_py()]
+            group = batch.column("group")[0].as_py()
+            trees = groups[group]
             part = batch.column("part").to_numpy()
             starts = [0, *(np.flatnonzero(np.diff(part)) + 1), len(part)]
             for start, end in zip(starts, starts[1:], strict=False):
-                run = batch.slice(start, end - start)
-                sums = parts.setdefault(int(part[start]), {})
+                run, p = batch.slice(start, end - start), int(part[start])
+                if p < 0:  # sums of a tree
+                    values = np.frombuffer(_bytes(run.column("bins")).tobytes())
+                    before[-1 - p] = values.reshape(len(used), 3, -1, BINS)
+                    continue
+                sums = parts.setdefault(p, {})
                 if not sums:
-                    for t in trees:
-                        sums[t] = Sums(len(used), len(forest.impurity[t]))
+                    sums.update((t, Sums(len(used), forest.summed[t])) for t in trees)
                 bins = _bytes(run.column("bins")).reshape(-1, width)
-                label = np.frombuffer(_bytes(run.column("label")).tobytes(), np.float64)
+                label = np.frombuffer(_bytes(run.column("label")).tobytes())
                 draws = _bytes(run.column("draws")).reshape(-1, len(trees))
                 for i in range(0, len(label), CHUNK):
                     rows = slice(i, i + CHUNK)
                     _add(sums, forest, trees, used, bins[rows], label[rows], draws[rows])
         for t in trees:
-            nodes = len(forest.impurity[t])
-            if not nodes:
+            if not forest.summed[t]:
                 continue
-            total = reduce(iadd, (parts[p].pop(t) for p in sorted(parts)))
+            total = reduce(iadd, (parts[p].pop(t) for p in sorted(parts))).array()
+            if len(forest.rest[t]):
+                total = _whole(total, forest.rest[t], before.pop(t))
             root = forest.level == 0
             feature, at, gain, impurity, *sides = best_splits(
-                total.array(),
+                total,
                 splits[used],
                 None if root else forest.impurity[t],
                 None if root else forest.parent[t],
             )
-            whole = [np.full(nodes, t), np.arange(nodes), used[feature], at]
-            numbers = [gain, impurity, *(np.ascontiguousarray(c) for side in sides for c in side.T)]
+            found = np.column_stack([used[feature], at, gain, impurity, *sides])
+            kept = b"" if forest.last else total.tobytes()
+            columns = [[group], [t], [found.tobytes()], [kept]]
+            types = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(c, pa.int64()) for c in whole), *(pa.array(c, pa.float64()) for c in numbers)],
-                [*SPLIT_COLUMNS, *SPLIT_NUMBERS],
+                [pa.array(c, kind) for c, kind in zip(columns, types, strict=True)],
+                ["group", "tree", "found", "sums"],
             )
 
     return grow
@@ -367,48 +384,82 @@ class Node:
         return total / count if count else 0.0
 
 
+def _scans(packed: DataFrame, before: DataFrame | None, groups: int) -> DataFrame:
+    """One partition per group of trees: their sums of the level before, if any, and all rows."""
+
+    def scan(k: int) -> DataFrame:
+        draws = F.col(f"draws{k}").alias("draws")
+        rows = packed.select(F.lit(k).alias("group"), "part", "bins", "label", draws)
+        if before is not None:
+            none = F.lit(b"")
+            tree = (-1 - F.col("tree")).alias("part")
+            sums = before.where(F.col("group") == k).select("group", tree, "sums", none, none)
+            rows = sums.union(rows).toDF(*rows.columns)
+        return rows.coalesce(1)
+
+    return reduce(DataFrame.union, map(scan, range(groups)))
+
+
 def _grow_levels(
-    spark: SparkSession, scans: DataFrame, groups: Sequence[range], edges: Sequence[np.ndarray], depth: int
+    packed: DataFrame, groups: Sequence[range], edges: Sequence[np.ndarray], depth: int
 ) -> list[dict[int, Node]]:
     """Per tree its nodes by their number."""
+    spark = packed.sparkSession
     trees, splits = groups[-1].stop, np.array([len(e) for e in edges])
     known: list[dict[int, Node]] = [{} for _ in range(trees)]
-    growing = [[0] for _ in range(trees)]
+    summed = [[0] for _ in range(trees)]
+    rest: list[list[tuple[int, int, int]]] = [[] for _ in range(trees)]
     size = 2 ** (depth + 1) - 1
     feature, split = np.full((trees, size), -1, np.int64), np.zeros((trees, size), np.int64)
+    before = None
     for level in range(max(depth, 1)):
-        if not any(growing):
+        if not any(summed):
             break
         slot = np.full((trees, size), NOWHERE, np.int64)
-        for t, nodes in enumerate(growing):
-            slot[t, nodes] = np.arange(len(nodes))
-        of = [[known[t][n] for n in nodes] if level else [] for t, nodes in enumerate(growing)]
+        for t, numbers in enumerate(summed):
+            slot[t, numbers] = np.arange(len(numbers))
+        places = [[*a, *(n for n, _, _ in b)] for a, b in zip(summed, rest, strict=True)]
+        of = [[known[t][n] for n in numbers] if level else [] for t, numbers in enumerate(places)]
         forest = Forest(
             feature, split, slot,
-            [np.array([n.impurity for n in ns]) if level else np.zeros(1) for ns in of],
+            [len(numbers) for numbers in summed],
+            [np.array([r[1:] for r in others], np.int64).reshape(-1, 2) for others in rest],
+            [np.array([n.impurity for n in ns]) for ns in of],
             [np.array([n.sums for n in ns]).reshape(-1, 3) for ns in of],
             level,
+            level + 1 >= depth,
         )
         shared = spark.sparkContext.broadcast(forest)
+        grow = _grown(shared, groups, splits)
         with setting(spark, "spark.sql.unionOutputPartitioning", "false"):  # one task would read all
-            found = scans.mapInArrow(_grown(shared, groups, splits), SPLIT_SCHEMA).collect()
+            scans = _scans(packed, before, len(groups))
+            after = written(scans.mapInArrow(grow, LEVEL_SCHEMA), "forest-level")
+        release(before)
         shared.destroy()
-        after: list[list[int]] = [[] for _ in range(trees)]
-        for tree, place, f, s, gain, impurity, *sums in sorted(found):
-            number = growing[tree][place]
-            node = known[tree][number] = Node(tuple(sums[:3]), impurity)
-            if gain == INVALID:
-                node.impurity = -1.0
-            if gain <= 0 or level == depth:
-                continue
-            node.gain, node.feature, node.split = gain, f, s
-            feature[tree, number], split[tree, number] = f, s
-            for child, own in ((2 * number + 1, sums[3:6]), (2 * number + 2, sums[6:9])):
-                left = Node(tuple(own), float(variance(*map(np.float64, own))))
-                known[tree][child] = left
-                if level + 1 < depth and abs(left.impurity) >= EPSILON:
-                    after[tree].append(child)
-        growing = after
+        before = after
+        summed, rest = [[] for _ in range(trees)], [[] for _ in range(trees)]
+        for tree, found in before.select("tree", "found").collect():
+            numbers = places[tree]
+            values = np.frombuffer(found).reshape(len(numbers), -1).tolist()
+            for place, (number, (f, s, gain, impurity, *sums)) in enumerate(zip(numbers, values, strict=True)):
+                node = known[tree][number] = Node(tuple(sums[:3]), impurity)
+                if gain == INVALID:
+                    node.impurity = -1.0
+                if gain <= 0 or level == depth:
+                    continue
+                node.gain, node.feature, node.split = gain, int(f), int(s)
+                feature[tree, number], split[tree, number] = node.feature, node.split
+                grows = []
+                for child, own in ((2 * number + 1, sums[3:6]), (2 * number + 2, sums[6:9])):
+                    side = Node(tuple(own), float(variance(*map(np.float64, own))))
+                    known[tree][child] = side
+                    if level + 1 < depth and abs(side.impurity) >= EPSILON:
+                        grows.append((own[0], child))
+                for _, child in sorted(grows)[:1]:
+                    summed[tree].append(child)
+                for _, child in sorted(grows)[1:]:
+                    rest[tree].append((child, len(summed[tree]) - 1, place))
+    release(before)
     return known
 
 
@@ -541,16 +592,7 @@ def fit_forest(
     drawn = _drawn(spark, records, trees, seed)
     packed = written(drawn.mapInArrow(_packed(edges, groups), schema), "forest-rows")
     try:
-        scans = reduce(
-            DataFrame.union,
-            (
-                packed.select(
-                    F.lit(k).alias("group"), "part", "bins", "label", F.col(f"draws{k}").alias("draws")
-                ).coalesce(1)
-                for k in range(len(groups))
-            ),
-        )
-        known = _grow_levels(spark, scans, groups, edges, depth)
+        known = _grow_levels(packed, groups, edges, depth)
     finally:
         release(packed)
     return _model(spark, learner, [_pruned(nodes, edges) for nodes in known], len(features))
