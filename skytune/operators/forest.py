@@ -370,7 +370,7 @@ def _grown(
 # --- the whole forest ----------------------------------------------------------------
 
 
-@dataclass
+@dataclass(slots=True)
 class Node:
     sums: tuple[float, float, float]
     impurity: float
@@ -535,7 +535,7 @@ NODE_SCHEMA = pa.schema(
 
 
 def _model(
-    spark: SparkSession, learner: RandomForestRegressor, trees: list[list[dict]], width: int
+    spark: SparkSession, learner: RandomForestRegressor, nodes: pa.Table, width: int
 ) -> RandomForestRegressionModel:
     """The nodes as Spark's model: they replace those of a model of one row in its saved form."""
     row = [(Vectors.dense([0.0] * width), 0.0)]
@@ -543,8 +543,7 @@ def _model(
     path = shared_folder(spark, "forest")
     try:
         learner.fit(alone).write().save(path)
-        rows = [{"treeID": t, "nodeData": node} for t, nodes in enumerate(trees) for node in nodes]
-        data = spark.createDataFrame(pa.Table.from_pylist(rows, NODE_SCHEMA))
+        data = spark.createDataFrame(nodes)
         data.write.mode("overwrite").parquet(f"{path}/data")
         return RandomForestRegressionModel.load(path)
     finally:
@@ -595,4 +594,8 @@ def fit_forest(
         known = _grow_levels(packed, groups, edges, depth)
     finally:
         release(packed)
-    return _model(spark, learner, [_pruned(nodes, edges) for nodes in known], len(features))
+    nodes = pa.concat_tables(
+        pa.Table.from_pylist([{"treeID": t, "nodeData": n} for n in _pruned(tree, edges)], NODE_SCHEMA)
+        for t, tree in enumerate(known)
+    )
+    return _model(spark, learner, nodes, len(features))
